@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.dates import calendar_columns
 from ..functions.text import display_name
@@ -36,7 +36,9 @@ def dim_fecha(sales: DataFrame, date_col: str = "fecha_venta") -> DataFrame:
 
 
 def unknown_member(spark: SparkSession, schema: str, values: Sequence[Any]) -> DataFrame:
-    return spark.createDataFrame([tuple(values)], schema)
+    """One literal row, made of a one-row range so that the optimizer knows how small it is."""
+    fields = T.StructType.fromDDL(schema).fields
+    return spark.range(1).select(*(F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values)))
 
 
 def with_unknown_member(dim: DataFrame, row: DataFrame) -> DataFrame:

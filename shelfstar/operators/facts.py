@@ -27,7 +27,7 @@ def fact_sales(sales: DataFrame, dims: Mapping[str, DataFrame], sentinel: int =
         ],
         **limits,
     )
-    keyed = lookup_with_sentinel(keyed, dims["cliente"], "cliente_id", ["cliente_key"], sentinel, **limits)
+    keyed = lookup_with_sentinel(keyed, dims["cliente"], "cliente_id", ["cliente_key"], sentinel, sales, **limits)
     return keyed.select(
         "transaccion_id",
         fecha_a_key("fecha_venta").alias("fecha_key"),

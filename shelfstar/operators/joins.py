@@ -26,16 +26,23 @@ def lookup(
     values: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_keys: int = HOT_KEYS,
+    counted_in: DataFrame | None = None,
 ) -> DataFrame:
-    """Left outer join to a table unique on ``on``: every fact row comes out once."""
+    """Left outer join to a table unique on ``on``: every fact row comes out once.
+
+    ``counted_in`` is the table whose key frequencies stand for the fact's; give the fact as it was
+    before other joins, so that counting does not repeat them.
+    """
     dim = dim.select(on, *values)
     if fits_broadcast(dim, broadcast_bytes):
         return fact.join(F.broadcast(dim), on, "left")
-    return _spread_lookup(fact, dim, on, list(values), hot_keys)
+    return _spread_lookup(fact, dim, on, list(values), hot_keys, fact if counted_in is None else counted_in)
 
 
-def _spread_lookup(fact: DataFrame, dim: DataFrame, on: str, values: list[str], hot_keys: int) -> DataFrame:
-    counted = fact.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+def _spread_lookup(
+    fact: DataFrame, dim: DataFrame, on: str, values: list[str], hot_keys: int, counted_in: DataFrame
+) -> DataFrame:
+    counted = counted_in.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
     hot = counted.orderBy(F.desc("_n"), F.asc(on)).limit(hot_keys).select(on)
     resolved = hot.join(dim.join(F.broadcast(hot), on, "left_semi"), on, "left").select(
         F.col(on).alias("_hot_key"), F.lit(True).alias("_hot"), *(F.col(v).alias(f"_hot_{v}") for v in values)
@@ -59,18 +66,30 @@ def _spread_lookup(fact: DataFrame, dim: DataFrame, on: str, values: list[str],
 
 def lookup_keys(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[str]]], **limits: int) -> DataFrame:
     """Several lookups in a row; each entry is ``(dimension, join column, columns to take)``."""
+    joined = fact
     for dim, on, values in dims:
-        fact = lookup(fact, dim, on, values, **limits)
-    return fact
+        joined = lookup(joined, dim, on, values, counted_in=fact, **limits)
+    return joined
 
 
 def lookup_with_sentinel(
-    fact: DataFrame, dim: DataFrame, on: str, values: Sequence[str], sentinel: int = SENTINEL, **limits: int
+    fact: DataFrame,
+    dim: DataFrame,
+    on: str,
+    values: Sequence[str],
+    sentinel: int = SENTINEL,
+    counted_in: DataFrame | None = None,
+    **limits: int,
 ) -> DataFrame:
     """A missing id meets the dimension's sentinel member; an id the dimension lacks stays NULL."""
     cross = f"_{on}"
-    marked = fact.withColumn(cross, F.coalesce(F.col(on), F.lit(sentinel)))
-    return lookup(marked, dim.withColumnRenamed(on, cross), cross, values, **limits).drop(cross)
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn(cross, F.coalesce(F.col(on), F.lit(sentinel)))
+
+    counted = marked(fact if counted_in is None else counted_in)
+    renamed = dim.withColumnRenamed(on, cross)
+    return lookup(marked(fact), renamed, cross, values, counted_in=counted, **limits).drop(cross)
 
 
 def semi(fact: DataFrame, allowed: DataFrame, on: str, **limits: int) -> DataFrame:

@@ -23,21 +23,19 @@ _GOOD, _BAD = "favorable", "desfavorable"
 _BAND = 1000
 
 
-def _restrict(fact: DataFrame, dim: DataFrame, key: str, **allowed: Values) -> DataFrame:
-    used = {c: values for c, values in allowed.items() if values is not None}
-    if not used:
+def _restrict(star: Star, fact: DataFrame, table: str, key: str, **allowed: Values) -> DataFrame:
+    if all(values is None for values in allowed.values()):
         return fact
-    for col, values in used.items():
+    dim = star[table]
+    for col, values in allowed.items():
         dim = dim.filter(in_list(col, values))
     return semi(fact, dim, key)
 
 
 def slice_sales(star: Star, region: Values = None, formato: Values = None, mes: Values = None) -> DataFrame:
     """Sales of the chosen regions, store formats and months."""
-    fact = _restrict(star["FactVentas"], star["DimTienda"], "tienda_key", region=region, formato_tienda=formato)
-    if mes is None:
-        return fact
-    return _restrict(fact, star["DimFecha"], "fecha_key", nombre_mes=mes)
+    fact = _restrict(star, star["FactVentas"], "DimTienda", "tienda_key", region=region, formato_tienda=formato)
+    return _restrict(star, fact, "DimFecha", "fecha_key", nombre_mes=mes)
 
 
 def kpis(star: Star, **slicers: Values) -> DataFrame:
@@ -71,7 +69,7 @@ def sales_by_weekday(star: Star) -> DataFrame:
 
 
 def _targets(star: Star, region: Values = None) -> DataFrame:
-    return _restrict(star["real_vs_presupuesto"], star["DimTienda"], "tienda_id", region=region)
+    return _restrict(star, star["real_vs_presupuesto"], "DimTienda", "tienda_id", region=region)
 
 
 def _store_name(star: Star, key: str) -> tuple[DataFrame, str, list[str]]:
@@ -106,7 +104,7 @@ def all_target_measures(star: Star, region: Values = None) -> DataFrame:
 
 
 def slice_stock(star: Star, region: Values = None, categoria: Values = None) -> DataFrame:
-    stock = _restrict(star["FactInventario"], star["DimTienda"], "tienda_key", region=region)
+    stock = _restrict(star, star["FactInventario"], "DimTienda", "tienda_key", region=region)
     return stock.filter(in_list("categoria", categoria))
 
 

@@ -2,7 +2,8 @@
 
 A table is published in three steps: write the rows once to a new folder, run the checks on
 what was written, then point the catalog at the folder. A failed check leaves the previous
-table as it was, and no check recomputes the rows it checks. stay until the platform's own clean-up removes them.
+table as it was, and no check recomputes the rows it checks. Folders of earlier loads stay until
+the platform's own clean-up removes them.
 """
 
 from __future__ import annotations
