@@ -81,7 +81,7 @@ CTES = {
         SELECT * EXCLUDE (repetida) FROM ventas_una_vez WHERE repetida""",
     "inventario_raw": """SELECT (l_suppkey % 25)::varchar AS tienda_id,
         CASE WHEN l_suppkey % 25 % 2 = 0 THEN lower(p_type) ELSE p_type || ' ' END AS categoria,
-        strftime(l_shipdate, '%Y/%m') AS anio_mes, (sum(l_quantity::bigint) % 401)::varchar AS cantidad_disponible
+        strftime(l_shipdate, '%Y/%m') AS anio_mes, (sum(l_quantity::bigint) % 41)::varchar AS cantidad_disponible
         FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey % 25 < 20
         GROUP BY l_suppkey % 25, p_type, strftime(l_shipdate, '%Y/%m')""",
     "envios": "SELECT 1 AS envio UNION ALL SELECT 2",

@@ -166,11 +166,7 @@ def validate_store(spark, sf):
 
 @query
 def validate_budget(spark, sf):
-    budget = roles.budget(spark, sf)
-    columns = ["tienda_id", "anio_mes", "meta_venta", "meta_margen"]
-    return quality.combine(
-        quality.validar(budget, ["tienda_id", "anio_mes"], columns), quality.rules(budget, jobs.budget_rules())
-    )
+    return jobs.budget_checks(roles.budget(spark, sf))
 
 
 @query
@@ -237,12 +233,9 @@ def completeness_check(spark, sf):
 
 @query
 def inventory_checks(spark, sf):
-    stock, key = roles.inventory(spark, sf), ["tienda_id", "categoria", "anio_mes"]
-    categories = roles.products(spark, sf).select("categoria").distinct()
+    stock, categories = roles.inventory(spark, sf), roles.products(spark, sf).select("categoria").distinct()
     return quality.combine(
-        quality.validar(stock, key, [*key, "cantidad_disponible"]),
-        quality.rules(stock, {"stock_negativo": F.col("cantidad_disponible") < 0}),
-        quality.orphan_key_check(stock, "categoria", categories, "categoria"),
+        jobs.inventory_checks(stock), quality.orphan_key_check(stock, "categoria", categories, "categoria")
     )
 
 

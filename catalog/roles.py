@@ -140,7 +140,7 @@ def raw_inventory(spark: SparkSession, sf: str) -> DataFrame:
         "cast(tienda as string) as tienda_id",
         "if(tienda % 2 = 0, lower(p_type), concat(p_type, ' ')) as categoria",
         "anio_mes",
-        "cast(q % 401 as string) as cantidad_disponible",
+        "cast(q % 41 as string) as cantidad_disponible",
     )
 
 

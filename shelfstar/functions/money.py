@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 from .text import as_column
 
 
 def line_total(quantity: Column | str, price: Column | str, discount_pct: Column | str) -> Column:
-    """Discounted line amount, exact, rounded half up to cents."""
-    gross = as_column(quantity) * as_column(price)
-    kept = F.lit(100) - as_column(discount_pct)
-    return F.round(gross * kept / F.lit(100), 2).try_cast("decimal(12,2)")
+    """Discounted line amount, exact, rounded half up to cents. The price has at most two decimals.
+
+    Worked out in whole cents times percent, which is several times faster than decimal division.
+    """
+    cents = (as_column(price) * 100).cast("bigint")
+    kept = F.try_multiply(cents, F.lit(100) - as_column(discount_pct))
+    hundredths = F.try_multiply(as_column(quantity).cast("bigint"), kept)
+    return (F.round(hundredths, -2) * F.lit(Decimal("0.0001"))).try_cast("decimal(12,2)")
 
 
 def line_total_double(quantity: Column | str, price: Column | str, discount_pct: Column | str) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .quality import validar_nulls
+from .quality import null_rules, rules
 
 # The published tables, as DDL.
 _DDL = {
@@ -66,4 +66,4 @@ def contract_check(df: DataFrame, table: str) -> DataFrame:
     lost = {
         f"no_convierte_{c}": F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in types.items()
     }
-    return validar_nulls(df, required_columns(table), lost)
+    return rules(df, null_rules(required_columns(table)) | lost)

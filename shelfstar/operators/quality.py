@@ -19,8 +19,6 @@ from .aggregates import collect_per
 from .dedup import key_counts
 from .filters import invalid_format
 
-REPORT_SCHEMA = "control STRING, valor BIGINT, cumple BOOLEAN"
-
 
 class QualityError(Exception):
     """A fatal control failed; nothing was published."""
@@ -53,25 +51,46 @@ def _rows(one_row: DataFrame, controls: Mapping[str, Column | None]) -> DataFram
     return one_row.select(F.inline(F.array(*entries)))
 
 
-def _counted(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+Rules = Mapping[str, Column]
+
+
+def _counted(df: DataFrame, conditions: Rules) -> DataFrame:
     """One row: how many rows meet each condition."""
     return df.agg(*(F.count_if(condition).alias(name) for name, condition in conditions.items()))
 
 
-def _zero(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
-    """Report in which every count must be zero."""
-    return _rows(_counted(df, conditions), {name: F.col(f"`{name}`") == 0 for name in conditions})
+def rules(df: DataFrame, forbidden: Rules) -> DataFrame:
+    """Rows that meet each forbidden condition; every count must be zero. One aggregate for all."""
+    return _rows(_counted(df, forbidden), {name: F.col(f"`{name}`") == 0 for name in forbidden})
+
+
+def null_rules(required: Sequence[str]) -> dict[str, Column]:
+    return {f"nulos_{c}": F.col(c).isNull() for c in required}
+
+
+def format_rules(patterns: Mapping[str, str]) -> dict[str, Column]:
+    """Values that break their column's pattern; missing values do not count."""
+    return {c: invalid_format(c, pattern) for c, pattern in patterns.items()}
+
+
+def _outside(col: str, allowed: Sequence[Any]) -> Column:
+    return F.col(col).isNull() | ~F.col(col).isin(list(allowed))
 
 
-def validar_nulls(df: DataFrame, required: Sequence[str], more: Mapping[str, Column] | None = None) -> DataFrame:
-    """Missing values of required columns, with further zero-count conditions in the same aggregate."""
-    return _zero(df, {f"nulos_{c}": F.col(c).isNull() for c in required} | dict(more or {}))
+def domain_rules(allowed: Mapping[str, Sequence[Any]]) -> dict[str, Column]:
+    return {f"fuera_de_dominio_{c}": _outside(c, values) for c, values in allowed.items()}
 
 
-def validar(df: DataFrame, keys: Sequence[str], required: Sequence[str]) -> DataFrame:
-    """Row count, duplicate keys and missing values of required columns."""
+def conversion_rules(pairs: Sequence[tuple[str, str]]) -> dict[str, Column]:
+    """Text present but typed value NULL, per ``(text, typed)`` pair and for any pair."""
+    failed = {text: F.col(text).isNotNull() & F.col(typed).isNull() for text, typed in pairs}
+    return {**failed, "filas_fallidas": reduce(lambda a, b: a | b, failed.values())}
+
+
+def validar(df: DataFrame, keys: Sequence[str], required: Sequence[str], forbidden: Rules | None = None) -> DataFrame:
+    """Row count, duplicate keys, missing values of required columns, and further forbidden conditions."""
     keyed = _rows(key_counts(df, keys), {"filas": None, "duplicados": F.col("duplicados") == 0})
-    return combine(keyed, validar_nulls(df, required))
+    return combine(keyed, rules(df, null_rules(required) | dict(forbidden or {})))
 
 
 def validar_dimension(df: DataFrame, surrogate: str, natural: str) -> DataFrame:
@@ -81,36 +100,21 @@ def validar_dimension(df: DataFrame, surrogate: str, natural: str) -> DataFrame:
     return combine(
         _rows(by_surrogate, {"filas": None, f"duplicados_{surrogate}": F.col(f"duplicados_{surrogate}") == 0}),
         _rows(by_natural, {f"duplicados_{natural}": F.col(f"duplicados_{natural}") == 0}),
-        _zero(df, {f"nulos_{surrogate}": F.col(surrogate).isNull()}),
+        rules(df, null_rules([surrogate])),
     )
 
 
 def formats(df: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
-    """Values that break their column's pattern; missing values do not count."""
-    return _zero(df, {c: invalid_format(c, pattern) for c, pattern in patterns.items()})
+    return rules(df, format_rules(patterns))
 
 
 def failed_conversions(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Rows with text whose typed value is NULL, per pair and for any pair."""
-    failed = {text: F.col(text).isNotNull() & F.col(typed).isNull() for text, typed in pairs}
-    any_failed = reduce(lambda a, b: a | b, failed.values())
-    return _zero(df, {**failed, "filas_fallidas": any_failed})
-
-
-def rules(df: DataFrame, forbidden: Mapping[str, Column]) -> DataFrame:
-    """Rows that meet a forbidden condition."""
-    return _zero(df, forbidden)
+    return rules(df, conversion_rules(pairs))
 
 
 def domain(df: DataFrame, col: str, allowed: Sequence[Any]) -> DataFrame:
     """Values outside the allowed set, with their row counts; empty when the check passes."""
-    outside = df.filter(F.col(col).isNull() | ~F.col(col).isin(list(allowed)))
-    return outside.groupBy(col).agg(F.count(F.lit(1)).alias("filas"))
-
-
-def domain_check(df: DataFrame, col: str, allowed: Sequence[Any]) -> DataFrame:
-    outside = F.col(col).isNull() | ~F.col(col).isin(list(allowed))
-    return _zero(df, {f"fuera_de_dominio_{col}": outside})
+    return df.filter(_outside(col, allowed)).groupBy(col).agg(F.count(F.lit(1)).alias("filas"))
 
 
 def references(df: DataFrame, checks: Sequence[tuple[str, DataFrame, str]], fatal: bool = False) -> DataFrame:

@@ -55,17 +55,25 @@ def silver_dims(spark: SparkSession) -> Tables:
     return out
 
 
-def budget_rules() -> dict:
+def budget_rules() -> quality.Rules:
     sale, margin = F.col("meta_venta"), F.col("meta_margen")
     return {"metas_fuera_de_regla": (sale <= 0) | (margin <= 0) | (margin >= sale)}
 
 
+def budget_checks(budget: DataFrame) -> DataFrame:
+    columns = ["tienda_id", "anio_mes", "meta_venta", "meta_margen"]
+    return quality.validar(budget, ["tienda_id", "anio_mes"], columns, budget_rules())
+
+
+def inventory_checks(stock: DataFrame) -> DataFrame:
+    key = ["tienda_id", "categoria", "anio_mes"]
+    negative = {"stock_negativo": F.col("cantidad_disponible") < 0}
+    return quality.validar(stock, key, [*key, "cantidad_disponible"], negative)
+
+
 def sales_checks(sales: DataFrame) -> DataFrame:
-    return quality.combine(
-        quality.validar(sales, ["transaccion_id"], REQUIRED_SALES),
-        quality.domain_check(sales, "medio_pago", clean.PAYMENTS),
-        quality.formats(sales, {"hora_venta": text.CLOCK}),
-    )
+    shapes = quality.domain_rules({"medio_pago": clean.PAYMENTS}) | quality.format_rules({"hora_venta": text.CLOCK})
+    return quality.validar(sales, ["transaccion_id"], REQUIRED_SALES, shapes)
 
 
 def _silver_sales(spark: SparkSession) -> Tables:
@@ -86,8 +94,7 @@ def _silver_budget(spark: SparkSession, months: int) -> DataFrame:
 
     def check(budget: DataFrame) -> DataFrame:
         return quality.combine(
-            quality.validar(budget, ["tienda_id", "anio_mes"], ["tienda_id", "anio_mes", "meta_venta", "meta_margen"]),
-            quality.rules(budget, budget_rules()),
+            budget_checks(budget),
             quality.complete_check(budget, ["tienda_id"], "anio_mes", months),
             quality.orphan_key_check(budget, "tienda_id", stores, "tienda_id"),
         )
@@ -101,10 +108,8 @@ def _silver_inventory(spark: SparkSession, months: int) -> DataFrame:
     stores, products = leer_silver(spark, "dim_tienda"), leer_silver(spark, "dim_producto")
 
     def check(stock: DataFrame) -> DataFrame:
-        key = ["tienda_id", "categoria", "anio_mes"]
         return quality.combine(
-            quality.validar(stock, key, [*key, "cantidad_disponible"]),
-            quality.rules(stock, {"stock_negativo": F.col("cantidad_disponible") < 0}),
+            inventory_checks(stock),
             quality.complete_check(stock, ["tienda_id", "categoria"], "anio_mes", months),
             quality.orphan_key_check(stock, "categoria", products.select("categoria").distinct(), "categoria"),
             quality.orphan_key_check(stock, "tienda_id", stores, "tienda_id"),
@@ -195,7 +200,7 @@ def gold_facts(spark: SparkSession) -> Tables:
     def stock_check(stock: DataFrame) -> DataFrame:
         return quality.combine(
             _as_control(quality.same_rows(inventory, stock), "filas"),
-            quality.validar_nulls(stock, ["tienda_key"]),
+            quality.rules(stock, quality.null_rules(["tienda_key"])),
         )
 
     return {

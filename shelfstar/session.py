@@ -6,8 +6,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: A side of a join is broadcast only when Spark's size estimate is below this many bytes.
-BROADCAST_BYTES = 8 * 1024 * 1024
+#: A side of a join is broadcast only when its size estimate is below this; the same as Spark's own default.
+BROADCAST_BYTES = 10 * 1024 * 1024
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> SparkSession:

@@ -15,7 +15,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..functions.convert import iso_moment
 from ..operators.clean import ANOMALY_PCT, ARRIVAL_COLUMN, EVENT_COLUMNS, clean_events, select_present
 from ..operators.filters import inconsistent
-from ..operators.quality import combine, rules, validar_nulls
+from ..operators.quality import null_rules, rules
 
 DELAY = "1 hour"
 REQUIRED = (*EVENT_COLUMNS, "venta_total")
@@ -64,7 +64,7 @@ def event_checks(refined: DataFrame, threshold: int = ANOMALY_PCT) -> DataFrame:
         "total_negativo": F.col("venta_total") < 0,
         "descuento_fuera_de_rango": ~F.col("descuento_pct").between(0, 100),
     }
-    return combine(validar_nulls(refined, REQUIRED), rules(refined, forbidden))
+    return rules(refined, null_rules(REQUIRED) | forbidden)
 
 
 def append_parquet(path: str) -> Sink:
