@@ -90,7 +90,8 @@ def conversion_rules(pairs: Sequence[tuple[str, str]]) -> dict[str, Column]:
 def validar(df: DataFrame, keys: Sequence[str], required: Sequence[str], forbidden: Rules | None = None) -> DataFrame:
     """Row count, duplicate keys, missing values of required columns, and further forbidden conditions."""
     keyed = _rows(key_counts(df, keys), {"filas": None, "duplicados": F.col("duplicados") == 0})
-    return combine(keyed, rules(df, null_rules(required) | dict(forbidden or {})))
+    conditions = null_rules(required) | dict(forbidden or {})
+    return combine(keyed, rules(df, conditions)) if conditions else keyed
 
 
 def validar_dimension(df: DataFrame, surrogate: str, natural: str) -> DataFrame:
