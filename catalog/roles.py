@@ -106,14 +106,14 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
     lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     sales = lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(
         f"{_TICKET} as transaccion_id",
-        "date_format(l_shipdate, 'yyyy/MM/dd') as fecha",
+        "replace(cast(cast(l_shipdate as date) as string), '-', '/') as fecha",
         "concat_ws(':', lpad(l_orderkey % 24, 2, '0'), lpad(l_partkey % 60, 2, '0'), lpad(l_suppkey % 60, 2, '0')) as hora",
         f"cast(l_suppkey % {STORES} as string) as tienda_id",
         "cast(l_suppkey as string) as empleado_id",
         f"{_CUSTOMER} as cliente_id",
         f"{_SKU} as sku",
         "cast(cast(l_quantity as int) as string) as cantidad",
-        f"if(l_orderkey % 2 = 0, replace(cast({_PRICE} as string), '.', ','), cast({_PRICE} as string)) as precio_unitario",
+        f"replace(cast({_PRICE} as string), '.', if(l_orderkey % 2 = 0, ',', '.')) as precio_unitario",
         f"if({_BLANK_DISCOUNT}, ' ', cast({_DISCOUNT} as string)) as descuento_pct",
         """case l_returnflag
              when 'A' then case l_linenumber % 3 when 0 then 'TARJETA' when 1 then 'tarjeta' else ' Tarjeta' end

@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> Spa
         .appName("shelfstar")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

@@ -1,8 +1,9 @@
 """Event refinement: one rule for batch and stream.
 
-The batch rebuild is the reference result. The stream gives the same rows as long as exact
-copies arrive within the watermark delay of each other; later copies pass, because state must
-stay bounded.
+The batch rebuild is the full result. The stream gives the same rows as long as exact copies
+arrive within the watermark delay of each other; a later copy passes, because state must stay
+bounded. The watermark follows the time of arrival, not the time of sale, so an event that
+arrives days late is kept.
 """
 
 from __future__ import annotations
@@ -12,7 +13,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.convert import iso_moment
 from ..operators.clean import ANOMALY_PCT, ARRIVAL_COLUMN, EVENT_COLUMNS, clean_events, select_present
 from ..operators.filters import inconsistent
 from ..operators.quality import null_rules, rules
@@ -34,16 +34,16 @@ def dedup_events(events: DataFrame, delay: str = DELAY, spread: int = 8) -> Data
 
     In a stream all copies of a record meet in one state partition. They do so in two steps: first
     per record and slot, where the slot comes from the input partition, then per record. So a record
-    resent very often reaches the second step at most ``spread`` times per arrival wave.
+    resent very often reaches the second step at most ``spread`` times within the delay.
     """
     records = select_present(events, EVENT_COLUMNS, [ARRIVAL_COLUMN])
     if not records.isStreaming:
         return records.dropDuplicates()
-    timed = records.withColumn("_momento", iso_moment("timestamp_evento")).withWatermark("_momento", delay)
+    timed = records.withColumn("_llegada", F.current_timestamp()).withWatermark("_llegada", delay)
     if spread > 1:
         slotted = timed.withColumn("_reparto", F.spark_partition_id() % spread)
         timed = slotted.dropDuplicatesWithinWatermark([*records.columns, "_reparto"]).drop("_reparto")
-    return timed.dropDuplicatesWithinWatermark(records.columns).drop("_momento")
+    return timed.dropDuplicatesWithinWatermark(records.columns).drop("_llegada")
 
 
 def refine_events(

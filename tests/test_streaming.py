@@ -49,6 +49,15 @@ def test_stream_continues_from_its_checkpoint(spark, rows, folder):
     assert run().count() == 45
 
 
+def test_late_and_undated_events_are_kept(spark, rows, tmp_path):
+    write(tmp_path / "in", "a", [event(n) for n in range(10)])
+    late = [event(50, timestamp_evento="2020-01-01T00:00:00+00:00"), event(51, timestamp_evento="soon")]
+    write(tmp_path / "in", "b", late * 3)
+    stream = refine.refine_events(read_events(spark, str(tmp_path / "in"), files_per_batch=1), delay="1 second")
+    refine.stream_to_table(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 12
+
+
 def test_fan_out_gives_every_sink_the_same_rows(spark, rows, folder):
     events = read_events(spark, str(folder / "in"), files_per_batch=1)
     sinks = [refine.append_parquet(str(folder / "live")), refine.append_parquet(str(folder / "bronze"))]
