@@ -19,7 +19,7 @@ def dedup_exact(df: DataFrame) -> DataFrame:
 
 def duplicate_report(df: DataFrame) -> DataFrame:
     """Rows that occur more than once, with how often."""
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("veces_repetida")).filter("veces_repetida > 1")
+    return count_copies(df, "veces_repetida").filter("veces_repetida > 1")
 
 
 def split(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]:
@@ -43,15 +43,23 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def reconcile_rows(df: DataFrame, reject_if: Column | None = None) -> DataFrame:
-    """Input rows = duplicates + valid + rejected, from one grouping of the raw rows."""
+def count_copies(df: DataFrame, name: str = "_copias") -> DataFrame:
+    """Every distinct row once, with how often it occurred."""
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))
+
+
+def reconcile_copies(counted: DataFrame, reject_if: Column | None = None, name: str = "_copias") -> DataFrame:
+    """Input rows = duplicates + valid + rejected, from rows with their copy counts."""
     reject = F.coalesce(is_blank("sku") if reject_if is None else reject_if, F.lit(False))
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copias")).select("_copias", reject.alias("_rechazo"))
-    counts = copies.agg(
-        F.coalesce(F.sum("_copias"), F.lit(0)).alias("filas_origen"),
-        F.coalesce(F.sum(F.col("_copias") - 1), F.lit(0)).alias("duplicados"),
-        F.count_if(~F.col("_rechazo")).alias("validas"),
-        F.count_if(F.col("_rechazo")).alias("rechazadas"),
+    counts = counted.select(F.col(name).alias("n"), reject.alias("rechazo")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("filas_origen"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicados"),
+        F.count_if(~F.col("rechazo")).alias("validas"),
+        F.count_if(F.col("rechazo")).alias("rechazadas"),
     )
     parts = F.col("duplicados") + F.col("validas") + F.col("rechazadas")
     return counts.withColumn("cierra", F.col("filas_origen") == parts)
+
+
+def reconcile_rows(df: DataFrame, reject_if: Column | None = None) -> DataFrame:
+    return reconcile_copies(count_copies(df), reject_if)

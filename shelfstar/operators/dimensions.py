@@ -36,9 +36,17 @@ def dim_fecha(sales: DataFrame, date_col: str = "fecha_venta") -> DataFrame:
 
 
 def unknown_member(spark: SparkSession, schema: str, values: Sequence[Any]) -> DataFrame:
-    """One literal row, made of a one-row range so that the optimizer knows how small it is."""
+    """One literal row, made of a one-row range so that the optimizer knows how small it is.
+
+    Integers are added to the range's zero: a key that is a plain literal would be folded out of
+    join conditions and turn an equi-join into a nested loop.
+    """
+
+    def column(value: Any) -> Column:
+        return F.col("id") + value if isinstance(value, int) else F.lit(value)
+
     fields = T.StructType.fromDDL(schema).fields
-    return spark.range(1).select(*(F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values)))
+    return spark.range(1).select(*(column(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values)))
 
 
 def with_unknown_member(dim: DataFrame, row: DataFrame) -> DataFrame:

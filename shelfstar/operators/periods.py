@@ -19,5 +19,5 @@ def last_period(df: DataFrame, period: str, keys: Sequence[str], value: str, nam
     A group without rows in that period gets no row.
     """
     per_period = df.groupBy(*keys, period).agg(F.sum(value).alias(name))
-    newest = df.agg(F.max(period).alias(period))
+    newest = per_period.agg(F.max(period).alias(period))
     return per_period.join(newest, period, "left_semi").select(*keys, name)

@@ -13,7 +13,7 @@ from ..operators import clean, dedup, dimensions, facts, quality
 from ..operators.contracts import contract_check
 from ..operators.quality import require
 from ..sources.delimited import MANIFEST, Entry, ingest
-from ..sources.tables import escribir_gold, escribir_silver, leer_bronze, leer_gold, leer_silver
+from ..sources.tables import escribir_gold, escribir_silver, leer_bronze, leer_gold, leer_silver, stage
 from ..streaming.refine import event_checks, refine_events
 
 REQUIRED_SALES = (
@@ -77,10 +77,17 @@ def sales_checks(sales: DataFrame) -> DataFrame:
 
 
 def _silver_sales(spark: SparkSession) -> Tables:
+    """The raw rows are grouped once; counts, valid and rejected rows all come from the grouped ones."""
     raw = leer_bronze(spark, "ventas_transacciones")
-    valid, rejected = dedup.split(dedup.dedup_exact(raw), text.is_blank("sku"))
-    counts = dedup.reconcile_rows(raw)
-    require(counts.select(F.lit("filas_origen").alias("control"), F.col("filas_origen").alias("valor"), F.col("cierra").alias("cumple")))
+    grouped = stage(dedup.count_copies(raw), "ventas_unicas")
+    counts = dedup.reconcile_copies(grouped)
+    read, kept = raw.agg(F.count(F.lit(1)).alias("izquierda")), counts.select(F.col("filas_origen").alias("derecha"))
+    sides = read.unionByName(kept, allowMissingColumns=True).agg(F.max("izquierda").alias("izquierda"), F.max("derecha").alias("derecha"))
+    require(quality.combine(
+        _as_control(sides.withColumn("cumple", F.col("izquierda") == F.col("derecha")), "filas_leidas"),
+        counts.select(F.lit("filas_origen").alias("control"), F.col("filas_origen").alias("valor"), F.col("cierra").alias("cumple")),
+    ))
+    valid, rejected = dedup.split(grouped.drop("_copias"), text.is_blank("sku"))
     return {
         "ventas_enriquecidas": escribir_silver(clean.clean_sales(valid), "ventas_enriquecidas", sales_checks),
         "rechazos_ventas": escribir_silver(clean.with_reason(rejected), "rechazos_ventas"),
@@ -172,7 +179,9 @@ def _as_control(comparison: DataFrame, name: str) -> DataFrame:
     return comparison.select(F.lit(name).alias("control"), (right - left).cast("bigint").alias("valor"), "cumple")
 
 
-def gold_facts(spark: SparkSession) -> Tables:
+def gold_facts(spark: SparkSession, partition_sales: bool = False) -> Tables:
+    """Facts and aggregates. ``partition_sales`` stores the sale lines by day, for tables large
+    enough that a report on some months should read only those days."""
     sales = leer_silver(spark, "ventas_enriquecidas")
     names = {"tienda": "DimTienda", "producto": "DimProducto", "empleado": "DimEmpleado", "cliente": "DimCliente"}
     dims = {role: leer_gold(spark, table) for role, table in names.items()}
@@ -185,7 +194,8 @@ def gold_facts(spark: SparkSession) -> Tables:
             contract_check(fact, "FactVentas"),
         )
 
-    fact = escribir_gold(facts.fact_sales(sales, dims), "FactVentas", fact_check)
+    by_day = "fecha_key" if partition_sales else None
+    fact = escribir_gold(facts.fact_sales(sales, dims), "FactVentas", fact_check, partition_by=by_day)
 
     def sums_to_fact(col: str):
         def check(table: DataFrame) -> DataFrame:
@@ -241,8 +251,8 @@ def profile_table(spark: SparkSession, table: str) -> DataFrame:
     return quality.profile(leer_bronze(spark, table))
 
 
-def run_batch(spark: SparkSession, folder: str, months: int = 12) -> Tables:
+def run_batch(spark: SparkSession, folder: str, months: int = 12, partition_sales: bool = False) -> Tables:
     bronze(spark, folder)
     silver_dims(spark)
     silver_facts(spark, months)
-    return {**gold_dims(spark), **gold_facts(spark)}
+    return {**gold_dims(spark), **gold_facts(spark, partition_sales)}

@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..operators.contracts import conform
+from ..operators.contracts import conform, contract
 from ..operators.quality import require
 
 RAW_AUDIT = ("_archivo_origen", "_fecha_ingesta")
@@ -32,28 +32,52 @@ def _new_folder(spark: SparkSession, table: str) -> str:
     return f"{warehouse}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
 
 
-def publish(df: DataFrame, table: str, *checks: Check) -> DataFrame:
+def _write(df: DataFrame, folder: str, partition_by: str | None) -> DataFrame:
+    """Written rows, read back with the columns in their first order.
+
+    With a partition column the rows are first rebalanced by it: the runtime plan merges small
+    partitions and splits one that holds a large share of the rows over several tasks and files.
+    """
+    if partition_by is None:
+        df.write.parquet(folder)
+    else:
+        df.hint("rebalance", partition_by).write.partitionBy(partition_by).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder).select(*df.columns)
+
+
+def stage(df: DataFrame, table: str) -> DataFrame:
+    """Rows written once for several uses, outside the catalog."""
+    return _write(df, _new_folder(df.sparkSession, f"staging.{table}"), None)
+
+
+def publish(df: DataFrame, table: str, *checks: Check, partition_by: str | None = None) -> DataFrame:
     """Write, check, switch; returns the published table."""
     spark = df.sparkSession
     ensure_schema(spark, table.split(".")[0])
     folder = _new_folder(spark, table)
-    df.write.parquet(folder)
-    staged = spark.read.parquet(folder)
+    staged = _write(df, folder, partition_by)
     for check in checks:
         require(check(staged))
-    _switch(spark, table, folder, staged)
-    return spark.table(table)
+    _switch(spark, table, folder, staged, partition_by)
+    return spark.table(table).select(*df.columns)
 
 
-def _switch(spark: SparkSession, table: str, folder: str, staged: DataFrame) -> None:
-    """Point the table at a new folder; a changed set of columns replaces the table's definition."""
+def _switch(spark: SparkSession, table: str, folder: str, staged: DataFrame, partition_by: str | None) -> None:
+    """Point the table at a new folder; other columns or partitions replace the table's definition."""
     if spark.catalog.tableExists(table):
-        if spark.table(table).dtypes == staged.dtypes:
+        same_columns = sorted(spark.table(table).dtypes) == sorted(staged.dtypes)
+        if same_columns and partition_by is None and not _is_partitioned(spark, table):
             spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
             spark.catalog.refreshTable(table)
             return
         spark.sql(f"DROP TABLE {table}")
     spark.catalog.createTable(table, path=folder, source="parquet")
+    if partition_by is not None:
+        spark.catalog.recoverPartitions(table)
+
+
+def _is_partitioned(spark: SparkSession, table: str) -> bool:
+    return any(column.isPartition for column in spark.catalog.listColumns(table))
 
 
 def write_bronze(df: DataFrame, table: str) -> DataFrame:
@@ -65,8 +89,8 @@ def escribir_silver(df: DataFrame, table: str, *checks: Check) -> DataFrame:
     return publish(stamped, f"{SILVER}.{table}", *checks).drop(LOAD_AUDIT)
 
 
-def escribir_gold(df: DataFrame, table: str, *checks: Check) -> DataFrame:
-    return publish(conform(df, table), f"{GOLD}.{table}", *checks)
+def escribir_gold(df: DataFrame, table: str, *checks: Check, partition_by: str | None = None) -> DataFrame:
+    return publish(conform(df, table), f"{GOLD}.{table}", *checks, partition_by=partition_by)
 
 
 def leer_bronze(spark: SparkSession, table: str) -> DataFrame:
@@ -78,4 +102,4 @@ def leer_silver(spark: SparkSession, table: str) -> DataFrame:
 
 
 def leer_gold(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(f"{GOLD}.{table}")
+    return spark.table(f"{GOLD}.{table}").select(*contract(table).fieldNames())

@@ -140,6 +140,18 @@ def test_reload_gives_the_same_star(spark, rows, gold, tmp_path):
     assert rows(again["FactVentas"]) == before
 
 
+def test_sales_by_day_give_the_same_reports_and_prune(spark, rows, gold, tmp_path):
+    before, region = rows(leer_gold(spark, "FactVentas")), rows(reports.sales_by_region(gold))
+    split = jobs.run_batch(spark, write_files(tmp_path / "days"), partition_sales=True)
+    assert rows(split["FactVentas"]) == before
+    assert rows(reports.sales_by_region(split)) == region
+    only_january = reports.kpis(split, mes=["Enero"])
+    assert only_january.first()["transacciones"] == 2
+    assert "dynamicpruning" in only_january._jdf.queryExecution().executedPlan().toString()
+    flat = jobs.run_batch(spark, write_files(tmp_path / "flat"))
+    assert rows(flat["FactVentas"]) == before
+
+
 def test_rebuild_events(spark, tmp_path):
     from shelfstar.sources.events import read_events_batch
     from shelfstar.sources.tables import write_bronze
