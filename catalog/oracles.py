@@ -39,19 +39,17 @@ DAYS = "['Lunes','Martes','Miércoles','Jueves','Viernes','Sábado','Domingo']"
 
 CTES = {
     # raw text tables
-    "tiendas_raw": """SELECT n_nationkey::varchar AS tienda_id, 'Tienda ' || r_name || ' ' || (n_nationkey % 4) AS nombre_tienda,
-        CASE WHEN n_nationkey >= 20 THEN 'N/A' ELSE n_name END AS ciudad, n_name AS pais,
-        CASE r_name WHEN 'AFRICA' THEN 'Argentina' WHEN 'AMERICA' THEN 'México' WHEN 'ASIA' THEN 'Perú'
-          WHEN 'EUROPE' THEN 'Chile' ELSE 'Colombia' END AS region,
-        CASE WHEN n_nationkey >= 20 THEN 'Online' WHEN n_nationkey % 2 = 0 THEN 'Express' ELSE 'Centro' END AS formato_tienda,
-        CASE WHEN n_nationkey = 7 THEN '2021/02/30' ELSE '20' || lpad((n_nationkey % 20)::varchar, 2, '0') || '/' ||
-          lpad((1 + n_nationkey % 12)::varchar, 2, '0') || '/' || lpad((1 + n_nationkey % 28)::varchar, 2, '0') END AS fecha_apertura
-        FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "tiendas_raw": """SELECT s_suppkey::varchar AS tienda_id, 'Tienda ' || (s_nationkey % 5) || ' ' || (s_suppkey // 2) AS nombre_tienda,
+        CASE WHEN s_nationkey >= 20 THEN 'N/A' ELSE 'NATION_' || s_nationkey END AS ciudad, 'NATION_' || s_nationkey AS pais,
+        ['Argentina', 'México', 'Perú', 'Chile', 'Colombia'][s_nationkey % 5 + 1] AS region,
+        CASE WHEN s_nationkey >= 20 THEN 'Online' WHEN s_suppkey % 2 = 0 THEN 'Express' ELSE 'Centro' END AS formato_tienda,
+        CASE WHEN s_suppkey % 50 = 7 THEN '2021/02/30' ELSE '20' || lpad((s_suppkey % 20)::varchar, 2, '0') || '/' ||
+          lpad((1 + s_suppkey % 12)::varchar, 2, '0') || '/' || lpad((1 + s_suppkey % 28)::varchar, 2, '0') END AS fecha_apertura FROM supplier""",
     "productos_raw": """SELECT 'SKU-' || p_partkey AS sku,
         CASE p_partkey % 3 WHEN 0 THEN '  ' || p_name WHEN 1 THEN p_name || ' ' ELSE p_name END AS nombre_producto,
         CASE p_partkey % 3 WHEN 0 THEN p_type WHEN 1 THEN lower(p_type) ELSE ' ' || p_type END AS categoria,
         'Talla ' || p_size AS subcategoria, p_brand AS marca, p_retailprice::decimal(10,2)::varchar AS costo_unitario FROM part""",
-    "empleados_raw": """SELECT s_suppkey::varchar AS empleado_id, s_name AS nombre_completo, s_nationkey::varchar AS tienda_id,
+    "empleados_raw": """SELECT s_suppkey::varchar AS empleado_id, s_name AS nombre_completo, s_suppkey::varchar AS tienda_id,
         CASE s_suppkey % 3 WHEN 0 THEN 'Vendedor' WHEN 1 THEN 'Cajero' ELSE 'Gerente' END AS puesto,
         '20' || lpad((s_suppkey % 24)::varchar, 2, '0') || '/' || lpad((1 + s_suppkey % 12)::varchar, 2, '0') || '/15' AS fecha_ingreso,
         s_acctbal::decimal(10,2)::varchar AS salario,
@@ -61,14 +59,14 @@ CTES = {
         '20' || lpad((c_custkey % 24)::varchar, 2, '0') || '/' || lpad((1 + c_custkey % 12)::varchar, 2, '0') || '/01' AS fecha_registro,
         CASE c_mktsegment WHEN 'FURNITURE' THEN '' WHEN 'HOUSEHOLD' THEN '   ' WHEN 'MACHINERY' THEN NULL
           ELSE ' ' || c_mktsegment END AS tier_lealtad, 'NATION_' || c_nationkey AS ciudad FROM customer""",
-    "presupuesto_raw": """SELECT c_nationkey::varchar AS tienda_id, strftime(o_orderdate, '%Y/%m') || ' ' AS anio_mes,
-        (sum(o_totalprice::decimal(12,2)) * 20)::decimal(14,2)::varchar AS meta_venta,
-        (sum(o_totalprice::decimal(12,2)) * 20 * 0.23)::decimal(14,2)::varchar AS meta_margen
-        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey, strftime(o_orderdate, '%Y/%m')""",
+    "presupuesto_raw": """SELECT l_suppkey::varchar AS tienda_id, strftime(l_shipdate, '%Y/%m') || ' ' AS anio_mes,
+        (sum(l_extendedprice::decimal(12,2)) * 36)::decimal(14,2)::varchar AS meta_venta,
+        (sum(l_extendedprice::decimal(12,2)) * 36 * 0.23)::decimal(14,2)::varchar AS meta_margen
+        FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_suppkey, strftime(l_shipdate, '%Y/%m')""",
     "ventas_una_vez": f"""SELECT 'T-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_quantity::int AS transaccion_id,
         strftime(l_shipdate, '%Y/%m/%d') AS fecha,
         lpad((l_orderkey % 24)::varchar, 2, '0') || ':' || lpad((l_partkey % 60)::varchar, 2, '0') || ':' || lpad((l_suppkey % 60)::varchar, 2, '0') AS hora,
-        (l_suppkey % 25)::varchar AS tienda_id, l_suppkey::varchar AS empleado_id, {_CUSTOMER} AS cliente_id, {_SKU} AS sku,
+        l_suppkey::varchar AS tienda_id, l_suppkey::varchar AS empleado_id, {_CUSTOMER} AS cliente_id, {_SKU} AS sku,
         l_quantity::int::varchar AS cantidad,
         CASE WHEN l_orderkey % 2 = 0 THEN replace(l_extendedprice::decimal(10,2)::varchar, '.', ',') ELSE l_extendedprice::decimal(10,2)::varchar END AS precio_unitario,
         CASE WHEN l_linenumber = 3 AND l_returnflag = 'N' THEN ' ' ELSE ({_DISCOUNT})::varchar END AS descuento_pct,
@@ -79,19 +77,17 @@ CTES = {
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "ventas_raw": """SELECT * EXCLUDE (repetida) FROM ventas_una_vez UNION ALL
         SELECT * EXCLUDE (repetida) FROM ventas_una_vez WHERE repetida""",
-    "inventario_raw": """SELECT (l_suppkey % 25)::varchar AS tienda_id,
-        CASE WHEN l_suppkey % 25 % 2 = 0 THEN lower(p_type) ELSE p_type || ' ' END AS categoria,
+    "inventario_raw": """SELECT l_suppkey::varchar AS tienda_id, CASE WHEN l_suppkey % 2 = 0 THEN lower(p_type) ELSE p_type || ' ' END AS categoria,
         strftime(l_shipdate, '%Y/%m') AS anio_mes, (sum(l_quantity::bigint) % 41)::varchar AS cantidad_disponible
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_suppkey % 25 < 20
-        GROUP BY l_suppkey % 25, p_type, strftime(l_shipdate, '%Y/%m')""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey < 20
+        GROUP BY l_suppkey, p_type, strftime(l_shipdate, '%Y/%m')""",
     "envios": "SELECT 1 AS envio UNION ALL SELECT 2",
     "eventos_raw": """SELECT ' EVT-' || (100000 + (user_id * 1000 + (props->>'$.k')::int) % 900000) AS evento_id, ts AS momento,
-        user_id % 25 AS tienda_id, user_id AS empleado_id, 'SKU-' || (event_id % 185) AS sku, 1 + (props->>'$.k')::int % 5 AS cantidad,
+        user_id AS tienda_id, user_id AS empleado_id, 'SKU-' || (event_id % 185) AS sku, 1 + (props->>'$.k')::int % 5 AS cantidad,
         value AS precio_unitario, CASE WHEN (props->>'$.k')::int >= 95 THEN 90 ELSE ((props->>'$.k')::int % 5) * 5 END AS descuento_pct,
         ts + to_seconds((props->>'$.k')::int + envio) AS llegada
         FROM events JOIN envios ON envio = 1 OR event_type = 'error'""",
-    "mapa": """SELECT DISTINCT 'gerente' || CASE WHEN region IN ('Chile', 'Perú') THEN 1 ELSE 2 END || '@example.com' AS usuario_email, region
-        FROM tiendas_raw""",
+    "mapa": "SELECT DISTINCT 'gerente' || (tienda_id::int // 2) || '@example.com' AS usuario_email, region FROM tiendas_raw",
     # typed tables
     "tiendas": f"""SELECT tienda_id::int AS tienda_id, nombre_tienda, ciudad, pais, region, formato_tienda,
         {DAY.format('fecha_apertura')} AS fecha_apertura FROM tiendas_raw""",
@@ -243,9 +239,10 @@ STATEMENTS = {
     "duplicate_report": "SELECT *, count(*) AS veces_repetida FROM ventas_raw GROUP BY ALL HAVING count(*) > 1",
     "split_rejected": f"""SELECT DISTINCT *, 'SKU vacío: producto no identificable' AS motivo_rechazo FROM ventas_raw
         WHERE {BLANK.format('sku')} IS NULL""",
-    "reconcile_rows": f"""SELECT (SELECT count(*) FROM ventas_raw) AS filas_origen,
-        (SELECT count(*) FROM ventas_raw) - count(*) AS duplicados, count(*) FILTER ({BLANK.format('sku')} IS NOT NULL) AS validas,
-        count(*) FILTER ({BLANK.format('sku')} IS NULL) AS rechazadas, true AS cierra FROM (SELECT DISTINCT * FROM ventas_raw)""",
+    "reconcile_rows": f"""SELECT *, filas_origen = duplicados + validas + rechazadas AS cierra FROM (
+        SELECT (SELECT count(*) FROM ventas_raw) AS filas_origen, (SELECT count(*) FROM ventas_raw) - count(*) AS duplicados,
+        count(*) FILTER ({BLANK.format('sku')} IS NOT NULL) AS validas, count(*) FILTER ({BLANK.format('sku')} IS NULL) AS rechazadas
+        FROM (SELECT DISTINCT * FROM ventas_raw))""",
     "sales_checks": _union(
         *_keyed("ventas", "transaccion_id"), *_nulls("ventas", *_SALES_REQUIRED),
         _zero("fuera_de_dominio_medio_pago",
@@ -300,15 +297,17 @@ STATEMENTS = {
         _zero("fechas_fuera_inventario", "count(DISTINCT anio_mes) FILTER (anio_mes NOT IN (SELECT fecha FROM dim_fecha))", "inventario")),
     "contract_check": _union(
         *_nulls("fact_ventas", "cliente_key", "requiere_revision"),
-        *(f"SELECT 'no_convierte_{c}' AS control, 0::bigint AS valor, true AS cumple" for c in (
-            "transaccion_id", "fecha_key", "tienda_key", "producto_key", "empleado_key", "cliente_key", "cantidad",
-            "precio_unitario", "descuento_pct", "venta_total", "costo_total", "requiere_revision"))),
-    "reconcile_amount": f"""SELECT {VALUE.format('(SELECT sum(venta_total) FROM ventas)')} AS izquierda,
-        {VALUE.format('(SELECT sum(venta_total) FROM fact_ventas)')} AS derecha, true AS cumple""",
-    "same_rows": "SELECT (SELECT count(*) FROM ventas) AS izquierda, (SELECT count(*) FROM fact_ventas) AS derecha, true AS cumple",
+        *(_zero(f"no_convierte_{c}", f"count(*) FILTER ({c} IS NOT NULL AND try_cast({c} AS {t}) IS NULL)", "fact_ventas") for c, t in {
+            "transaccion_id": "varchar", "fecha_key": "int", "tienda_key": "int", "producto_key": "int", "empleado_key": "int",
+            "cliente_key": "int", "cantidad": "int", "precio_unitario": "decimal(10,2)", "descuento_pct": "int",
+            "venta_total": "decimal(12,2)", "costo_total": "decimal(12,2)", "requiere_revision": "boolean"}.items())),
+    "reconcile_amount": f"""SELECT {_v('a', 'izquierda')}, {_v('b', 'derecha')}, a = b AS cumple
+        FROM (SELECT (SELECT sum(venta_total) FROM ventas) AS a, (SELECT sum(venta_total) FROM fact_ventas) AS b)""",
+    "same_rows": """SELECT *, izquierda = derecha AS cumple
+        FROM (SELECT (SELECT count(*) FROM ventas) AS izquierda, (SELECT count(*) FROM fact_ventas) AS derecha)""",
     "verify_rows": _union(
-        _control("dim_tienda", "count(*)", "({0}) = 25", "dim_tienda"),
-        _control("dim_cliente", "count(*)", "({0}) = 901", "dim_cliente")),
+        _control("dim_tienda", "count(*)", "({0}) = 100", "dim_tienda"),
+        _control("dim_cliente", "count(*)", "({0}) = 1501", "dim_cliente")),
     "profile_columns": _union(*(
         f"""SELECT '{c}' AS columna, (count(*) FILTER ({BLANK.format(c)} IS NULL))::bigint AS nulos_o_vacios,
         (count(*) FILTER ({c} <> trim({c}, ' ')))::bigint AS con_espacios, count(DISTINCT {c}) AS valores_distintos FROM ventas_raw"""

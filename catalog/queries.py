@@ -273,7 +273,7 @@ def same_rows(spark, sf):
 @query
 def verify_rows(spark, sf):
     dims = roles.dims(spark, sf)
-    return quality.verify_written({"dim_tienda": (dims["tienda"], 25), "dim_cliente": (dims["cliente"], 901)})
+    return quality.verify_written({"dim_tienda": (dims["tienda"], 100), "dim_cliente": (dims["cliente"], 1501)})
 
 
 @query

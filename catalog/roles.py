@@ -16,25 +16,23 @@ from shelfstar.functions.money import cost_total, line_total
 from shelfstar.operators import clean, dimensions, facts
 from shelfstar.operators.joins import SENTINEL, lookup, lookup_with_sentinel
 
-STORES = 25
-
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def raw_stores(spark: SparkSession, sf: str) -> DataFrame:
-    nations, regions = table(spark, sf, "nation"), table(spark, sf, "region")
-    return nations.join(regions, nations.n_regionkey == regions.r_regionkey).selectExpr(
-        "cast(n_nationkey as string) as tienda_id",
-        "concat('Tienda ', r_name, ' ', n_nationkey % 4) as nombre_tienda",
-        "if(n_nationkey >= 20, 'N/A', n_name) as ciudad",
-        "n_name as pais",
-        """case r_name when 'AFRICA' then 'Argentina' when 'AMERICA' then 'México' when 'ASIA' then 'Perú'
-           when 'EUROPE' then 'Chile' else 'Colombia' end as region""",
-        "case when n_nationkey >= 20 then 'Online' when n_nationkey % 2 = 0 then 'Express' else 'Centro' end as formato_tienda",
-        """case when n_nationkey = 7 then '2021/02/30' else concat('20', lpad(n_nationkey % 20, 2, '0'), '/',
-           lpad(1 + n_nationkey % 12, 2, '0'), '/', lpad(1 + n_nationkey % 28, 2, '0')) end as fecha_apertura""",
+    """Suppliers as stores; the nation gives the region."""
+    return table(spark, sf, "supplier").selectExpr(
+        "cast(s_suppkey as string) as tienda_id",
+        "concat('Tienda ', s_nationkey % 5, ' ', s_suppkey div 2) as nombre_tienda",
+        "if(s_nationkey >= 20, 'N/A', concat('NATION_', s_nationkey)) as ciudad",
+        "concat('NATION_', s_nationkey) as pais",
+        """case s_nationkey % 5 when 0 then 'Argentina' when 1 then 'México' when 2 then 'Perú'
+           when 3 then 'Chile' else 'Colombia' end as region""",
+        "case when s_nationkey >= 20 then 'Online' when s_suppkey % 2 = 0 then 'Express' else 'Centro' end as formato_tienda",
+        """case when s_suppkey % 50 = 7 then '2021/02/30' else concat('20', lpad(s_suppkey % 20, 2, '0'), '/',
+           lpad(1 + s_suppkey % 12, 2, '0'), '/', lpad(1 + s_suppkey % 28, 2, '0')) end as fecha_apertura""",
     )
 
 
@@ -53,7 +51,7 @@ def raw_employees(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "supplier").selectExpr(
         "cast(s_suppkey as string) as empleado_id",
         "s_name as nombre_completo",
-        "cast(s_nationkey as string) as tienda_id",
+        "cast(s_suppkey as string) as tienda_id",
         "case s_suppkey % 3 when 0 then 'Vendedor' when 1 then 'Cajero' else 'Gerente' end as puesto",
         "concat('20', lpad(s_suppkey % 24, 2, '0'), '/', lpad(1 + s_suppkey % 12, 2, '0'), '/15') as fecha_ingreso",
         "cast(cast(s_acctbal as decimal(10,2)) as string) as salario",
@@ -74,18 +72,13 @@ def raw_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_budget(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly order value of a nation's customers as its store's target."""
-    orders = table(spark, sf, "orders").selectExpr(
-        "o_custkey", "cast(o_totalprice as decimal(12,2)) as valor", "date_format(o_orderdate, 'yyyy/MM') as anio_mes"
-    )
-    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    sums = (
-        orders.join(customers, orders.o_custkey == customers.c_custkey)
-        .groupBy("c_nationkey", "anio_mes")
-        .agg((F.sum("valor") * 20).alias("meta"))
+    """Monthly targets in proportion to what a store shipped and kept sold; some months have none."""
+    lines = table(spark, sf, "lineitem").filter("l_returnflag != 'R'").selectExpr(
+        "l_suppkey", "cast(l_extendedprice as decimal(12,2)) as valor", "date_format(l_shipdate, 'yyyy/MM') as anio_mes"
     )
+    sums = lines.groupBy("l_suppkey", "anio_mes").agg((F.sum("valor") * 36).alias("meta"))
     return sums.selectExpr(
-        "cast(c_nationkey as string) as tienda_id",
+        "cast(l_suppkey as string) as tienda_id",
         "concat(anio_mes, ' ') as anio_mes",
         "cast(cast(meta as decimal(14,2)) as string) as meta_venta",
         "cast(cast(meta * 0.23 as decimal(14,2)) as string) as meta_margen",
@@ -108,7 +101,7 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
         f"{_TICKET} as transaccion_id",
         "replace(cast(cast(l_shipdate as date) as string), '-', '/') as fecha",
         "concat_ws(':', lpad(l_orderkey % 24, 2, '0'), lpad(l_partkey % 60, 2, '0'), lpad(l_suppkey % 60, 2, '0')) as hora",
-        f"cast(l_suppkey % {STORES} as string) as tienda_id",
+        "cast(l_suppkey as string) as tienda_id",
         "cast(l_suppkey as string) as empleado_id",
         f"{_CUSTOMER} as cliente_id",
         f"{_SKU} as sku",
@@ -125,15 +118,15 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly stock of the shops that hold any, by product category."""
+    """Monthly stock by product category; online stores have no shelves."""
+    shops = table(spark, sf, "supplier").filter("s_nationkey < 20").selectExpr("s_suppkey as tienda")
     lines = table(spark, sf, "lineitem").selectExpr(
-        f"l_suppkey % {STORES} as tienda", "l_partkey", "cast(l_quantity as bigint) as q",
-        "date_format(l_shipdate, 'yyyy/MM') as anio_mes",
-    ).filter("tienda < 20")
+        "l_suppkey as tienda", "l_partkey", "cast(l_quantity as bigint) as q", "date_format(l_shipdate, 'yyyy/MM') as anio_mes"
+    )
     parts = table(spark, sf, "part").select("p_partkey", "p_type")
-    per_part = lines.groupBy("tienda", "l_partkey", "anio_mes").agg(F.sum("q").alias("q"))
     stock = (
-        per_part.join(parts, per_part.l_partkey == parts.p_partkey)
+        lines.join(shops, "tienda", "left_semi")
+        .join(parts, lines.l_partkey == parts.p_partkey)
         .groupBy("tienda", "p_type", "anio_mes").agg(F.sum("q").alias("q"))
     )
     return stock.selectExpr(
@@ -151,7 +144,7 @@ def raw_events(spark: SparkSession, sf: str, with_arrival: bool = False) -> Data
     columns = [
         "concat(' EVT-', 100000 + (user_id * 1000 + k) % 900000) as evento_id",
         "concat(date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\"), '+00:00') as timestamp_evento",
-        f"user_id % {STORES} as tienda_id",
+        "user_id as tienda_id",
         "user_id as empleado_id",
         "concat('SKU-', event_id % 185) as sku",
         "cast(1 + k % 5 as bigint) as cantidad",
@@ -164,10 +157,10 @@ def raw_events(spark: SparkSession, sf: str, with_arrival: bool = False) -> Data
 
 
 def security_map(spark: SparkSession, sf: str) -> DataFrame:
-    stores = raw_stores(spark, sf).select("region").distinct()
-    return stores.selectExpr(
-        "concat('gerente', if(region in ('Chile', 'Perú'), 1, 2), '@example.com') as usuario_email", "region"
-    )
+    """Each user manages two stores and may see their regions."""
+    return raw_stores(spark, sf).selectExpr(
+        "concat('gerente', cast(tienda_id as int) div 2, '@example.com') as usuario_email", "region"
+    ).distinct()
 
 
 def stores(spark: SparkSession, sf: str) -> DataFrame:
@@ -200,7 +193,7 @@ def typed_sales(spark: SparkSession, sf: str, with_customer: bool = False) -> Da
     columns = [
         f"{_TICKET} as transaccion_id",
         "cast(l_shipdate as date) as fecha_venta",
-        f"cast(l_suppkey % {STORES} as int) as tienda_id",
+        "cast(l_suppkey as int) as tienda_id",
         "cast(l_suppkey as int) as empleado_id",
         f"{_SKU} as sku",
         "cast(l_quantity as int) as cantidad",
