@@ -89,7 +89,7 @@ _SKU = """case when l_quantity = 13 then case l_linenumber % 3 when 0 then '' wh
           when l_quantity = 37 and l_tax = 0 then concat('SKU-X', l_partkey) else concat('SKU-', l_partkey) end"""
 _CUSTOMER = """case o_custkey % 5 when 0 then '' when 1 then '  '
                else cast(o_custkey + if(o_custkey % 97 = 2, 100000000, 0) as string) end"""
-_DISCOUNT = "case when l_tax = 0.08 and l_linenumber = 1 then 90 else cast(round(l_discount * 100) as int) end"
+_DISCOUNT = "case when l_tax = 0.08 and l_linenumber = 1 then 90 else cast(l_discount * 100 + 0.5 as int) end"
 _BLANK_DISCOUNT = "l_linenumber = 3 and l_returnflag = 'N'"
 _PRICE = "cast(l_extendedprice as decimal(10,2))"
 _TICKET = "concat_ws('-', 'T', l_orderkey, l_linenumber, l_partkey, l_suppkey, cast(l_quantity as int))"

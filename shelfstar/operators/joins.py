@@ -17,6 +17,8 @@ from ..session import BROADCAST_BYTES, fits_broadcast, shuffle_partitions
 
 HOT_KEYS = 1000
 SENTINEL = -1
+#: Dimension, key column it shares with the fact, attributes to take.
+Grouping = tuple[DataFrame, str, Sequence[str]]
 
 
 def lookup(
@@ -106,6 +108,16 @@ def inner_on(left: DataFrame, right: DataFrame, keys: Sequence[str] | str) -> Da
     return left.join(right, keys, "inner")
 
 
+def star(fact: DataFrame, dims: Sequence[Grouping]) -> DataFrame:
+    """Dimension attributes beside a fact that is already summed on its keys.
+
+    Rows without a match stay, with NULL attributes.
+    """
+    for dim, on, attributes in dims:
+        fact = left_on(fact, dim.select(on, *attributes), [on])
+    return fact
+
+
 def orphan_counts(df: DataFrame, col: str, dim: DataFrame, key: str) -> DataFrame:
     """Values of ``col`` absent from the dimension and their row counts; NULL is not a value.
 

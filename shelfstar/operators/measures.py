@@ -13,13 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.money import divide
+from . import joins
 from .clean import ANOMALY_PCT
-from .joins import SENTINEL, left_on
+from .joins import SENTINEL, Grouping
 from .periods import last_period_sum
 
 Parts = dict[str, Column]
-#: Dimension, key column it shares with the fact, attributes to group by.
-Grouping = tuple[DataFrame, str, Sequence[str]]
 
 
 @dataclass(frozen=True)
@@ -93,13 +92,6 @@ SALES_MEASURES = (
 TARGET_MEASURES = (VENTA_REAL, META_VENTA, CUMPLIMIENTO_PCT, VARIACION_PCT, MESES_CUMPLIDOS)
 
 
-def _attach(df: DataFrame, dims: Sequence[Grouping]) -> DataFrame:
-    """Dimension attributes by left join: rows without a match keep a NULL group."""
-    for dim, on, attributes in dims:
-        df = left_on(df, dim.select(on, *attributes), [on])
-    return df
-
-
 def _names(keys: Sequence[str], dims: Sequence[Grouping]) -> list[str]:
     return [*keys, *(a for _, _, attributes in dims for a in attributes)]
 
@@ -119,7 +111,7 @@ def evaluate(
     summed = fact.groupBy(*own).agg(*(F.sum(part).alias(name) for name, part in parts.items()))
     groups = _names(keys, dims)
     if dims:
-        summed = _attach(summed, dims).groupBy(*groups).agg(*(F.sum(name).alias(name) for name in parts))
+        summed = joins.star(summed, dims).groupBy(*groups).agg(*(F.sum(name).alias(name) for name in parts))
     return summed.select(*groups, *(m.value().alias(m.name) for m in measures))
 
 
@@ -129,4 +121,4 @@ def closing_stock(
     """Stock at the last period of each group; periods are never added up."""
     own = list(dict.fromkeys([*keys, *(on for _, on, _ in dims), "fecha_key"]))
     summed = inventory.groupBy(*own).agg(F.sum("cantidad_disponible").alias("_stock"))
-    return last_period_sum(_attach(summed, dims), _names(keys, dims), "fecha_key", "_stock", name)
+    return last_period_sum(joins.star(summed, dims), _names(keys, dims), "fecha_key", "_stock", name)
