@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -10,15 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.dates import calendar_columns
 from ..functions.text import display_name
 from .clean import NO_TIER
+from .contracts import contract
 from .joins import SENTINEL
 from .keys import surrogate_key
 
 # The member that stands for sales without a customer.
 UNKNOWN_CUSTOMER = "Cliente No Identificado"
 UNKNOWN_CITY = "N/A"
-CUSTOMER_SCHEMA = (
-    "cliente_key INT, cliente_id INT, nombre_completo STRING, fecha_registro DATE, tier_lealtad STRING, ciudad STRING"
-)
 
 
 def calendar_between(bounds: DataFrame, first: str, last: str) -> DataFrame:
@@ -35,46 +33,47 @@ def dim_fecha(sales: DataFrame, date_col: str = "fecha_venta") -> DataFrame:
     return calendar_between(bounds, "primera", "ultima")
 
 
-def unknown_member(spark: SparkSession, schema: str, values: Sequence[Any]) -> DataFrame:
-    """One literal row, made of a one-row range so that the optimizer knows how small it is.
+def unknown_member(spark: SparkSession, schema: T.StructType, values: Mapping[str, Any]) -> DataFrame:
+    """One literal row; columns without a value are NULL.
 
-    Integers are added to the range's zero: a key that is a plain literal would be folded out of
-    join conditions and turn an equi-join into a nested loop.
+    It is made of a one-row range, so that the optimizer knows how small it is, and integers are
+    added to the range's zero: a key that is a plain literal would be folded out of join conditions
+    and turn an equi-join into a nested loop.
     """
 
     def column(value: Any) -> Column:
         return F.col("id") + value if isinstance(value, int) else F.lit(value)
 
-    fields = T.StructType.fromDDL(schema).fields
-    return spark.range(1).select(*(column(v).cast(f.dataType).alias(f.name) for f, v in zip(fields, values)))
+    return spark.range(1).select(*(column(values.get(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
 def with_unknown_member(dim: DataFrame, row: DataFrame) -> DataFrame:
     return row.unionByName(dim.select(*row.columns))
 
 
+def _keyed(df: DataFrame, table: str, key: str, natural: str) -> DataFrame:
+    """Surrogate key in front of the columns of the table's contract."""
+    return surrogate_key(df, key, natural).select(*contract(table).fieldNames())
+
+
 def dim_tienda(stores: DataFrame) -> DataFrame:
-    shown: Column = display_name("nombre_tienda", "tienda_id").alias("nombre_tienda_display")
-    return surrogate_key(stores, "tienda_key", "tienda_id").select(
-        "tienda_key", "tienda_id", "nombre_tienda", shown,
-        "ciudad", "pais", "region", "formato_tienda", "fecha_apertura",
-    )
+    """The display name adds the id, since several stores may share a name."""
+    named = stores.withColumn("nombre_tienda_display", display_name("nombre_tienda", "tienda_id"))
+    return _keyed(named, "DimTienda", "tienda_key", "tienda_id")
 
 
 def dim_producto(products: DataFrame) -> DataFrame:
-    return surrogate_key(products, "producto_key", "sku").select(
-        "producto_key", "sku", "nombre_producto", "categoria", "subcategoria", "marca", "costo_unitario"
-    )
+    return _keyed(products, "DimProducto", "producto_key", "sku")
 
 
 def dim_empleado(employees: DataFrame) -> DataFrame:
-    return surrogate_key(employees, "empleado_key", "empleado_id").select(
-        "empleado_key", "empleado_id", "nombre_completo", "tienda_id", "puesto",
-        "fecha_ingreso", "salario", "documento_identidad",
-    )
+    return _keyed(employees, "DimEmpleado", "empleado_key", "empleado_id")
 
 
 def dim_cliente(customers: DataFrame, sentinel: int = SENTINEL) -> DataFrame:
-    member = [sentinel, sentinel, UNKNOWN_CUSTOMER, None, NO_TIER, UNKNOWN_CITY]
-    row = unknown_member(customers.sparkSession, CUSTOMER_SCHEMA, member)
-    return with_unknown_member(surrogate_key(customers, "cliente_key", "cliente_id"), row)
+    member = {
+        "cliente_key": sentinel, "cliente_id": sentinel, "nombre_completo": UNKNOWN_CUSTOMER,
+        "tier_lealtad": NO_TIER, "ciudad": UNKNOWN_CITY,
+    }
+    row = unknown_member(customers.sparkSession, contract("DimCliente"), member)
+    return with_unknown_member(_keyed(customers, "DimCliente", "cliente_key", "cliente_id"), row)

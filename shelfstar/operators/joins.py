@@ -49,19 +49,19 @@ def _spread_lookup(
     resolved = hot.join(dim.join(F.broadcast(hot), on, "left_semi"), on, "left").select(
         F.col(on).alias("_hot_key"), F.lit(True).alias("_hot"), *(F.col(v).alias(f"_hot_{v}") for v in values)
     )
-    # Hot rows are done after this join; they still pass the next one, so they get a key that
-    # matches nothing and sends each map task's share to another partition.
+    # Hot rows are done after this join. They still pass the next one: without a key, so that they
+    # match nothing, and with a slot that sends each map task's share to another partition.
     marked = fact.join(F.broadcast(resolved), F.col(on).eqNullSafe(F.col("_hot_key")), "left")
-    slot = F.spark_partition_id() % shuffle_partitions(fact.sparkSession)
-    no_key = F.lit(None).cast(dim.schema[on].dataType)
-    target = F.when(F.col("_hot"), F.struct(no_key.alias("k"), slot.alias("slot"))).otherwise(
-        F.struct(F.col(on).cast(dim.schema[on].dataType).alias("k"), F.lit(0).alias("slot"))
-    )
+    partitions = shuffle_partitions(fact.sparkSession)
+    marked = marked.withColumns({
+        "_key": F.when(F.col("_hot").isNull(), F.col(on)),
+        "_slot": F.when(F.col("_hot"), F.spark_partition_id() % partitions).otherwise(F.lit(0)),
+    })
+    # The slot of a dimension row is always 0; written so that it is not folded into the condition.
     cold = dim.select(
-        F.struct(F.col(on).alias("k"), F.lit(0).alias("slot")).alias("_target"),
-        *(F.col(v).alias(f"_cold_{v}") for v in values),
-    ).filter(F.col("_target.k").isNotNull())
-    joined = marked.withColumn("_target", target).join(cold, "_target", "left")
+        F.col(on).alias("_key"), F.pmod(F.hash(on), F.lit(1)).alias("_slot"), *(F.col(v).alias(f"_cold_{v}") for v in values)
+    )
+    joined = marked.join(cold, ["_key", "_slot"], "left")
     picked = [F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(f"_cold_{v}")).alias(v) for v in values]
     return joined.select(on, *(c for c in fact.columns if c != on), *picked)
 

@@ -16,6 +16,7 @@ from ..sources.delimited import MANIFEST, Entry, ingest
 from ..sources.tables import escribir_gold, escribir_silver, leer_bronze, leer_gold, leer_silver, stage
 from ..streaming.refine import event_checks, refine_events
 
+# Columns that may not be empty, text shapes, and the catalogs sales refer to.
 REQUIRED_SALES = (
     "transaccion_id", "fecha_venta", "hora_venta", "fecha_hora_venta", "tienda_id", "empleado_id", "sku",
     "cantidad", "precio_unitario", "descuento_pct", "medio_pago", "venta_total",

@@ -18,6 +18,7 @@ from ..operators.filters import inconsistent
 from ..operators.quality import null_rules, rules
 
 DELAY = "1 hour"
+# Columns that may not be empty, and the columns of the anomaly report.
 REQUIRED = (*EVENT_COLUMNS, "venta_total")
 ANOMALY_COLUMNS = (
     "timestamp_evento", "evento_id", "tienda_id", "empleado_id",
