@@ -349,20 +349,20 @@ STATEMENTS = {
         count(DISTINCT anio_mes) AS meses, count(*) FILTER (sin_stock) AS registros_sin_stock FROM inventario""",
     "payment_counts": "SELECT medio_pago, count(*) AS count FROM ventas GROUP BY medio_pago",
     "tier_counts": "SELECT tier_lealtad, count(*) AS count FROM clientes GROUP BY tier_lealtad",
-    # measures and reports
+    # measures and reports; a count of nothing is blank
     "sales_measures": f"""SELECT {_v('sum(venta_total)', 'venta_total')}, {_v('sum(costo_total)', 'costo_total')},
         {_v('sum(venta_total) - sum(costo_total)', 'margen_bruto')},
         {_v('(sum(venta_total) - sum(costo_total))::double / sum(venta_total)::double', 'margen_pct')}, sum(cantidad)::bigint AS unidades_vendidas,
-        count(*) AS transacciones, {_v('sum(venta_total)::double / count(*)', 'ticket_promedio')},
-        count(*) FILTER (descuento_pct >= 50) AS ventas_descuento_atipico,
-        {_v('(count(*) FILTER (cliente_key = -1))::double / count(*)', 'pct_ventas_sin_cliente')} FROM fact_ventas""",
+        nullif(count(*), 0) AS transacciones, {_v('sum(venta_total)::double / count(*)', 'ticket_promedio')},
+        nullif(count(*) FILTER (descuento_pct >= 50), 0) AS ventas_descuento_atipico,
+        {_v('nullif(count(*) FILTER (cliente_key = -1), 0)::double / count(*)', 'pct_ventas_sin_cliente')} FROM fact_ventas""",
     "target_measures": f"""SELECT {_v('sum(venta_total_real)', 'venta_real_mensual')}, {_v('sum(meta_venta)', 'meta_venta')},
         {_v('sum(venta_total_real)::double / sum(meta_venta)::double', 'cumplimiento_pct')},
         {_v('(sum(venta_total_real) - sum(meta_venta))::double / sum(meta_venta)::double', 'variacion_pct')},
-        count(*) FILTER (venta_total_real >= coalesce(meta_venta, 0)) AS meses_meta_cumplida FROM metas""",
-    "kpis": f"""SELECT {_v('sum(venta_total)', 'venta_total')}, count(*) AS transacciones, {_v('sum(venta_total)::double / count(*)', 'ticket_promedio')},
+        nullif(count(*) FILTER (venta_total_real >= coalesce(meta_venta, 0)), 0) AS meses_meta_cumplida FROM metas""",
+    "kpis": f"""SELECT {_v('sum(venta_total)', 'venta_total')}, nullif(count(*), 0) AS transacciones, {_v('sum(venta_total)::double / count(*)', 'ticket_promedio')},
         {_v('(sum(venta_total) - sum(costo_total))::double / sum(venta_total)::double', 'margen_pct')} FROM fact_ventas""",
-    "kpis_sliced": f"""SELECT {_v('sum(venta_total)', 'venta_total')}, count(*) AS transacciones, {_v('sum(venta_total)::double / count(*)', 'ticket_promedio')},
+    "kpis_sliced": f"""SELECT {_v('sum(venta_total)', 'venta_total')}, nullif(count(*), 0) AS transacciones, {_v('sum(venta_total)::double / count(*)', 'ticket_promedio')},
         {_v('(sum(venta_total) - sum(costo_total))::double / sum(venta_total)::double', 'margen_pct')} FROM venta_estrella
         WHERE region IN ('México', 'Perú') AND formato_tienda IN ('Express') AND nombre_mes IN ('Enero', 'Febrero')""",
     "sales_by_region": f"SELECT region, {_v('sum(venta_total)', 'venta_total')} FROM venta_estrella GROUP BY region",
@@ -380,7 +380,7 @@ STATEMENTS = {
     "fulfilment_by_store": f"""SELECT nombre_tienda_display, {_v('sum(venta_total_real)::double / sum(meta_venta)::double', 'cumplimiento_pct')}
         FROM metas_tienda GROUP BY nombre_tienda_display""",
     "target_kpis": f"""SELECT {_v('sum(venta_total_real)', 'venta_real_mensual')}, {_v('sum(meta_venta)', 'meta_venta')},
-        count(*) FILTER (venta_total_real >= coalesce(meta_venta, 0)) AS meses_meta_cumplida FROM metas_tienda WHERE region IN ('Argentina')""",
+        nullif(count(*) FILTER (venta_total_real >= coalesce(meta_venta, 0)), 0) AS meses_meta_cumplida FROM metas_tienda WHERE region IN ('Argentina')""",
     "closing_stock_by_month": _closing("mes, nombre_mes"),
     "stock_outs": """SELECT nombre_tienda_display, categoria, mes, nombre_mes, count(*) AS quiebres_de_stock FROM stock WHERE sin_stock GROUP BY ALL""",
     "stock_pivot": "SELECT nombre_tienda_display, " + ", ".join(
