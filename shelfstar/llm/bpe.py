@@ -3,10 +3,10 @@
 Merging is turned into reading left to right. The encoding of every prefix of a text ends with one token,
 and dropping that token leaves the encoding of a shorter prefix; which token it is depends only on it and the
 token before it, because merging must not join anything across their border. So a reader keeps, for each
-place from which a token may still reach beyond what was read, where it stands in the token trie and the tokens
-since the last one that all of them share. That is a state of the transducer: finitely many, as no token
-is longer than the longest. States and transitions are made when first met and kept. A token is emitted
-as soon as all places agree on it, that is after a lookahead of less than the longest token.
+place from which a token may still reach beyond what was read, where it stands in the token trie and which token
+came before. That is a state of the transducer: finitely many, as the trie and the tokens are. States and
+transitions are made when first met and kept. A token is sure as soon as all places agree on it; matches are
+short, so tokens go out at their end, and in a long match whenever 4,096 bytes are pending.
 
 Decoding feeds token bytes to an incremental UTF-8 machine that holds back an unfinished character.
 """
@@ -14,6 +14,7 @@ Decoding feeds token bytes to an incremental UTF-8 machine that holds back an un
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -22,7 +23,11 @@ import regex
 from pyspark.sql import Column, functions as F
 
 #: Kept states, words with their ids, and the longest such word; caches start anew when full.
-STATES, WORDS, LONGEST_WORD = 100_000, 300_000, 64
+STATES, WORDS, LONGEST_WORD = 150_000, 300_000, 64
+#: Bytes after which a long match starts to give out tokens.
+PENDING = 4096
+_BITS = 20
+_NONE = (1 << _BITS) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -76,13 +81,21 @@ class Merges:
 
 
 class Transducer:
-    """Encodes the bytes of one match of the splitting pattern."""
+    """Encodes the bytes of one match of the splitting pattern.
+
+    A place is a trie node and the token before it, packed in one integer; a state is a tuple of places, the one
+    that reaches back furthest first. A transition tells the next state and the token that ends here.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.merges = Merges(ranks)
         self._child: dict[int, int] = {}
         self._token: list[int | None] = [None]
         self._inner: list[bool] = [True]
+        self._depth: list[int] = [0]
+        self._width = {rank: len(octets) for octets, rank in ranks.items()}
+        if max(ranks.values()) >= _NONE:
+            raise ValueError("token ids must be below 2 to the 20th")
         for octets, rank in ranks.items():
             node = 0
             for byte in octets:
@@ -92,74 +105,103 @@ class Transducer:
                     self._child[edge] = len(self._token)
                     self._token.append(None)
                     self._inner.append(False)
+                    self._depth.append(self._depth[node] + 1)
                 node = self._child[edge]
             self._token[node] = rank
         self._forget()
 
     def _forget(self) -> None:
-        self._states = [(None, ((0, ()),))]
+        self._states = [(_NONE,)]
         self._number = {self._states[0]: 0}
-        self._moves: dict[int, tuple[int, tuple[int, ...]]] = {}
+        self._moves: dict[int, int] = {}
 
-    def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        tail, places = self._states[state]
+    def _move(self, state: int, byte: int) -> int:
         ended, ahead = None, []
-        for node, path in places:
-            child = self._child.get(node << 8 | byte)
+        for place in self._states[state]:
+            child = self._child.get(place >> _BITS << 8 | byte)
             if child is None:
                 continue
-            token = self._token[child]
-            if ended is None and token is not None:
-                last = path[-1] if path else tail
-                if last is None or self.merges.apart(last, token):
-                    ended = (*path, token)
+            token, last = self._token[child], place & _NONE
+            if ended is None and token is not None and (last == _NONE or self.merges.apart(last, token)):
+                ended = token
             if self._inner[child]:
-                ahead.append((child, path))
-        ahead.append((0, ended))
-        agreed = 0
-        shortest = min(len(path) for _, path in ahead)
-        while agreed < shortest and all(path[agreed] == ended[agreed] for _, path in ahead):
-            agreed += 1
-        out = ended[:agreed]
-        to = (out[-1] if out else tail, tuple((node, path[agreed:]) for node, path in ahead))
+                ahead.append(child << _BITS | last)
+        ahead.append(ended)
+        to = tuple(ahead)
         number = self._number.setdefault(to, len(self._states))
         if number == len(self._states):
             self._states.append(to)
-        self._moves[state << 8 | byte] = number, out
-        return number, out
-
-    def encode(self, octets: bytes) -> list[int]:
+        step = self._moves[state << 8 | byte] = number << _BITS | ended
+        return step
+
+    def _agreed(self, state: int, ended: list[int]) -> int:
+        """How many of the bytes read all places of a state share the tokens of."""
+        at = {len(ended) - self._depth[place >> _BITS] for place in self._states[state]}
+        while len(at) > 1:
+            last = max(at)
+            at = at - {last} | {last - self._width[ended[last - 1]]}
+        return at.pop()
+
+    def _tokens(self, ended: list[int], at: int) -> list[int]:
+        out = []
+        while at:
+            token = ended[at - 1]
+            out.append(token)
+            at -= self._width[token]
+        out.reverse()
+        return out
+
+    def stream(self, octets: bytes, pending: int = PENDING) -> Iterator[list[int]]:
+        """Tokens of one match. Beyond ``pending`` bytes, those that all places agree on go out before the end."""
         if len(self._states) > STATES:
             self._forget()
-        state, out, moves = 0, [], self._moves
+        state, ended, moves = 0, [], self._moves
         for byte in octets:
-            step = moves.get(state << 8 | byte) or self._move(state, byte)
-            state = step[0]
-            if step[1]:
-                out += step[1]
-        return out + list(self._states[state][1][-1][1])
+            step = moves.get(state << 8 | byte)
+            if step is None:
+                step = self._move(state, byte)
+            state = step >> _BITS
+            ended.append(step & _NONE)
+            if len(ended) >= pending and (sure := self._agreed(state, ended)):
+                yield self._tokens(ended, sure)
+                del ended[:sure]
+        yield self._tokens(ended, len(ended))
 
+    def encode(self, octets: bytes) -> list[int]:
+        return [token for part in self.stream(octets) for token in part]
 
-class Encoder(dict):
+
+class Encoder:
     """Ids of each match of the pattern as 32-bit integers, kept for matches met again."""
 
     def __init__(self, path: str, pattern: str):
-        super().__init__()
         self._transducer = Transducer(read_ranks(path))
         self._split = regex.compile(pattern)
+        self._words = _Words(self._transducer)
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of the whole text, 4 bytes each; none for a null or empty one."""
+        return b"".join(map(self._words.__getitem__, self._split.findall(text))) if text else b""
+
+
+class _Words(dict):
+    """A full table becomes the old one, from which what is met again comes back."""
+
+    def __init__(self, transducer: Transducer):
+        super().__init__()
+        self._transducer, self._old = transducer, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self._transducer.encode(word.encode()), np.int32).tobytes()
+        ids = self._old.get(word)
+        if ids is None:
+            ids = array("i", self._transducer.encode(word.encode())).tobytes()
         if len(word) <= LONGEST_WORD:
             if len(self) >= WORDS:
+                self._old = dict(self)
                 self.clear()
             self[word] = ids
         return ids
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids of the whole text, 4 bytes each; none for a null or empty one."""
-        return b"".join(map(self.__getitem__, self._split.findall(text))) if text else b""
-
 
 #: Leading bytes of UTF-8: first and last byte of the class, bytes that follow, bounds of the next one.
 _LEADS = ((0xC2, 0xDF, 1, 0x80, 0xBF), (0xE0, 0xE0, 2, 0xA0, 0xBF), (0xE1, 0xEC, 2, 0x80, 0xBF), (0xED, 0xED, 2, 0x80, 0x9F),
