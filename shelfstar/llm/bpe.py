@@ -22,8 +22,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, functions as F
 
-#: Kept states, words with their ids, and the longest such word; caches start anew when full.
-STATES, WORDS, LONGEST_WORD = 150_000, 300_000, 64
+#: Kept states, borders of two tokens, pieces of text with their ids, and the longest such piece; tables start anew when full.
+STATES, PAIRS, KEPT, LONGEST_KEPT = 250_000, 500_000, 250_000, 64
 #: Bytes after which a long match starts to give out tokens.
 PENDING = 4096
 _BITS = 20
@@ -42,7 +42,6 @@ class Merges:
         self.ranks = ranks
         self.octets = {rank: token for token, rank in ranks.items()}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._apart: dict[tuple[int, int], bool] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens that the merge giving ``token`` joins; None for a single byte."""
@@ -60,18 +59,14 @@ class Merges:
 
     def apart(self, left: int, right: int) -> bool:
         """Whether merging leaves the border of the two tokens alone; found by undoing merges at it, latest first."""
-        known = self._apart.get((left, right))
-        if known is None:
-            known = self._apart[left, right] = self._stays(left, right)
-        return known
-
-    def _stays(self, left: int, right: int) -> bool:
         least = None  # merges of this rank and above had no turn before the one just undone
+        ranks, octets, halves = self.ranks, self.octets, self._halves
         while True:
-            joined = self.ranks.get(self.octets[left] + self.octets[right])
+            joined = ranks.get(octets[left] + octets[right])
             if joined is not None and (least is None or joined < least):
                 return False
-            a, b = self.halves(left), self.halves(right)
+            a = halves[left] if left in halves else self.halves(left)
+            b = halves[right] if right in halves else self.halves(right)
             if a is None and b is None:
                 return True
             if b is None or a is not None and left > right:
@@ -108,28 +103,40 @@ class Transducer:
                     self._depth.append(self._depth[node] + 1)
                 node = self._child[edge]
             self._token[node] = rank
+        self._apart: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
         self._states = [(_NONE,)]
         self._number = {self._states[0]: 0}
         self._moves: dict[int, int] = {}
+        if len(self._apart) > PAIRS:
+            self._apart.clear()
 
     def _move(self, state: int, byte: int) -> int:
-        ended, ahead = None, []
+        ended, ahead, find, tokens, inner, apart = None, [], self._child.get, self._token, self._inner, self._apart
         for place in self._states[state]:
-            child = self._child.get(place >> _BITS << 8 | byte)
+            child = find(place >> _BITS << 8 | byte)
             if child is None:
                 continue
-            token, last = self._token[child], place & _NONE
-            if ended is None and token is not None and (last == _NONE or self.merges.apart(last, token)):
-                ended = token
-            if self._inner[child]:
+            last = place & _NONE
+            if ended is None and (token := tokens[child]) is not None:
+                if last == _NONE:
+                    ended = token
+                else:
+                    pair = last << _BITS | token
+                    fits = apart.get(pair)
+                    if fits is None:
+                        fits = apart[pair] = self.merges.apart(last, token)
+                    if fits:
+                        ended = token
+            if inner[child]:
                 ahead.append(child << _BITS | last)
         ahead.append(ended)
         to = tuple(ahead)
-        number = self._number.setdefault(to, len(self._states))
-        if number == len(self._states):
+        number = self._number.get(to)
+        if number is None:
+            number = self._number[to] = len(self._states)
             self._states.append(to)
         step = self._moves[state << 8 | byte] = number << _BITS | ended
         return step
@@ -155,54 +162,89 @@ class Transducer:
         """Tokens of one match. Beyond ``pending`` bytes, those that all places agree on go out before the end."""
         if len(self._states) > STATES:
             self._forget()
-        state, ended, moves = 0, [], self._moves
+        state, ended = 0, []
+        for at in range(0, len(octets), pending):
+            state = self._read(state, octets[at : at + pending], ended)
+            if at + pending < len(octets) and (sure := self._agreed(state, ended)):
+                yield self._tokens(ended, sure)
+                del ended[:sure]
+        yield self._tokens(ended, len(ended))
+
+    def _read(self, state: int, octets: bytes, ended: list[int]) -> int:
+        moves = self._moves
         for byte in octets:
             step = moves.get(state << 8 | byte)
             if step is None:
                 step = self._move(state, byte)
             state = step >> _BITS
             ended.append(step & _NONE)
-            if len(ended) >= pending and (sure := self._agreed(state, ended)):
-                yield self._tokens(ended, sure)
-                del ended[:sure]
-        yield self._tokens(ended, len(ended))
+        return state
 
     def encode(self, octets: bytes) -> list[int]:
         return [token for part in self.stream(octets) for token in part]
 
 
-class Encoder:
-    """Ids of each match of the pattern as 32-bit integers, kept for matches met again."""
-
-    def __init__(self, path: str, pattern: str):
-        self._transducer = Transducer(read_ranks(path))
-        self._split = regex.compile(pattern)
-        self._words = _Words(self._transducer)
-
-    def encode(self, text: str | None) -> bytes:
-        """Ids of the whole text, 4 bytes each; none for a null or empty one."""
-        return b"".join(map(self._words.__getitem__, self._split.findall(text))) if text else b""
-
+class _Kept(dict):
+    """Ids of pieces of text as 32-bit integers. A full table becomes the old one, from which what is met again comes back."""
 
-class _Words(dict):
-    """A full table becomes the old one, from which what is met again comes back."""
-
-    def __init__(self, transducer: Transducer):
+    def __init__(self, make, most: int):
         super().__init__()
-        self._transducer, self._old = transducer, {}
+        self._make, self._most, self._old = make, most, {}
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self._old.get(word)
+    def __missing__(self, piece: str) -> bytes | None:
+        ids = self._old.get(piece)
         if ids is None:
-            ids = array("i", self._transducer.encode(word.encode())).tobytes()
-        if len(word) <= LONGEST_WORD:
-            if len(self) >= WORDS:
+            ids = self._make(piece)
+        if len(piece) <= LONGEST_KEPT:
+            if len(self) >= self._most:
                 self._old = dict(self)
                 self.clear()
-            self[word] = ids
+            self[piece] = ids
         return ids
 
 
+class Encoder:
+    """Ids of whole texts.
+
+    A single blank between two characters that aren't white space always begins a match, so a text without other
+    blanks is a sequence of blank-led chunks, each matched and encoded by itself and kept for the next time.
+    A chunk of letters is one match, and so are letters before a full stop or comma, whatever the pattern
+    makes of the rest.
+    """
+
+    def __init__(self, path: str, pattern: str):
+        self._transducer = Transducer(read_ranks(path))
+        self._matches = regex.compile(pattern).findall
+        self._words = _Kept(self._encoded, KEPT // 4)
+        self._chunks = _Kept(self._chunk, KEPT)
+        self._plain = self._matches(" añ.") == [" añ", "."] == self._matches(" añ,")[:1] + ["."]
+
+    def _encoded(self, match: str) -> bytes:
+        return array("i", self._transducer.encode(match.encode())).tobytes()
+
+    def _chunk(self, chunk: str) -> bytes | None:
+        """None if white space at an end makes its neighbours matter."""
+        if self._plain:
+            if chunk.isalpha():
+                return self._encoded(" " + chunk)
+            if chunk[-1:] in (".", ",") and chunk[:-1].isalpha():
+                return self._chunks[chunk[:-1]] + self._words[chunk[-1]]
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            return None
+        return self._all(" " + chunk)
+
+    def _all(self, text: str) -> bytes:
+        return b"".join(map(self._words.__getitem__, self._matches(text)))
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids of the whole text, 4 bytes each; none for a null or empty one."""
+        if not text:
+            return b""
+        first, *rest = text.split(" ")
+        ids = [None] if not first or first[-1].isspace() else [self._all(first), *map(self._chunks.__getitem__, rest)]
+        return self._all(text) if None in ids else b"".join(ids)
+
+
 #: Leading bytes of UTF-8: first and last byte of the class, bytes that follow, bounds of the next one.
 _LEADS = ((0xC2, 0xDF, 1, 0x80, 0xBF), (0xE0, 0xE0, 2, 0xA0, 0xBF), (0xE1, 0xEC, 2, 0x80, 0xBF), (0xED, 0xED, 2, 0x80, 0x9F),
           (0xEE, 0xEF, 2, 0x80, 0xBF), (0xF0, 0xF0, 3, 0x90, 0xBF), (0xF1, 0xF3, 3, 0x80, 0xBF), (0xF4, 0xF4, 3, 0x80, 0x8F))
@@ -271,14 +313,14 @@ class Decoder:
             return "".join(self.stream(ids))
 
 
-_KEPT: dict[tuple, Encoder | Decoder] = {}
+_TABLES: dict[tuple, Encoder | Decoder] = {}
 
 
-def _kept(kind: type, *args: str):
+def _table(kind: type, *args: str):
     """One per worker process."""
-    if (kind, *args) not in _KEPT:
-        _KEPT[kind, *args] = kind(*args)
-    return _KEPT[kind, *args]
+    if (kind, *args) not in _TABLES:
+        _TABLES[kind, *args] = kind(*args)
+    return _TABLES[kind, *args]
 
 
 def encode(text: Column, ranks_path: str, pattern: str) -> Column:
@@ -286,10 +328,11 @@ def encode(text: Column, ranks_path: str, pattern: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def of(texts: pa.Array) -> pa.Array:
-        encoder = _kept(Encoder, ranks_path, pattern)
-        found = [encoder.encode(t) for t in texts.to_pylist()]
-        ends = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
+        encoder, ids, ends = _table(Encoder, ranks_path, pattern), bytearray(), [0]
+        for text in texts:
+            ids += encoder.encode(text.as_py())
+            ends.append(len(ids) // 4)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(ids, np.int32)))
 
     return of(text)
 
@@ -299,7 +342,10 @@ def decode(ids: Column, ranks_path: str) -> Column:
 
     @F.arrow_udf("string")
     def of(arrays: pa.Array) -> pa.Array:
-        decoder = _kept(Decoder, ranks_path)
-        return pa.array([None if x is None else decoder.decode(x) for x in arrays.to_pylist()], pa.string())
+        decoder = _table(Decoder, ranks_path)
+        values, ends, known = arrays.values.to_numpy(), arrays.offsets.to_numpy(), arrays.is_valid().to_pylist()
+        # one document's ids become Python integers at a time
+        texts = (decoder.decode(values[a:b].tolist()) if there else None for a, b, there in zip(ends, ends[1:], known))
+        return pa.array(texts, pa.string(), size=len(arrays))
 
     return of(ids)

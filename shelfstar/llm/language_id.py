@@ -51,9 +51,11 @@ def ngram_counts(text: str) -> np.ndarray:
 
 def code_matrix(classes: int, seed: int = 7) -> np.ndarray:
     """A row of +1 and -1 for each class: all splits for up to 7 classes, else the best of 200 random codes."""
+    if classes < 2:
+        return np.zeros((classes, 0))
     if classes <= 7:
-        columns = [[1, *(1 if m >> k & 1 else -1 for k in range(classes - 1))] for m in range(2 ** max(0, classes - 1) - 1)]
-        return np.array(columns, np.float64).reshape(-1, classes).T
+        columns = [[1, *(1 if m >> k & 1 else -1 for k in range(classes - 1))] for m in range(2 ** (classes - 1) - 1)]
+        return np.array(columns, np.float64).T
     rng, best, width = np.random.default_rng(seed), None, math.ceil(10 * math.log2(classes))
     for _ in range(200):
         code = rng.choice([-1.0, 1.0], (classes, width))

@@ -22,8 +22,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "novel")
 
-_HINT = re.compile(r"passw|secret|token|api_?key", re.I | re.A)
-_SENSITIVE = re.compile(r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|private_?key|credential|auth|bearer|signature|session)s?(?![a-z])", re.I | re.A)
+#: Parts of every word that the assignment pattern and the sensitive words begin from; a plain search is far cheaper than they are.
+_HINTS = ("passw", "passphrase", "pwd", "secret", "token", "api_key", "apikey", "private", "credential", "auth", "bearer", "signature", "session")
+_SENSITIVE = re.compile(r"(?:pass(?:word|wd|phrase)|pwd|secret|token|api_?key|private_?key|credential|auth|bearer|signature|session)s?(?![a-z])", re.I | re.A)
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 REACH = 64
 AROUND = 256
@@ -67,9 +68,15 @@ class Novelty:
         return self.bytes_added(around, run) >= NOVELTY * len(run)
 
 
-def base_spans(text: str) -> list[Span]:
+def hinted(text: str) -> bool:
+    lower = text.lower()
+    return any(hint in lower for hint in _HINTS)
+
+
+def base_spans(text: str, assigned: bool = True) -> list[Span]:
+    """``assigned``: whether the text may hold an assignment."""
     found = []
-    if _HINT.search(text):
+    if assigned:
         found += [Span("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
     if "AKIA" in text:
         found += [Span("access", *m.span()) for m in ACCESS.finditer(text) if len(m[0]) >= 20]
@@ -101,8 +108,11 @@ def scan(text: str | None, novelty: Novelty) -> list[Span]:
     """All spans by start, then kind; none in a null or empty text."""
     if not text:
         return []
-    base = base_spans(text)
-    return sorted(base + novel_spans(text, base, novelty), key=lambda s: (s.start, KINDS.index(s.kind)))
+    sensitive = hinted(text)
+    found = base_spans(text, sensitive)
+    if sensitive:
+        found += novel_spans(text, found, novelty)
+    return sorted(found, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 
 def find_secrets(text: Column) -> Column:
