@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, language_id, line_quality, mixing, secrets, simhash, token_counts, toxicity, url_reputation, vector_dedup
-from .common import fold
+from .common import checkpointed, fold
 from .oracles import ORACLES as ORACLES
 
 #: Folds kept for testing, and the rules of the url query.
@@ -17,6 +17,8 @@ TOXIC_FOLDS, TOXIC_TEST = 5, 0
 RULES = [url_reputation.Rule("block", "net/"), url_reputation.Rule("allow", "example.net/en/"),
          url_reputation.Rule("block", "example.com/de/"), url_reputation.Rule("allow", "org/fr/")]
 LIMIT = 4096
+#: Some 32 MB as a hash table of longs.
+BROADCAST_LABELS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,11 +60,17 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(pages, page_outcomes(pages, table(spark, sf_dir, "labels")), RULES)
 
 
+def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Labelled texts. Up to ``BROADCAST_LABELS`` labels go to the texts; with more, the texts are shuffled once and kept."""
+    if labels.count() <= BROADCAST_LABELS:
+        return docs.join(F.broadcast(labels), "doc_id")
+    return checkpointed(docs.join(labels, "doc_id"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    train = docs.filter(fold("doc_id", TOXIC_FOLDS) != TOXIC_TEST).join(labels, "doc_id")
-    model = toxicity.fit(train)
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label")).dropna()
+    model = toxicity.fit(with_labels(docs.filter(fold("doc_id", TOXIC_FOLDS) != TOXIC_TEST), labels))
     scored = docs.select("doc_id", held_out(TOXIC_FOLDS, TOXIC_TEST).alias("held_out"), toxicity.toxicity(F.col("text"), model).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
