@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfstar.llm import bpe, language_id, mixing, secrets, simhash
-from shelfstar.llm.common import fold, fresh
+from shelfstar.llm.common import bounded_batches, fold, fresh
 from shelfstar.llm.queries import LANGUAGE_FOLDS, LANGUAGE_TEST
 from shelfstar.session import ensure_checkpoint_dir
 
@@ -22,6 +22,7 @@ LEAST_SURE = 0.4
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter, null ones among them, and those of no language that stands out."""
+    bounded_batches(spark)
     model = language_id.fit(docs.filter(fold("doc_id", LANGUAGE_FOLDS) != LANGUAGE_TEST))
     told = fresh(docs, "told")
     marked = docs.withColumn(told, language_id.identify(F.col("text"), model))
@@ -30,11 +31,13 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each SimHash group the document of smallest id."""
+    bounded_batches(spark)
     return simhash.one_of_each_group(docs)
 
 
 def scanned(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret in the texts; ``n_chars`` follows. Documents without one stay as they are."""
+    bounded_batches(spark)
     masked = docs.withColumn("text", secrets.redact(F.col("text")))
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns) if "n_chars" in docs.columns else masked
 
@@ -46,6 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, ``source``, ``ids``: token ids of the whole text, ``n_tokens``, and whether they decode to it."""
+    bounded_batches(spark)
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"), bpe.encode(F.col("text"), ranks, public_tokenizers.PATTERN).alias("ids"))
     both = ids.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), (bpe.decode(F.col("ids"), ranks) == F.col("text")).alias("round_trip"))

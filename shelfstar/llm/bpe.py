@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import Column, functions as F
 
 #: Kept states, borders of two tokens, pieces of text with their ids, and the longest such piece; tables start anew when full.
-STATES, PAIRS, KEPT, LONGEST_KEPT = 250_000, 500_000, 250_000, 64
+STATES, PAIRS, KEPT, LONGEST_KEPT = 160_000, 300_000, 160_000, 48
 #: Bytes after which a long match starts to give out tokens.
 PENDING = 4096
 _BITS = 20
@@ -181,6 +181,12 @@ class Transducer:
         return state
 
     def encode(self, octets: bytes) -> list[int]:
+        if len(octets) <= PENDING:
+            if len(self._states) > STATES:
+                self._forget()
+            ended: list[int] = []
+            self._read(0, octets, ended)
+            return self._tokens(ended, len(ended))
         return [token for part in self.stream(octets) for token in part]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -15,6 +15,19 @@ def fresh(df: DataFrame, stem: str) -> str:
     return stem
 
 
+#: Rows and bytes that go to a Python worker at once: texts may be long, and a worker holds a batch several times.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small in this session, if it has larger ones."""
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        setting = f"spark.sql.execution.arrow.{name}"
+        now = spark.conf.get(setting, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(setting, str(most))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder; later steps read it from there."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, language_id, line_quality, mixing, secrets, simhash, token_counts, toxicity, url_reputation, vector_dedup
-from .common import checkpointed, fold
+from .common import bounded_batches, checkpointed, fold
 from .oracles import ORACLES as ORACLES
 
 #: Folds kept for testing, and the rules of the url query.
@@ -22,6 +22,7 @@ BROADCAST_LABELS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
