@@ -306,8 +306,8 @@ STATEMENTS = {
     "same_rows": """SELECT *, izquierda = derecha AS cumple
         FROM (SELECT (SELECT count(*) FROM ventas) AS izquierda, (SELECT count(*) FROM fact_ventas) AS derecha)""",
     "verify_rows": _union(
-        _control("dim_tienda", "count(*)", "({0}) = 100", "dim_tienda"),
-        _control("dim_cliente", "count(*)", "({0}) = 1501", "dim_cliente")),
+        _control("dim_tienda", "count(*)", "({0}) = (SELECT count(*) FROM tiendas_raw)", "dim_tienda"),
+        _control("dim_cliente", "count(*)", "({0}) = (SELECT count(*) + 1 FROM clientes_raw)", "dim_cliente")),
     "profile_columns": _union(*(
         f"""SELECT '{c}' AS columna, (count(*) FILTER ({BLANK.format(c)} IS NULL))::bigint AS nulos_o_vacios,
         (count(*) FILTER ({c} <> trim({c}, ' ')))::bigint AS con_espacios, count(DISTINCT {c}) AS valores_distintos FROM ventas_raw"""
@@ -315,8 +315,8 @@ STATEMENTS = {
                   "precio_unitario", "descuento_pct", "medio_pago"))),
     "value_distribution": _union(*(
         f"SELECT '{c}' AS columna, {c} AS valor, count(*) AS n FROM ventas_raw GROUP BY {c}" for c in ("medio_pago", "tienda_id", "descuento_pct"))),
-    "repeated_names": """SELECT nombre_tienda, count(*) AS cantidad, 0 AS parte, string_agg(tienda_id, ',' ORDER BY tienda_id) AS tienda_id,
-        string_agg(fecha_apertura, ',' ORDER BY tienda_id) AS fecha_apertura FROM tiendas_raw GROUP BY nombre_tienda HAVING count(*) > 1""",
+    "repeated_names": """SELECT nombre_tienda, count(*) OVER por_nombre AS cantidad, tienda_id, fecha_apertura FROM tiendas_raw
+        WHERE nombre_tienda IS NOT NULL WINDOW por_nombre AS (PARTITION BY nombre_tienda) QUALIFY count(*) OVER por_nombre > 1""",
     "coverage": """SELECT tienda_id, nombre_tienda, formato_tienda FROM tiendas t
         WHERE NOT EXISTS (SELECT 1 FROM inventario i WHERE i.tienda_id = t.tienda_id)""",
     "repeated_event_ids": "SELECT evento_id, count(*) AS count FROM eventos GROUP BY evento_id HAVING count(*) > 1",
@@ -400,7 +400,12 @@ STATEMENTS = {
     "rls_dynamic": f"""SELECT tienda_id, anio_mes, {_v('venta_total_real')}, {_v('meta_venta')}, {_v('variacion_pct')} FROM metas
         WHERE tienda_id IN (SELECT tienda_id FROM dim_tienda WHERE region IN (SELECT region FROM mapa WHERE usuario_email = 'gerente2@example.com'))""",
     "security_map_own_rows": "SELECT usuario_email, region FROM mapa WHERE usuario_email = 'gerente1@example.com'",
-    "security_map_hidden": "SELECT usuario_email, region FROM mapa WHERE false",
+    "security_map_rows": """SELECT role, CASE role WHEN 'RRHH' THEN (SELECT count(*) FROM mapa)
+        WHEN 'Gerente_Region' THEN (SELECT count(*) FROM mapa WHERE usuario_email = 'gerente1@example.com') ELSE 0 END AS filas
+        FROM (SELECT unnest(['Default', 'RRHH', 'Gerente_Peru', 'Gerente_Region']) AS role)""",
+    "sales_conversions": _union(
+        _control("no_convierte_cliente_id", "count(*) FILTER (cantidad = '23')", "({0}) = 0", "ventas_raw"),
+        _control("no_convierte_descuento_pct", "count(*) FILTER (cantidad = '17')", "({0}) = 0", "ventas_raw")),
     # events
     "dedup_events": """SELECT DISTINCT trim(evento_id, ' ') AS evento_id, strftime(momento, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp_evento, tienda_id,
         empleado_id, sku, cantidad::bigint AS cantidad, precio_unitario, descuento_pct::bigint AS descuento_pct FROM eventos_raw""",

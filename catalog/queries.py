@@ -272,8 +272,19 @@ def same_rows(spark, sf):
 
 @query
 def verify_rows(spark, sf):
-    dims = roles.dims(spark, sf)
-    return quality.verify_written({"dim_tienda": (dims["tienda"], 100), "dim_cliente": (dims["cliente"], 1501)})
+    dims, stores, customers = roles.dims(spark, sf), roles.raw_stores(spark, sf).count(), roles.raw_customers(spark, sf).count()
+    return quality.verify_written({"dim_tienda": (dims["tienda"], stores), "dim_cliente": (dims["cliente"], customers + 1)})
+
+
+@query
+def sales_conversions(spark, sf):
+    """The fatal control of the sales job on text that does not convert."""
+    raw = roles.raw_sales(spark, sf)
+    dirty = raw.withColumns({
+        "descuento_pct": F.when(F.col("cantidad") == "17", "9O").otherwise(F.col("descuento_pct")),
+        "cliente_id": F.when(F.col("cantidad") == "23", F.concat(F.lit("C"), "tienda_id")).otherwise(F.col("cliente_id")),
+    })
+    return jobs.sales_conversions(dirty)
 
 
 @query
@@ -578,8 +589,14 @@ def security_map_own_rows(spark, sf):
 
 
 @query
-def security_map_hidden(spark, sf):
-    return security.tables_for(_employee_tables(spark, sf), "Default")[security.SECURITY_MAP]
+def security_map_rows(spark, sf):
+    """Rows of the security map that each role may read."""
+    tables = _employee_tables(spark, sf) | {"DimTienda": roles.dims(spark, sf)["tienda"]}
+    seen = None
+    for role in ("Default", "RRHH", "Gerente_Peru", "Gerente_Region"):
+        rows = security.tables_for(tables, role, "gerente1@example.com")[security.SECURITY_MAP].agg(F.lit(role).alias("role"), F.count(F.lit(1)).alias("filas"))
+        seen = rows if seen is None else seen.unionByName(rows)
+    return seen
 
 
 # ---- events -----------------------------------------------------------------------------------

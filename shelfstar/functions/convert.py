@@ -45,5 +45,6 @@ def iso_moment(col: Column | str) -> Column:
 
 
 def int_or(col: Column | str, default: int) -> Column:
-    """Integer text; blank means ``default``."""
-    return F.coalesce(to_int(blank_to_null(col)), F.lit(default))
+    """Integer text; blank means ``default``, and text that is no integer becomes NULL."""
+    present = blank_to_null(col)
+    return F.when(present.isNull(), F.lit(default)).otherwise(to_int(present))

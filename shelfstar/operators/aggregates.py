@@ -3,13 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from typing import Any
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import as_column
-from . import joins
-
 
 def summary(df: DataFrame, aggregates: Mapping[str, Column]) -> DataFrame:
     """One row of named aggregates."""
@@ -24,39 +20,11 @@ def count_if(condition: Column) -> Column:
     return F.count_if(condition)
 
 
-def sum_if(condition: Column, value: Column | str) -> Column:
-    return F.sum(F.when(condition, as_column(value)).otherwise(F.lit(0)))
-
-
-def pct_true(col: Column | str) -> Column:
-    """Share of TRUE among non-NULL values in percent, two decimals."""
-    return F.round(F.avg(as_column(col).cast("int")) * 100, 2)
-
-
-def distinct_per(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.countDistinct(col).alias(name))
-
+def rows_per(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Rows of the keys that occur more than once, one by one, beside how often the key occurs.
 
-def having(grouped: DataFrame, predicate: Column | str) -> DataFrame:
-    return grouped.filter(predicate)
-
-
-def collect_per(df: DataFrame, key: str, cols: Sequence[str], chunk: int = 1000) -> DataFrame:
-    """Rows per key with their values in arrays, for keys that occur more than once.
-
-    A key with at most ``chunk`` rows gives one row (``parte`` 0). A more frequent key is split by a
-    hash of its values and input partition into several rows of about ``chunk`` values each, so no
-    array grows with the data. Within a row the arrays line up and are sorted by the first column.
+    Nothing is gathered per key, so the result is the same however the rows are dealt out and however
+    many a key has. A NULL key is not a key.
     """
     repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("cantidad")).filter("cantidad > 1")
-    rows = joins.lookup(df.select(key, *cols), repeated, key, ["cantidad"]).filter("cantidad > 1")
-    parts = F.ceil(F.col("cantidad") / F.lit(chunk)).cast("int")
-    rows = rows.withColumn("parte", F.pmod(F.hash(*cols, F.spark_partition_id()), parts))
-    entries = F.array_sort(F.collect_list(F.struct(*cols)))
-    grouped = rows.groupBy(key, "cantidad", "parte").agg(entries.alias("_entradas"))
-    return grouped.select(key, "cantidad", "parte", *(F.col(f"_entradas.{c}").alias(c) for c in cols))
-
-
-def scalar(df: DataFrame) -> Any:
-    """First value of a one-row table; for final checks only."""
-    return df.first()[0]
+    return df.select(key, *cols).join(repeated, key).select(key, "cantidad", *cols)

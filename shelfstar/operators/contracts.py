@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .quality import null_rules, rules
 
@@ -60,10 +60,11 @@ def required_columns(table: str) -> list[str]:
     return [f.name for f in contract(table).fields if not f.nullable]
 
 
+def losses(table: str) -> dict[str, Column]:
+    """Per column, values that ``conform`` turns into NULL; for rows before it."""
+    return {f"no_convierte_{f.name}": F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull() for f in contract(table).fields}
+
+
 def contract_check(df: DataFrame, table: str) -> DataFrame:
     """Missing values in required columns, and values lost by ``conform``."""
-    types = {f.name: f.dataType for f in contract(table).fields}
-    lost = {
-        f"no_convierte_{c}": F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in types.items()
-    }
-    return rules(df, null_rules(required_columns(table)) | lost)
+    return rules(df, null_rules(required_columns(table)) | losses(table))

@@ -39,10 +39,6 @@ def key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*keys).distinct()
-
-
 def count_copies(df: DataFrame, name: str = "_copias") -> DataFrame:
     """Every distinct row once, with how often it occurred."""
     return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(name))

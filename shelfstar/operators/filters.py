@@ -20,10 +20,6 @@ def in_list(col: Column | str, values: Sequence[Any] | None) -> Column:
     return F.lit(True) if values is None else as_column(col).isin(list(values))
 
 
-def equals(col: Column | str, value: Any) -> Column:
-    return as_column(col) == F.lit(value)
-
-
 def between(col: Column | str, low: Any, high: Any) -> Column:
     return as_column(col).between(low, high)
 
@@ -33,11 +29,6 @@ def inconsistent(left: Column | str, right: Column) -> Column:
     return as_column(left) != right
 
 
-def violates(df: DataFrame, rule: Column) -> DataFrame:
-    """Rows for which the forbidden condition holds."""
-    return df.filter(rule)
-
-
 def sort(df: DataFrame, keys: Sequence[str], descending: Sequence[str] = ()) -> DataFrame:
     return df.orderBy(*(F.col(k).desc() if k in descending else F.col(k).asc() for k in keys))
 

@@ -1,6 +1,6 @@
 """Joins of a large fact with tables of unknown size.
 
-``lookup`` broadcasts the looked-up side only when Spark estimates it below a byte limit.
+``lookup`` leaves a looked-up side below a byte limit to Spark, which broadcasts it if it measures it small.
 Above the limit it shuffles, and first takes the fact's most frequent keys out of the
 shuffle: the ``HOT_KEYS`` most frequent keys and their values are few rows by definition,
 so those are broadcast, and every key left for the shuffle holds less than
@@ -37,7 +37,7 @@ def lookup(
     """
     dim = dim.select(on, *values)
     if fits_broadcast(dim, broadcast_bytes):
-        return fact.join(F.broadcast(dim), on, "left")
+        return fact.join(dim, on, "left")
     return _spread_lookup(fact, dim, on, list(values), hot_keys, fact if counted_in is None else counted_in)
 
 
@@ -61,7 +61,7 @@ def _spread_lookup(
     cold = dim.select(
         F.col(on).alias("_key"), F.pmod(F.hash(on), F.lit(1)).alias("_slot"), *(F.col(v).alias(f"_cold_{v}") for v in values)
     )
-    joined = marked.join(cold, ["_key", "_slot"], "left")
+    joined = marked.join(cold.hint("merge"), ["_key", "_slot"], "left")
     picked = [F.when(F.col("_hot"), F.col(f"_hot_{v}")).otherwise(F.col(f"_cold_{v}")).alias(v) for v in values]
     return joined.select(on, *(c for c in fact.columns if c != on), *picked)
 

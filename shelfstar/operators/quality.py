@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import is_blank
 from . import joins
-from .aggregates import collect_per
+from .aggregates import rows_per
 from .dedup import key_counts
 from .filters import invalid_format
 
@@ -222,8 +222,8 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def repeated_names(df: DataFrame, name: str, cols: Sequence[str]) -> DataFrame:
-    """Names shared by several rows, with the rows' values; see ``collect_per``."""
-    return collect_per(df, name, cols)
+    """Rows whose name several rows share; see ``rows_per``."""
+    return rows_per(df, name, cols)
 
 
 def coverage(dim: DataFrame, fact: DataFrame, key: str, shown: Sequence[str]) -> DataFrame:

@@ -22,6 +22,7 @@ REGIONAL_ROLES = {
 }
 DYNAMIC_ROLE = "Gerente_Region"
 UNRESTRICTED_ROLE = "RRHH"
+DEFAULT_ROLE = "Default"
 HIDDEN_COLUMNS = {"DimEmpleado": ("salario",)}
 SECURITY_MAP = "SeguridadRegion"
 #: Facts filtered through the store dimension, with the column they share with it.
@@ -77,8 +78,10 @@ def tables_for(tables: Tables, role: str, user: str | None = None) -> dict[str,
         if user is None:
             raise ValueError("the dynamic role needs a user")
         seen = row_filter_user(tables, user)
-    else:
+    elif role == DEFAULT_ROLE:
         seen = dict(tables)
+    else:
+        raise ValueError(f"unknown role {role!r}")
     if role != DYNAMIC_ROLE and SECURITY_MAP in seen:
         seen[SECURITY_MAP] = hide(seen[SECURITY_MAP])
     for name in HIDDEN_COLUMNS:

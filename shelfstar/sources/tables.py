@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..operators.contracts import conform, contract
+from ..operators.contracts import conform, contract, contract_check, losses
 from ..operators.quality import require
 
 RAW_AUDIT = ("_archivo_origen", "_fecha_ingesta")
@@ -90,7 +91,17 @@ def escribir_silver(df: DataFrame, table: str, *checks: Check) -> DataFrame:
 
 
 def escribir_gold(df: DataFrame, table: str, *checks: Check, partition_by: str | None = None) -> DataFrame:
-    return publish(conform(df, table), f"{GOLD}.{table}", *checks, partition_by=partition_by)
+    """Every table is held against its contract. Values that its types can't take are counted while the rows are
+    written, before they would be lost."""
+    seen = Observation()
+    watched = df.observe(seen, *(F.count_if(lost).alias(name) for name, lost in losses(table).items()))
+
+    def nothing_lost(staged: DataFrame) -> DataFrame:
+        counted = [(name, int(value), value == 0) for name, value in seen.get.items()]
+        return staged.sparkSession.createDataFrame(counted, "control string, valor bigint, cumple boolean")
+
+    contract_nulls = partial(contract_check, table=table)
+    return publish(conform(watched, table), f"{GOLD}.{table}", nothing_lost, contract_nulls, *checks, partition_by=partition_by)
 
 
 def leer_bronze(spark: SparkSession, table: str) -> DataFrame:

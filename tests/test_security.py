@@ -46,3 +46,9 @@ def test_hr_sees_everything(tables):
 def test_default_role_hides_the_map_only(tables):
     seen = security.tables_for(tables, "Default")
     assert seen["FactVentas"].count() == 4 and seen["SeguridadRegion"].count() == 0
+
+
+@pytest.mark.parametrize("role", ["nobody", "Gerente_Perú", "", "default"])
+def test_unknown_roles_read_nothing(tables, role):
+    with pytest.raises(ValueError, match="unknown role"):
+        security.tables_for(tables, role)
