@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import lower_ascii
+from .common import checkpointed, lower_ascii
 
 #: Standard normal quantile of the one-sided bound, least good share, bounds of a prior's strength in pages.
 Z, LEAST_GOOD, WEAKEST, STRONGEST = 1.645, 0.5, 2.0, 1000.0
@@ -50,51 +50,42 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
-def _strength(parents: DataFrame, children: DataFrame, by: list[str]) -> DataFrame:
-    """One row ``k``: pages that a prior is worth, from the spread of children's shares around their parents'."""
-    known = children.filter("n > 0").join(parents.select(*by, F.col("n").alias("pn"), F.col("s").alias("ps")), by or None)
-    m = (F.col("ps") + 1) / (F.col("pn") + 2)
+def _strength(children: DataFrame, m: Column) -> float:
+    """Pages that a prior is worth, from the spread of children's shares around ``m``, their parents' share."""
     p = F.col("s") / F.col("n")
-    sums = known.agg(
-        F.sum(F.col("n") * (p - m) * (p - m)).alias("spread"), F.sum(F.col("n") * m * (1 - m)).alias("chance"),
-        F.sum("n").alias("pages"), F.count(F.lit(1)).alias("units"),
-    )
-    within = F.col("chance") / F.col("pages")
-    excess = (F.col("spread") - F.col("units") * within) / (F.col("pages") - F.col("units"))
-    share = F.when(F.col("pages") > F.col("units"), excess / within)
-    k = F.when(share > 0, F.least(F.greatest((1 - share) / share, F.lit(WEAKEST)), F.lit(STRONGEST))).otherwise(F.lit(STRONGEST))
-    return sums.select(F.coalesce(k, F.lit(STRONGEST)).alias("k"))
+    sums = children.filter("n > 0").agg(F.sum(F.col("n") * (p - m) * (p - m)), F.sum(F.col("n") * m * (1 - m)), F.sum("n"), F.count(F.lit(1)))
+    spread, chance, pages, units = sums.first()
+    if not units or pages <= units:
+        return STRONGEST
+    within = chance / pages
+    share = (spread - units * within) / (pages - units) / within
+    return min(max((1 - share) / share, WEAKEST), STRONGEST) if share > 0 else STRONGEST
 
 
 def reputations(hosts: DataFrame) -> DataFrame:
     """``host``, ``bound``: upper bound of the posterior share of good pages.
 
-    ``hosts`` has ``host``, ``n`` (labelled pages, may be 0) and ``s`` (good ones), a row for each host.
+    ``hosts`` has ``host``, ``n`` (labelled pages, may be 0) and ``s`` (good ones), a row for each host. Four figures of
+    the whole corpus come to the driver: the share of good pages, and how strongly each level pulls.
     """
     labels = F.split("host", r"\.")
-    hosts = hosts.select("host", "n", "s", F.array_join(F.slice(labels, -F.least(F.size(labels), F.lit(2)), 2), ".").alias("domain"),
-                         F.element_at(labels, -1).alias("suffix"))
+    domain = F.array_join(F.slice(labels, -F.least(F.size(labels), F.lit(2)), 2), ".")
+    hosts = checkpointed(hosts.select("host", "n", "s", domain.alias("domain"), F.element_at(labels, -1).alias("suffix")))
     total = lambda df, *by: df.groupBy(*by).agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    domains = total(hosts, "domain", "suffix")
-    suffixes = total(domains, "suffix")
-    everything = total(suffixes).select(F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("s", F.lit(0)).alias("s"))
-    strengths = None
-    for name, parents, children, by in (("ks", everything, suffixes, []), ("kd", suffixes, domains, ["suffix"]), ("kh", domains, hosts, ["domain"])):
-        if by:
-            k = _strength(parents.select(*by, "n", "s"), children.select(*by, "n", "s"), by)
-        else:
-            k = _strength(parents.withColumn("one", F.lit(1)), children.select("n", "s").withColumn("one", F.lit(1)), ["one"])
-        k = k.select(F.col("k").alias(name), F.lit(1).alias("one"))
-        strengths = k if strengths is None else strengths.join(k, "one")
-    top = everything.select(((F.col("s") + 1) / (F.col("n") + 2)).alias("m"), F.lit(1).alias("one"))
-    # one row: the four figures of the whole corpus
-    figures = F.broadcast(strengths.join(top, "one"))
-    shrunk = lambda s, n, k, m: (F.col(s) + F.col(k) * F.col(m)) / (F.col(n) + F.col(k))
-    suffix = suffixes.withColumn("one", F.lit(1)).join(figures, "one").withColumn("ms", shrunk("s", "n", "ks", "m")).select("suffix", "ms", "kd", "kh")
-    domain = domains.join(suffix, "suffix").withColumn("md", shrunk("s", "n", "kd", "ms")).select("domain", "md", "kh")
-    mean = shrunk("s", "n", "kh", "md")
-    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.col("kh") + 1))
-    known = hosts.join(domain, "domain").withColumn("mean", mean)
+    domains = checkpointed(total(hosts, "domain", "suffix"))
+    suffixes = checkpointed(total(domains, "suffix"))
+    n, s = suffixes.agg(F.sum("n"), F.sum("s")).first()
+    top = ((s or 0) + 1) / ((n or 0) + 2)
+    raw = (F.col("s") + 1) / (F.col("n") + 2)
+    under = lambda children, parents, by: children.join(parents.select(by, raw.alias("m")), by)
+    ks = _strength(suffixes, F.lit(top))
+    kd = _strength(under(domains, suffixes, "suffix"), F.col("m"))
+    kh = _strength(under(hosts, domains, "domain"), F.col("m"))
+    shrunk = lambda k, m: (F.col("s") + F.lit(k) * m) / (F.col("n") + F.lit(k))
+    by_suffix = suffixes.select("suffix", shrunk(ks, F.lit(top)).alias("ms"))
+    by_domain = domains.join(by_suffix, "suffix").select("domain", shrunk(kd, F.col("ms")).alias("md"))
+    known = hosts.join(by_domain, "domain").select("host", "n", shrunk(kh, F.col("md")).alias("mean"))
+    deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("n") + F.lit(kh) + 1))
     return known.select("host", (F.col("mean") + Z * deviation).alias("bound"))
 
 
