@@ -113,6 +113,13 @@ CTES = {
         empleado_id::int AS empleado_id, sku, cantidad::int AS cantidad, precio_unitario::decimal(10,2) AS precio_unitario,
         descuento_pct::int AS descuento_pct FROM eventos_raw""",
     "eventos": f"SELECT *, {_cents()} AS venta_total, descuento_pct >= 50 AS es_anomalia FROM eventos_unicos",
+    # what the load is given: targets and stock of one year, opening days that exist
+    "meses": "SELECT unnest(range(1, 13))::int AS m",
+    "metas_carga": """SELECT s_suppkey::int AS tienda_id, make_date(1997, m, 1) AS anio_mes, (1000.5 + s_suppkey % 97 + 100 * m)::decimal(12,2) AS meta_venta,
+        (100.25 + s_suppkey % 97)::decimal(12,2) AS meta_margen FROM supplier, meses""",
+    "stock_carga": f"""SELECT DISTINCT l_suppkey::int AS tienda_id, {INITCAP.format('p_type')} AS categoria, 19970001 + 100 * m AS fecha_key,
+        ((l_suppkey * m + length(p_type)) % 41)::int AS cantidad_disponible, (l_suppkey * m + length(p_type)) % 41 = 0 AS sin_stock
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey, meses WHERE s_nationkey < 20""",
     # star schema
     "dim_fecha": f"""SELECT {_key('fecha')} AS fecha_key, fecha, year(fecha)::int AS anio, month(fecha)::int AS mes, quarter(fecha)::int AS trimestre,
         ({MONTHS})[month(fecha)] AS nombre_mes, strftime(fecha, '%Y/%m') AS anio_mes, ({DAYS})[isodow(fecha)] AS dia_semana,
@@ -306,8 +313,8 @@ STATEMENTS = {
     "same_rows": """SELECT *, izquierda = derecha AS cumple
         FROM (SELECT (SELECT count(*) FROM ventas) AS izquierda, (SELECT count(*) FROM fact_ventas) AS derecha)""",
     "verify_rows": _union(
-        _control("dim_tienda", "count(*)", "({0}) = (SELECT count(*) FROM tiendas_raw)", "dim_tienda"),
-        _control("dim_cliente", "count(*)", "({0}) = (SELECT count(*) + 1 FROM clientes_raw)", "dim_cliente")),
+        _control("ventas_transacciones", "count(*)", "true", "ventas_raw"), _control("ventas_enriquecidas", "count(*)", "true", "ventas"),
+        _control("DimTienda", "count(*)", "true", "tiendas_raw"), _control("DimCliente", "count(*) + 1", "true", "clientes_raw")),
     "profile_columns": _union(*(
         f"""SELECT '{c}' AS columna, (count(*) FILTER ({BLANK.format(c)} IS NULL))::bigint AS nulos_o_vacios,
         (count(*) FILTER ({c} <> trim({c}, ' ')))::bigint AS con_espacios, count(DISTINCT {c}) AS valores_distintos FROM ventas_raw"""
@@ -409,7 +416,28 @@ STATEMENTS = {
     # events
     "dedup_events": """SELECT DISTINCT trim(evento_id, ' ') AS evento_id, strftime(momento, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp_evento, tienda_id,
         empleado_id, sku, cantidad::bigint AS cantidad, precio_unitario, descuento_pct::bigint AS descuento_pct FROM eventos_raw""",
-    "events_stream": f"SELECT {_EVENT_COLUMNS}, es_anomalia FROM eventos",
+    "events_stream": f"SELECT {_EVENT_COLUMNS}, es_anomalia, unnest(['vivo', 'tabla']) AS destino FROM eventos",
+    "events_appended": """SELECT evento_id, strftime(momento, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp_evento, tienda_id, empleado_id, sku,
+        cantidad, precio_unitario, descuento_pct FROM eventos_raw""",
+    "events_rebuilt": f"SELECT {_EVENT_COLUMNS}, es_anomalia FROM eventos",
+    "load_raw": _union(*(
+        f"SELECT '{name}' AS tabla, count(*) AS filas, count(*) AS con_archivo, count(*) AS con_fecha FROM {source}"
+        for name, source in (("tiendas", "tiendas_raw"), ("productos", "productos_raw"), ("empleados", "empleados_raw"), ("clientes", "clientes_raw"),
+                             ("presupuesto_metas", "metas_carga"), ("ventas_transacciones", "ventas_raw"), ("inventario_snapshot", "stock_carga")))),
+    "load_sales": f"SELECT {_SALES_COLUMNS} FROM ventas",
+    "load_rejects": f"""SELECT DISTINCT * REPLACE (nullif(cliente_id, '') AS cliente_id, nullif(sku, '') AS sku),
+        'SKU vacío: producto no identificable' AS motivo_rechazo FROM ventas_raw WHERE {BLANK.format('sku')} IS NULL""",
+    "load_budget": f"SELECT tienda_id, {_text('anio_mes')} AS anio_mes, {_v('meta_venta')}, {_v('meta_margen')} FROM metas_carga",
+    "load_store": f"SELECT * REPLACE (coalesce({_text('fecha_apertura')}, '2021-02-28') AS fecha_apertura) FROM dim_tienda",
+    "load_customer": f"SELECT * REPLACE ({_text('fecha_registro')} AS fecha_registro) FROM dim_cliente",
+    "load_calendar": f"SELECT * REPLACE ({_text('fecha')} AS fecha) FROM dim_fecha",
+    "load_fact": f"SELECT {_FACT_COLUMNS} FROM fact_ventas",
+    "load_daily": f"SELECT * REPLACE ({VALUE.format('venta_total')} AS venta_total) FROM diarias",
+    "load_targets": f"""SELECT m.tienda_id, m.anio_mes, {_v('m.venta_total_real', 'venta_total_real')}, {_v('p.meta_venta', 'meta_venta')},
+        round((m.venta_total_real - p.meta_venta)::double / p.meta_venta::double * 100, 2) AS variacion_pct FROM ventas_mes m
+        LEFT JOIN metas_carga p ON m.tienda_id = p.tienda_id AND m.anio_mes = strftime(p.anio_mes, '%Y/%m')""",
+    "load_stock": """SELECT t.tienda_key, s.fecha_key, s.categoria, s.cantidad_disponible, s.sin_stock FROM stock_carga s
+        LEFT JOIN dim_tienda t ON s.tienda_id = t.tienda_id""",
     "anomaly_summary": f"""SELECT count(*) AS eventos, count(*) FILTER (es_anomalia) AS anomalias,
         round(100.0::double * (count(*) FILTER (es_anomalia))::double / count(*), 2) AS pct_anomalias, {_v('sum(venta_total)', 'venta_total')},
         strftime(min(timestamp_evento), '%Y-%m-%d %H:%M:%S.%f') AS primer_evento, strftime(max(timestamp_evento), '%Y-%m-%d %H:%M:%S.%f') AS ultimo_evento FROM eventos""",

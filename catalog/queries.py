@@ -17,11 +17,12 @@ from shelfstar.operators.contracts import contract_check
 from shelfstar.operators.periods import last_period
 from shelfstar.plans import jobs, reports
 from shelfstar.session import ensure_checkpoint_dir
-from shelfstar.sources.delimited import read_delimited
+from shelfstar.sources.delimited import TABLE_NAMES, read_delimited
 from shelfstar.sources.events import read_events
+from shelfstar.sources.tables import LOAD_AUDIT
 from shelfstar.streaming import refine
 
-from . import roles
+from . import load, roles
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -272,8 +273,13 @@ def same_rows(spark, sf):
 
 @query
 def verify_rows(spark, sf):
-    dims, stores, customers = roles.dims(spark, sf), roles.raw_stores(spark, sf).count(), roles.raw_customers(spark, sf).count()
-    return quality.verify_written({"dim_tienda": (dims["tienda"], stores), "dim_cliente": (dims["cliente"], customers + 1)})
+    """Rows of the published tables against those that their sources should give."""
+    raw = roles.raw_sales(spark, sf)
+    expected = {
+        "bronze.ventas_transacciones": raw.count(), "silver.ventas_enriquecidas": _valid_sales(spark, sf).count(),
+        "gold.DimTienda": roles.raw_stores(spark, sf).count(), "gold.DimCliente": roles.raw_customers(spark, sf).count() + 1,
+    }
+    return quality.verify_written({name.split(".")[1]: (load.loaded(spark, sf, name), rows) for name, rows in expected.items()})
 
 
 @query
@@ -612,9 +618,25 @@ def events_stream(spark, sf):
     folder = _folder(spark, "events")
     roles.raw_events(spark, sf).write.json(f"{folder}/in")
     refined = refine.refine_events(read_events(spark, f"{folder}/in"))
-    sinks = [refine.append_parquet(f"{folder}/vivo"), refine.append_parquet(f"{folder}/tabla")]
+    sinks = [refine.append_parquet(f"{folder}/{name}") for name in ("vivo", "tabla")]
     refine.fan_out(refined, sinks, f"{folder}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{folder}/tabla").drop("batch_id")
+    read = lambda name: spark.read.parquet(f"{folder}/{name}").drop("batch_id").withColumn("destino", F.lit(name))
+    return read("vivo").unionByName(read("tabla"))
+
+
+@query
+def events_appended(spark, sf):
+    """Raw events through the plain append of the stream, as many rows as were sent."""
+    folder = _folder(spark, "append")
+    roles.raw_events(spark, sf).write.json(f"{folder}/in")
+    refine.stream_to_table(read_events(spark, f"{folder}/in"), f"{folder}/tabla", f"{folder}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{folder}/tabla")
+
+
+@query
+def events_rebuilt(spark, sf):
+    """Refined events as the batch rebuild publishes them."""
+    return load.rebuilt_events(spark, sf).drop(LOAD_AUDIT)
 
 
 def _refined(spark, sf):
@@ -643,11 +665,40 @@ def arrival_latency(spark, sf):
     return timed.select("evento_id", "timestamp_evento", "sku", "_fecha_ingesta", "latencia_seg")
 
 
+# ---- the load ---------------------------------------------------------------------------------
+
+@query
+def load_raw(spark, sf):
+    """Rows of each raw table, and how many carry the file and the time they came from."""
+    counts = None
+    for name in TABLE_NAMES:
+        raw = load.loaded(spark, sf, f"bronze.{name}")
+        one = raw.agg(
+            F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas"),
+            F.count_if(text.contains("_archivo_origen", f"/{name}.csv/")).alias("con_archivo"), F.count("_fecha_ingesta").alias("con_fecha"),
+        )
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
+def _published(table: str) -> Query:
+    return lambda spark, sf: load.loaded(spark, sf, table).drop(LOAD_AUDIT)
+
+
+LOADED = {
+    "load_sales": "silver.ventas_enriquecidas", "load_rejects": "silver.rechazos_ventas", "load_budget": "silver.presupuesto",
+    "load_store": "gold.DimTienda", "load_customer": "gold.DimCliente", "load_calendar": "gold.DimFecha", "load_fact": "gold.FactVentas",
+    "load_daily": "gold.ventas_diarias_por_tienda", "load_targets": "gold.real_vs_presupuesto", "load_stock": "gold.FactInventario",
+}
+for _name, _table in LOADED.items():
+    _REGISTRY[_name] = lambda spark, sf, build=_published(_table): present(build(spark, sf))
+
+
 # ---- files ------------------------------------------------------------------------------------
 
 @query
 def delimited_round_trip(spark, sf):
-    """Raw sales written as delimited files and read back as text. Outer spaces and empty text survive."""
+    """Raw sales written as delimited files and read back as text. Outer spaces survive; empty text comes back as NULL."""
     folder = _folder(spark, "delimited")
     writer = roles.raw_sales(spark, sf).write.option("sep", "|").option("header", True).option("quoteAll", True)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)

@@ -8,6 +8,7 @@ the platform's own clean-up removes them.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -20,17 +21,34 @@ from ..operators.quality import require
 RAW_AUDIT = ("_archivo_origen", "_fecha_ingesta")
 LOAD_AUDIT = "_fecha_procesamiento"
 BRONZE, SILVER, GOLD = "bronze", "silver", "gold"
+#: Session settings: what the names of this session's schemas begin with, and the folder of its tables
+#: (else the warehouse).
+PREFIX, ROOT = "shelfstar.schema.prefix", "shelfstar.tables.dir"
 
 Check = Callable[[DataFrame], DataFrame]
 
 
+def named(spark: SparkSession, table: str) -> str:
+    """Full name of a table of this session."""
+    return spark.conf.get(PREFIX, "") + table
+
+
+def _root(spark: SparkSession) -> str:
+    """Folder of the tables. Spark's default warehouse is below the driver's working folder, which executors of
+    a cluster don't see."""
+    root = spark.conf.get(ROOT, None) or spark.conf.get("spark.sql.warehouse.dir")
+    root = root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") and root in (f"file:{os.getcwd()}/spark-warehouse", "spark-warehouse"):
+        raise RuntimeError(f"set spark.sql.warehouse.dir or {ROOT} to a folder every executor can reach")
+    return root
+
+
 def ensure_schema(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{_root(spark)}/{name}.db'")
 
 
 def _new_folder(spark: SparkSession, table: str) -> str:
-    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    return f"{warehouse}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+    return f"{_root(spark)}/{table.replace('.', '/')}/{uuid.uuid4().hex}"
 
 
 def _write(df: DataFrame, folder: str, partition_by: str | None) -> DataFrame:
@@ -54,6 +72,7 @@ def stage(df: DataFrame, table: str) -> DataFrame:
 def publish(df: DataFrame, table: str, *checks: Check, partition_by: str | None = None) -> DataFrame:
     """Write, check, switch; returns the published table."""
     spark = df.sparkSession
+    table = named(spark, table)
     ensure_schema(spark, table.split(".")[0])
     folder = _new_folder(spark, table)
     staged = _write(df, folder, partition_by)
@@ -105,12 +124,12 @@ def escribir_gold(df: DataFrame, table: str, *checks: Check, partition_by: str |
 
 
 def leer_bronze(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(f"{BRONZE}.{table}").drop(*RAW_AUDIT)
+    return spark.table(named(spark, f"{BRONZE}.{table}")).drop(*RAW_AUDIT)
 
 
 def leer_silver(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(f"{SILVER}.{table}").drop(LOAD_AUDIT)
+    return spark.table(named(spark, f"{SILVER}.{table}")).drop(LOAD_AUDIT)
 
 
 def leer_gold(spark: SparkSession, table: str) -> DataFrame:
-    return spark.table(f"{GOLD}.{table}").select(*contract(table).fieldNames())
+    return spark.table(named(spark, f"{GOLD}.{table}")).select(*contract(table).fieldNames())
