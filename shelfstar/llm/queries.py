@@ -40,8 +40,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
-    body = F.coalesce("text", F.lit(""))
-    counted = table(spark, sf_dir, "documents").select("doc_id", F.octet_length(body).cast("long").alias("n_bytes"), token_counts.count_tokens(F.col("text"), model).alias("n_tokens"))
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), model)
     return counted.withColumn("over_limit", F.col("n_tokens") > LIMIT)
 
 

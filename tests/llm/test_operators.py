@@ -139,11 +139,21 @@ def test_token_counts(spark, documents):
     assert result(spark, "op2_token_counts", folder, "doc_id", "n_bytes", "n_tokens", "over_limit") == want
 
 
+@pytest.mark.parametrize("table_bytes", [0, 2000])
+def test_token_counts_do_not_depend_on_the_broadcast(spark, documents, table_bytes):
+    rows, folder = documents
+    count = brute.piece_counter()
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("unit", F.lit(1)).withColumn("n", F.lit(2))
+    found = token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), table_bytes=table_bytes)
+    assert Counter(map(tuple, found.collect())) == Counter((i, len((t or "").encode()), count(t)) for i, t, *_ in rows)
+    assert token_counts.count_tokens(docs.limit(0), public_tokenizers.path("piece_bpe_32k.model"), table_bytes=table_bytes).collect() == []
+
+
 def test_pre_tokens_add_up():
-    table, count, rng = token_counts.PieceTable(public_tokenizers.path("piece_bpe_32k.model")), brute.piece_counter(), random.Random(2)
+    pieces, count, rng = token_counts.Pieces(public_tokenizers.path("piece_bpe_32k.model")), brute.piece_counter(), random.Random(2)
     for _ in range(3000):
         text = "".join(rng.choice([" ", "  ", "the", "ing", "é", "▁", "\n", "\t", "1", "中", "<s>", "x", "\x00", "\u00a0"]) for _ in range(rng.randint(0, 20)))
-        assert table.count(text) == count(text), repr(text)
+        assert sum(n * pieces.count(unit) for unit, n in token_counts.pre_tokens(text).items()) == count(text), repr(text)
 
 
 def test_url_filter(spark, folder):
