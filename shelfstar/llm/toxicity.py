@@ -188,8 +188,9 @@ def fit(rows: DataFrame, text: str = "text", label: str = "label") -> Model:
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([grammar.features(t) for t in texts], dtype=object)
 
-    sample = labelled.orderBy(F.xxhash64("text", "label"), "label").limit(SAMPLE)
-    seen = sample.select("label", features("text").alias("x")).collect()
+    # texts are made three numbers before they are ordered: no task holds a sample of texts
+    measured = labelled.select("label", F.xxhash64("text", "label").alias("place"), features("text").alias("x"))
+    seen = measured.orderBy("place", "label").limit(SAMPLE).collect()
     y = np.array([r["label"] for r in seen], float)
     share = (y.sum() + 0.5) / (len(y) + 1)
     if len(set(y)) < 2:
