@@ -125,10 +125,7 @@ def before_after_store(spark, sf):
 
 @query
 def before_after_sales(spark, sf):
-    raw = _valid_sales(spark, sf)
-    pairs = clean.before_after_rows(
-        raw, clean.clean_sales(raw), "transaccion_id", ["precio_unitario", "descuento_pct", "medio_pago"], ["venta_total"]
-    )
+    pairs = clean.before_after_sales(_valid_sales(spark, sf), ["precio_unitario", "descuento_pct", "medio_pago"], ["venta_total"])
     return pairs.filter(text.contains("precio_unitario_original", ",") | text.is_blank("descuento_pct_original"))
 
 

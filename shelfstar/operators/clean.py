@@ -62,7 +62,8 @@ def clean_customer(df: DataFrame, no_tier: str = NO_TIER) -> DataFrame:
     )
 
 
-def clean_sales(df: DataFrame) -> DataFrame:
+def clean_sales(df: DataFrame, originals: Iterable[str] = ()) -> DataFrame:
+    """Typed sale lines; the raw text of ``originals`` stays beside them as ``*_original``."""
     typed = df.select(
         F.trim("transaccion_id").alias("transaccion_id"),
         convert.to_day("fecha").alias("fecha_venta"),
@@ -76,6 +77,7 @@ def clean_sales(df: DataFrame) -> DataFrame:
         convert.comma_decimal("precio_unitario").alias("precio_unitario"),
         convert.int_or("descuento_pct", 0).alias("descuento_pct"),
         text.title_case("medio_pago").alias("medio_pago"),
+        *(F.col(c).alias(f"{c}_original") for c in originals),
     )
     return typed.withColumn("venta_total", money.line_total("cantidad", "precio_unitario", "descuento_pct"))
 
@@ -136,11 +138,10 @@ def before_after(df: DataFrame, conversions: Mapping[str, Column]) -> DataFrame:
     return df.select(*pairs)
 
 
-def before_after_rows(raw: DataFrame, clean: DataFrame, key: str, columns: Iterable[str], kept: Iterable[str] = ()) -> DataFrame:
-    """Inner join of raw and clean rows on their id, raw values renamed ``*_original``."""
+def before_after_sales(raw: DataFrame, columns: Iterable[str], kept: Iterable[str] = ()) -> DataFrame:
+    """Each sale line's raw text beside its typed values; one pass over the raw rows, without a join on the id."""
     columns = list(columns)
-    source = raw.select(key, *(F.col(c).alias(f"{c}_original") for c in columns))
-    return source.join(clean.select(key, *columns, *kept), key)
+    return clean_sales(raw, columns).select("transaccion_id", *(f"{c}_original" for c in columns), *columns, *kept)
 
 
 def with_reason(df: DataFrame, reason: str = REJECT_REASON) -> DataFrame:
