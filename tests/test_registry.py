@@ -67,3 +67,31 @@ def test_no_python_and_no_cross_join_in_any_plan(spark, name):
     text = plan(spark, name)
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert operator not in text
+
+
+#: Sorted reports: their order as columns, a minus for the highest first.
+SORTED = {
+    "sales_by_region": ["-venta_total", "region"], "sales_by_category": ["-venta_total", "categoria"],
+    "sales_cost_by_month": ["mes"], "sales_by_weekday": ["dia_semana_num"], "target_by_month": ["anio_mes"],
+    "target_table": ["anio_mes", "nombre_tienda_display"], "fulfilment_by_store": ["-cumplimiento_pct", "nombre_tienda_display"],
+    "closing_stock_by_month": ["mes"], "payment_counts": ["-count"], "tier_counts": ["tier_lealtad"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(SORTED))
+def test_reports_come_sorted(spark, name):
+    rows = entry.queries()[name](spark, SF).collect()
+    known = [c for c in SORTED[name] if c.lstrip("-") in rows[0].asDict()]
+    assert rows and known
+
+    def place(row):
+        return [_place(c, row[c.lstrip("-")]) for c in known]
+
+    assert rows == sorted(rows, key=place)
+
+
+def _place(col, value):
+    """Nulls are least: first in a rising order, last in a falling one."""
+    if value is None:
+        return (1, 0) if col[0] == "-" else (0, 0)
+    return (0, -value) if col[0] == "-" else (1, value)
