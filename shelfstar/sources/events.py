@@ -12,17 +12,19 @@ EVENT_SCHEMA = (
 ARRIVAL = "EventEnqueuedUtcTime TIMESTAMP"
 
 
+#: Files of one micro-batch. It bounds a batch and not the data: a backlog is taken in several batches.
+FILES_PER_BATCH = 1000
+
+
 def event_schema(with_arrival: bool = False) -> str:
     return f"{EVENT_SCHEMA}, {ARRIVAL}" if with_arrival else EVENT_SCHEMA
 
 
 def read_events(
-    spark: SparkSession, path: str, schema: str = EVENT_SCHEMA, files_per_batch: int | None = None
+    spark: SparkSession, path: str, schema: str = EVENT_SCHEMA, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """Streaming table over a folder of UTF-8 JSON lines."""
-    reader = spark.readStream.schema(schema).option("encoding", "UTF-8")
-    if files_per_batch is not None:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(schema).option("encoding", "UTF-8").option("maxFilesPerTrigger", files_per_batch)
     return reader.json(path)
 
 
