@@ -95,9 +95,11 @@ def plan(base: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_epochs: int
     starts = slices.select("named", "slice", "words", F.coalesce(before, F.lit(0)).alias("start")).join(filled.select("named", "rest"), "named")
     # only the slice in which the fractional repetition ends needs the order of its documents
     ends = starts.filter("start + words > rest").groupBy("named").agg(F.min_by(F.struct("slice", "start", "rest"), "slice").alias("at")).select("named", "at.*")
-    order = Window.partitionBy("named").orderBy("draw", F.col("key").asc_nulls_first(), "size")
-    inside = base.select("named", "slice", "draw", "key", "size").join(ends, ["named", "slice"])
-    ahead = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # rows of one draw (repeats of a row) are taken alike, so they are one entry of that order
+    order = Window.partitionBy("named").orderBy("draw").rowsBetween(Window.unboundedPreceding, -1)
+    inside = base.select("named", "slice", "draw", "size").join(ends, ["named", "slice"])
+    inside = inside.groupBy("named", "draw", "start", "rest").agg(F.sum("size").alias("words"), F.min("size").alias("size"))
+    ahead = F.coalesce(F.sum("words").over(order), F.lit(0))
     # a document is in if its middle is: what is taken misses the target by about half a document
     middle = F.col("start") + F.col("ahead") + F.col("size") / 2
     last = inside.withColumn("ahead", ahead).filter(middle <= F.col("rest")).groupBy("named").agg(F.max("draw").alias("last"))
@@ -135,7 +137,8 @@ def repeat(docs: DataFrame, columns: Columns = Columns(), weights: tuple[int, ..
     planned = plan(drawn(docs, columns, seed), weights, max_epochs)
     row = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)))
     rows = docs.select(row.alias("row"), columns.named().alias("named"), columns.draw(seed).alias("draw"))
-    times = F.col("epochs") + F.when(F.col("draw") <= F.col("last"), 1).otherwise(0)
+    # a text without a word weighs nothing in a fractional repetition, and still comes max_epochs times at most
+    times = F.least(F.col("epochs") + F.when(F.col("draw") <= F.col("last"), 1).otherwise(0), F.lit(max_epochs))
     taken = with_plan(rows, planned).select("row", times.alias("times")).filter("times > 0")
     copies = taken.select("row", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy"))
     return copies.select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns)))
