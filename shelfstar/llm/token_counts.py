@@ -25,8 +25,8 @@ from .common import checkpointed, whole
 MARK = "▁"
 _UNITS = re.compile(f"{MARK}+[^{MARK}]*")
 #: Bytes of the table that is broadcast, an entry weighing its text and ``ENTRY``; the longest text in it; pre-tokens
-#: that a task adds up before it sends them on.
-TABLE_BYTES, ENTRY, LONGEST, HELD = 32 << 20, 64, 1024, 400_000
+#: that a task adds up before it sends them on, and their characters (a blob without blanks is one pre-token).
+TABLE_BYTES, ENTRY, LONGEST, HELD, HELD_CHARACTERS = 32 << 20, 64, 1024, 400_000, 32 << 20
 
 
 def splits_at_blanks(model: sentencepiece.SentencePieceProcessor) -> bool:
@@ -58,7 +58,7 @@ def pre_tokens(text: str | None) -> Counter[str]:
     return Counter(_UNITS.findall(marked)) if "" in words else Counter([MARK + w for w in words])
 
 
-def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
+def frequencies(docs: DataFrame, text: str = "text", most: int = HELD, most_characters: int = HELD_CHARACTERS) -> DataFrame:
     """``unit``, ``n``: each distinct pre-token of all texts, and how often it occurs."""
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,11 +69,15 @@ def frequencies(docs: DataFrame, text: str = "text") -> DataFrame:
             held.clear()
             return rows
 
+        characters = 0
         for batch in batches:
             for value in batch.column(0):
-                held.update(pre_tokens(value.as_py()))
-                if len(held) > HELD:
+                units = pre_tokens(value.as_py())
+                held.update(units)
+                characters += sum(map(len, units))
+                if len(held) > most or characters > most_characters:
                     yield flush()
+                    characters = 0
         yield flush()
 
     texts = docs.select(F.col(text).alias("text")).filter(F.col("text") != "")

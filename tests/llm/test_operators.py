@@ -149,6 +149,16 @@ def test_token_counts_do_not_depend_on_the_broadcast(spark, documents, table_byt
     assert token_counts.count_tokens(docs.limit(0), public_tokenizers.path("piece_bpe_32k.model"), table_bytes=table_bytes).collect() == []
 
 
+def test_frequencies_are_sent_on_before_they_grow(spark):
+    texts = ["x" * 5000 + " " + "y" * k for k in range(40)] + ["a b a", None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    want = Counter()
+    for t in texts:
+        want.update(token_counts.pre_tokens(t))
+    for limits in ({"most_characters": 12_000}, {"most": 3}):
+        assert {r["unit"]: r["n"] for r in token_counts.frequencies(docs, **limits).collect()} == want
+
+
 def test_pre_tokens_add_up():
     pieces, count, rng = token_counts.Pieces(public_tokenizers.path("piece_bpe_32k.model")), brute.piece_counter(), random.Random(2)
     for _ in range(3000):
@@ -238,6 +248,16 @@ def test_repeat_takes_what_mix_says(spark, folder):
     times = Counter(r["doc_id"] for r in out.collect())
     for r in mixing.mix(docs).collect():
         assert times[r["doc_id"]] * r["size"] == r["taken"]
+    assert max(times.values()) <= 3  # texts without a word too
+
+
+def test_repeated_rows_are_one_entry_of_the_seeded_order(spark):
+    docs = spark.createDataFrame([(1, "a b", "x")] * 300 + [(i, "c d", "x") for i in range(2, 302)] + [(i, "e", "y") for i in range(900)], "doc_id long, text string, source string")
+    mixed = mixing.mix(docs).collect()
+    assert len({r["taken"] for r in mixed if r["doc_id"] == 1 and r["size"] == 2}) == 1
+    taken = {s: sum(r["taken"] for r in mixed if r["size"] == s) for s in (1, 2)}
+    want = {r["size"]: r["target"] for r in mixed}
+    assert abs(taken[1] - want[1]) <= 1 and abs(taken[2] - want[2]) <= 600
 
 
 def test_byte_bpe(spark, documents):
