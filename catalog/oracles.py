@@ -59,10 +59,10 @@ CTES = {
         '20' || lpad((c_custkey % 24)::varchar, 2, '0') || '/' || lpad((1 + c_custkey % 12)::varchar, 2, '0') || '/01' AS fecha_registro,
         CASE c_mktsegment WHEN 'FURNITURE' THEN '' WHEN 'HOUSEHOLD' THEN '   ' WHEN 'MACHINERY' THEN NULL
           ELSE ' ' || c_mktsegment END AS tier_lealtad, 'NATION_' || c_nationkey AS ciudad FROM customer""",
-    "presupuesto_raw": """SELECT l_suppkey::varchar AS tienda_id, strftime(l_shipdate, '%Y/%m') || ' ' AS anio_mes,
+    "presupuesto_raw": """SELECT l_suppkey::varchar AS tienda_id, strftime(l_shipdate + INTERVAL 1 YEAR, '%Y/%m') || ' ' AS anio_mes,
         (sum(l_extendedprice::decimal(12,2)) * 36)::decimal(14,2)::varchar AS meta_venta,
         (sum(l_extendedprice::decimal(12,2)) * 36 * 0.23)::decimal(14,2)::varchar AS meta_margen
-        FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_suppkey, strftime(l_shipdate, '%Y/%m')""",
+        FROM lineitem GROUP BY l_suppkey, strftime(l_shipdate + INTERVAL 1 YEAR, '%Y/%m')""",
     "ventas_una_vez": f"""SELECT 'T-' || l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '-' || l_quantity::int AS transaccion_id,
         strftime(l_shipdate, '%Y/%m/%d') AS fecha,
         lpad((l_orderkey % 24)::varchar, 2, '0') || ':' || lpad((l_partkey % 60)::varchar, 2, '0') || ':' || lpad((l_suppkey % 60)::varchar, 2, '0') AS hora,
@@ -283,10 +283,11 @@ STATEMENTS = {
         _orphan("ventas", "tienda_id", "tiendas"), _orphan("ventas", "empleado_id", "empleados"),
         _orphan("ventas", "sku", "productos"), _orphan("ventas", "cliente_id", "clientes")),
     "orphan_keys": "SELECT DISTINCT sku FROM ventas v WHERE NOT EXISTS (SELECT 1 FROM productos p WHERE p.sku = v.sku)",
-    "completeness": """SELECT tienda_id, categoria, count(DISTINCT anio_mes) AS valores FROM inventario GROUP BY ALL HAVING count(DISTINCT anio_mes) <> 83""",
+    "completeness": """SELECT tienda_id, categoria, count(DISTINCT anio_mes) AS valores FROM inventario GROUP BY ALL 
+        HAVING count(DISTINCT anio_mes) <> (SELECT count(DISTINCT anio_mes) FROM inventario)""",
     "completeness_check": _union(
         _control("grupos", "count(*)", "true", "(SELECT count(DISTINCT anio_mes) AS n FROM presupuesto GROUP BY tienda_id)"),
-        _zero("incompletos", "count(*) FILTER (n <> 80)", "(SELECT count(DISTINCT anio_mes) AS n FROM presupuesto GROUP BY tienda_id)")),
+        _zero("incompletos", "count(*) FILTER (n <> (SELECT count(DISTINCT anio_mes) FROM presupuesto))", "(SELECT count(DISTINCT anio_mes) AS n FROM presupuesto GROUP BY tienda_id)")),
     "inventory_checks": _union(
         *_keyed("inventario", "tienda_id", "categoria", "anio_mes"),
         *_nulls("inventario", "tienda_id", "categoria", "anio_mes", "cantidad_disponible"),

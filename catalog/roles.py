@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfstar.functions.dates import fecha_a_key
 from shelfstar.functions.money import cost_total, line_total
-from shelfstar.operators import clean, dimensions, facts
+from shelfstar.functions.text import is_blank
+from shelfstar.operators import clean, dedup, dimensions, facts
 from shelfstar.operators.joins import SENTINEL, lookup, lookup_with_sentinel
 
 
@@ -72,9 +73,9 @@ def raw_customers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_budget(spark: SparkSession, sf: str) -> DataFrame:
-    """Monthly targets in proportion to what a store shipped and kept sold; some months have none."""
-    lines = table(spark, sf, "lineitem").filter("l_returnflag != 'R'").selectExpr(
-        "l_suppkey", "cast(l_extendedprice as decimal(12,2)) as valor", "date_format(l_shipdate, 'yyyy/MM') as anio_mes"
+    """Monthly targets in proportion to what a store shipped a year before; months of its first year have none."""
+    lines = table(spark, sf, "lineitem").selectExpr(
+        "l_suppkey", "cast(l_extendedprice as decimal(12,2)) as valor", "date_format(add_months(l_shipdate, 12), 'yyyy/MM') as anio_mes"
     )
     sums = lines.groupBy("l_suppkey", "anio_mes").agg((F.sum("valor") * 36).alias("meta"))
     return sums.selectExpr(
@@ -188,8 +189,8 @@ def inventory(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def typed_sales(spark: SparkSession, sf: str, with_customer: bool = False) -> DataFrame:
-    """Clean sale lines. The customer id needs the orders, so they are joined on request only."""
-    lines = table(spark, sf, "lineitem").filter("l_quantity != 13")
+    """Clean sale lines, without the rejected ones. The customer id needs the orders, so they are joined on request only."""
+    lines = table(spark, sf, "lineitem")
     columns = [
         f"{_TICKET} as transaccion_id",
         "cast(l_shipdate as date) as fecha_venta",
@@ -204,10 +205,15 @@ def typed_sales(spark: SparkSession, sf: str, with_customer: bool = False) -> Da
         orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
         lines = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
         columns.append(f"cast(nullif(trim({_CUSTOMER}), '') as int) as cliente_id")
-    typed = lines.selectExpr(*columns)
+    typed, _ = dedup.split(lines.selectExpr(*columns), is_blank("sku"))
     return typed.withColumn("venta_total", line_total("cantidad", "precio_unitario", "descuento_pct"))
 
 
+def months(df: DataFrame) -> int:
+    """Months that a monthly table covers."""
+    return df.agg(F.countDistinct("anio_mes")).first()[0]
+
+
 def dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {
         "tienda": dimensions.dim_tienda(stores(spark, sf)),
@@ -218,8 +224,7 @@ def dims(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def calendar(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").filter("l_quantity != 13")
-    return dimensions.dim_fecha(lines.selectExpr("cast(l_shipdate as date) as fecha_venta"))
+    return dimensions.dim_fecha(typed_sales(spark, sf))
 
 
 def full_fact(spark: SparkSession, sf: str) -> DataFrame:

@@ -119,13 +119,18 @@ def domain(df: DataFrame, col: str, allowed: Sequence[Any]) -> DataFrame:
 
 
 def references(df: DataFrame, checks: Sequence[tuple[str, DataFrame, str]], fatal: bool = False) -> DataFrame:
-    """Fact rows whose value is missing from a dimension, per ``(column, dimension, key)``."""
-    reports = []
-    for col, dim, key in checks:
-        name = f"huerfanas_{col}"
-        counted = joins.orphans(df, col, dim, key).withColumnRenamed("filas", name)
-        reports.append(_rows(counted, {name: F.col(name) == 0 if fatal else None}))
-    return combine(*reports)
+    """Fact rows whose value is missing from a dimension, per ``(column, dimension, key)``.
+
+    The fact is read once: all columns are counted per value in one grouping, and only those counts are joined.
+    Values are compared as text, so a column and its key need the same type.
+    """
+    cells = F.array(*(F.struct(F.lit(col).alias("columna"), F.col(col).cast("string").alias("valor")) for col, _, _ in checks))
+    values = df.select(F.inline(cells)).filter("valor is not null").groupBy("columna", "valor").agg(F.count(F.lit(1)).alias("filas"))
+    known = [dim.select(F.lit(col).alias("columna"), F.col(key).cast("string").alias("valor")) for col, dim, key in checks]
+    missing = values.join(reduce(DataFrame.union, known), ["columna", "valor"], "left_anti")
+    names = {col: f"huerfanas_{col}" for col, _, _ in checks}
+    counted = missing.agg(*(F.coalesce(F.sum(F.when(F.col("columna") == col, F.col("filas"))), F.lit(0)).alias(name) for col, name in names.items()))
+    return _rows(counted, {name: F.col(name) == 0 if fatal else None for name in names.values()})
 
 
 def orphan_key_check(df: DataFrame, col: str, dim: DataFrame, key: str) -> DataFrame:
