@@ -1,10 +1,12 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Five transducers read a clause as a string of word classes and pass a weight on: insult and threat give a
-word its weight, target raises it for abuse aimed at someone near, negation and reported speech lower
-it. They are composed by running them side by side; pairs of composed state and class are determinised when first
-met. A document's score comes from its matched clauses (sum, strongest, number), calibrated by a logistic
-regression, and not from words alone.
+Five transducers read a clause as a string of word classes and pass a weight on: target tells whether abuse is
+aimed at someone near, insult raises the weight of a word that is, threat passes only a verb with a person near,
+negation and reported speech lower the weight. Targets stand before or after, so the clause is first read from its
+end by insult and threat, and abuse with one ahead is a class of its own. They are composed by running them side by
+side; pairs of composed state and class are determinised when first met. A document's score comes from its matched
+clauses (sum, strongest, number, for insults and threats each), calibrated by a logistic regression, and not from
+words alone. An insult without a target is a match of plain weight; a threat word without a person is none.
 
 Weights of insults and threats beyond the fixed ones are learned: log odds of each word over all labelled
 training documents, words being kept that enough toxic documents hold. The lexicon is a top-k list of
@@ -29,9 +31,21 @@ LEAST_SUPPORT, LEAST_SHARE, LEAST_LOG_ODDS = 3, 0.004, 2.0
 LONGEST_WORD = 40
 
 # Closed word classes of the grammar.
-THREATS = "kill murder hurt destroy beat stab shoot strangle crush töten umbringen verletzen tuer frapper détruire matar golpear destruir"
+THREATS = ("kill kills killed killing murder murders murdered murdering hurt hurts hurting destroy destroys destroyed destroying "
+           "beat beats beaten beating stab stabs stabbed stabbing shoot shoots shot shooting strangle strangles strangled strangling crush crushes crushed crushing "
+           "töten töte tötest tötet tötete töteten getötet umbringen umbringe umbringst umbringt umbrachte umgebracht umzubringen verletzen verletze verletzt verletzte verletzten "
+           "tuer tue tues tuons tuez tuent tué tuée tués tuées tuerai tueras tuera tuerons tuerez tueront "
+           "frapper frappe frappes frappons frappez frappent frappé frappée frappés frapperai frappera frapperons frapperont "
+           "détruire détruis détruit détruisons détruisez détruisent détruite détruirai détruira détruirons détruiront "
+           "matar mato matas mata matamos matan mataré matará mataremos matarán maté mató mataron matado "
+           "golpear golpeo golpeas golpea golpean golpearé golpeará golpearemos golpearán golpeé golpeó golpeado "
+           "destruir destruyo destruyes destruye destruyen destruiré destruirá destruiremos destruirán destruí destruyó destruido")
+#: Threats that hold their person.
+AIMED_THREATS = "matarte mataros matarle matarles golpearte golpearos golpearle golpearles destruirte destruiros destruirle destruirles"
 TARGETS = ("you your yours yourself u he him his she her they them their this that these those all everyone people "
            "du dich dir dein euch ihr sie tu toi te ton vous votre vos ils elles usted ustedes tú ti su sus ellos ellas")
+#: Targets that aren't people by themselves: pointers, possessives.
+NO_PERSONS = "your yours his their this that these those all dein ton votre vos su sus"
 NEGATIONS = "not no never isn't aren't wasn't weren't don't doesn't didn't won't can't nicht kein keine nie niemals pas jamais ni nunca jamás tampoco"
 REPORTS = "said says say wrote writes claims claimed quoted called reported sagte schrieb behauptet dit écrit prétend dijo escribió afirma"
 QUOTES = '"“”„«»'
@@ -40,16 +54,37 @@ _PIECE = re.compile(rf"[^\W\d_]+(?:['’][^\W\d_]+)*|[.!?;:\n{QUOTES}]")
 _ENDS = frozenset(".!?;:\n")
 
 
+INSULT, THREAT = ("insult", "aimed insult"), ("threat", "aimed threat")
+_ABUSE = frozenset(INSULT + THREAT)
+
+
 class Targeting:
-    """State: words left in which a target is near. Abuse near a target weighs more."""
+    """State: words left in which one of ``seen`` is near."""
 
     start = 0
+    seen: tuple[str, ...] = ("person", "target")
 
-    @staticmethod
-    def step(state: int, kind: str) -> tuple[int, float]:
-        if kind == "target":
-            return 6, 1.0
-        return max(0, state - 1), 1.25 if kind == "abuse" and state else 1.0
+    @classmethod
+    def next(cls, state: int, kind: str) -> int:
+        return 6 if kind in cls.seen else max(0, state - 1)
+
+
+class Insulting(Targeting):
+    """An insult near a target, on either side, weighs more."""
+
+    @classmethod
+    def step(cls, state: int, kind: str) -> tuple[int, float]:
+        return cls.next(state, kind), 1.25 if kind in INSULT and (state or kind == INSULT[1]) else 1.0
+
+
+class Threatening(Targeting):
+    """A threat is a verb and a person near, on either side; the verb alone has no weight."""
+
+    seen = ("person",)
+
+    @classmethod
+    def step(cls, state: int, kind: str) -> tuple[int, float]:
+        return cls.next(state, kind), (1.25 if state or kind == THREAT[1] else 0.0) if kind in THREAT else 1.0
 
 
 class Negation:
@@ -61,7 +96,7 @@ class Negation:
     def step(state: int, kind: str) -> tuple[int, float]:
         if kind == "negation":
             return 3, 1.0
-        return max(0, state - 1), 0.3 if kind == "abuse" and state else 1.0
+        return max(0, state - 1), 0.3 if kind in _ABUSE and state else 1.0
 
 
 class Reporting:
@@ -75,7 +110,7 @@ class Reporting:
             return max(state, 1), 1.0
         if kind == "quote":
             return (2 if state == 1 else 0), 1.0
-        return state, 0.5 if kind == "abuse" and state == 2 else 1.0
+        return state, 0.5 if kind in _ABUSE and state == 2 else 1.0
 
 
 class Composition:
@@ -102,34 +137,60 @@ class Grammar:
     classes: dict[str, str] = field(init=False)
 
     def __post_init__(self) -> None:
-        self.weights = {w: 1.5 for w in THREATS.split()} | self.weights
-        closed = {"target": TARGETS, "negation": NEGATIONS, "report": REPORTS}
+        threats = THREATS.split() + AIMED_THREATS.split()
+        self.weights = dict.fromkeys(threats, 1.5) | self.weights
+        closed = {"person": TARGETS, "target": NO_PERSONS, "negation": NEGATIONS, "report": REPORTS}
         self.classes = {w: kind for kind, words in closed.items() for w in words.split()}
-        self.classes |= dict.fromkeys(QUOTES, "quote") | dict.fromkeys(self.weights, "abuse")
-        self._rules = Composition(Targeting, Negation, Reporting)
-
-    def clauses(self, text: str | None) -> list[float]:
-        """Weight of each matched clause of the whole text."""
+        self.classes |= dict.fromkeys(QUOTES, "quote") | dict.fromkeys(self.weights, "insult")
+        self.classes |= dict.fromkeys(threats, "threat") | dict.fromkeys(AIMED_THREATS.split(), "aimed threat")
+        self._rules = Composition(Insulting, Threatening, Negation, Reporting)
+        self._back = Composition(Insulting, Threatening)
+
+    def _aimed(self, kinds: list[str]) -> list[str]:
+        """Classes of a clause, those of abuse with a target ahead being aimed: it is read from its end."""
+        told, state = [], self._back.start
+        for kind in reversed(kinds):
+            told.append(INSULT[1] if kind == "insult" and state[0] else THREAT[1] if kind == "threat" and state[1] else kind)
+            state, _ = self._back.step(state, kind)
+        return told[::-1]
+
+    def matches(self, text: str | None) -> list[tuple[float, float]]:
+        """Weights of insults and of threats in each matched clause of the whole text."""
         pieces = _PIECE.findall(text.lower()) if text else []
         if self.weights.keys().isdisjoint(pieces):
             return []
-        found, total, state, step = [], 0.0, self._rules.start, self._rules.step
-        for piece in pieces:
-            if piece in _ENDS:
-                if total:
-                    found.append(total)
-                # a quotation goes on over the end of a clause, scopes don't
-                total, state = 0.0, (*self._rules.start[:-1], state[-1] if state[-1] == 2 and piece != "\n" else 0)
+        found, clause, state, step = [], [], self._rules.start, self._rules.step
+        for piece in [*pieces, "\n"]:
+            if piece not in _ENDS:
+                clause.append(piece)
                 continue
-            kind = self.classes.get(piece, "word")
-            state, weight = step(state, kind)
-            if kind == "abuse":
-                total += weight * self.weights[piece]
-        return found + [total] * bool(total)
+            kinds = [self.classes.get(p, "word") for p in clause]
+            insults = threats = 0.0
+            for word, kind in zip(clause, kinds if _ABUSE.isdisjoint(kinds) else self._aimed(kinds)):
+                state, weight = step(state, kind)
+                if kind in INSULT:
+                    insults += weight * self.weights[word]
+                elif kind in THREAT:
+                    threats += weight * self.weights[word]
+            if insults or threats:
+                found.append((insults, threats))
+            # a quotation goes on over the end of a clause, scopes don't
+            clause, state = [], (*self._rules.start[:-1], state[-1] if state[-1] == 2 and piece != "\n" else 0)
+        return found
+
+    def clauses(self, text: str | None) -> list[float]:
+        """Weight of each matched clause of the whole text."""
+        return [insults + threats for insults, threats in self.matches(text)]
 
     def features(self, text: str | None) -> list[float]:
-        found = self.clauses(text)
-        return [math.log1p(sum(found)), math.log1p(max(found, default=0.0)), math.log1p(len(found))]
+        """Sum, strongest and number of the matched clauses, for insults and then for threats."""
+        found = self.matches(text)
+        kinds = [[w[k] for w in found if w[k]] for k in (0, 1)]
+        return [x for own in kinds for x in (math.log1p(sum(own)), math.log1p(max(own, default=0.0)), math.log1p(len(own)))]
+
+
+#: Numbers that a text is scored by.
+FEATURES = 6
 
 
 @dataclass
@@ -194,7 +255,7 @@ def fit(rows: DataFrame, text: str = "text", label: str = "label") -> Model:
     y = np.array([r["label"] for r in seen], float)
     share = (y.sum() + 0.5) / (len(y) + 1)
     if len(set(y)) < 2:
-        return Model(grammar, math.log(share / (1 - share)), np.zeros(3))
+        return Model(grammar, math.log(share / (1 - share)), np.zeros(FEATURES))
     return Model(grammar, *logistic(np.array([r["x"] for r in seen], float), y))
 
 

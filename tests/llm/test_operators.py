@@ -210,6 +210,24 @@ def test_grammar_scores_clauses():
     assert grammar.clauses("not. idiot") == [1.0] and grammar.clauses(None) == grammar.clauses("") == grammar.clauses("idiots") == []
 
 
+def test_targets_stand_on_either_side():
+    grammar = toxicity.Grammar({"idiot": 1.0, "scum": 1.0})
+    assert grammar.clauses("idiot, all of you") == grammar.clauses("you idiot") == grammar.clauses("scum like them") == [1.25]
+    assert grammar.clauses("idiot. you") == [1.0] and grammar.clauses("idiot a b c d e f g you") == [1.0]
+    assert grammar.matches("I will kill you, idiot") == [(1.25, 1.25 * 1.5)]
+
+
+def test_threats_need_a_person():
+    grammar = toxicity.Grammar({"idiot": 1.0, "shoot": 2.0})
+    for plain in ("kill the process", "beat the record", "kill that process", "beat this record", "kill. you", "they left\nkill"):
+        assert grammar.clauses(plain) == [], plain
+    for threat in ("I will kill you", "they will be killed", "he was beaten", "ich werde dich töten", "je te tue", "te voy a matar", "voy a matarte"):
+        assert grammar.matches(threat) == [(0.0, 1.25 * 1.5)], threat
+    assert grammar.matches("I never kill you") == [(0.0, 0.3 * 1.25 * 1.5)] and grammar.matches("shoot them") == [(0.0, 2.5)]
+    insult, threat = grammar.features("an idiot"), grammar.features("I kill you")
+    assert insult[3:] == threat[:3] == [0.0] * 3 and min(insult[:3] + threat[3:]) > 0
+
+
 def test_source_mix(spark, documents):
     rows, folder = documents
     mixed = queries.op5_source_mix(spark, folder).collect()
