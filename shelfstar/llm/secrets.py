@@ -3,14 +3,16 @@
 Patterns find assignments, access keys and long hexadecimal runs. Beyond them, any other run of key
 characters in a sensitive context is measured: how many bytes a zstandard frame grows by when the run is
 added to the code around it, the compressor being primed with an identifier dictionary. A name made of
-known parts, or one that its surroundings repeat, costs few bytes; a random key costs nearly all of its entropy
-and is reported as ``novel``. Only texts with a sensitive word or key characters reach the expressions.
+known parts, or one that its surroundings repeat, costs few bytes; a random key, be it of letters or digits alone,
+costs nearly all of its entropy and is reported as ``novel``. Contexts are key words before or behind the run, in camelCase too. Only texts with a sensitive word or key characters reach the expressions.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pandas as pd
 import zstandard
@@ -23,13 +25,21 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "novel")
 
 #: Parts of every word that the assignment pattern and the sensitive words begin from; a plain search is far cheaper than they are.
-_HINTS = ("passw", "passphrase", "pwd", "secret", "token", "api_key", "apikey", "private", "credential", "auth", "bearer", "signature", "session")
-_SENSITIVE = re.compile(r"(?:pass(?:word|wd|phrase)|pwd|secret|token|api_?key|private_?key|credential|auth|bearer|signature|session)s?(?![a-z])", re.I | re.A)
+_HINTS = ("passw", "passphrase", "pwd", "secret", "token", "key", "private", "credential", "auth", "bearer", "signature", "session")
+#: Key words stand after any name and a hyphen, an underscore or a hump. After a word, a capital begins the next
+#: part of a camelCase name; after one in capitals, no letter may follow.
+_SENSITIVE = re.compile(
+    r"(?:pass(?:word|wd|phrase)|pwd|secret|token|credential|auth(?:orization|entication)?|bearer|signature|session"
+    r"|(?:api|access|private|encryption|signing|master)\x20?key|(?<!public)[_-]key|(?<!public)(?-i:(?<=[a-z0-9])Key))s?"
+    r"(?-i:(?![a-z])(?:(?<=[a-z])|(?![A-Z])))", re.I | re.A)
+_KEY_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 REACH = 64
 AROUND = 256
 #: Bytes that a character of a run must cost; a random one of 64 kinds costs 0.75.
 NOVELTY = 0.6
+#: The same for a run of letters alone: long words of prose cost about 0.6 where they are new, random letters from 0.75 on.
+LETTERS_NOVELTY = 0.75
 
 #: Identifier dictionary: names and phrases that code and prose around keys commonly hold.
 IDENTIFIERS = (
@@ -65,7 +75,7 @@ class Novelty:
         return len(self._press.compress(base + run.encode())) - len(self._press.compress(base))
 
     def is_novel(self, around: str, run: str) -> bool:
-        return self.bytes_added(around, run) >= NOVELTY * len(run)
+        return self.bytes_added(around, run) >= (NOVELTY if any(c.isdigit() for c in run) else LETTERS_NOVELTY) * len(run)
 
 
 def hinted(text: str) -> bool:
@@ -84,23 +94,47 @@ def base_spans(text: str, assigned: bool = True) -> list[Span]:
     return found
 
 
+def runs_before(text: str, done: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Runs from ``done`` on that reach into the ``REACH`` characters before ``stop``, each from its beginning."""
+    low, width = stop - REACH, AROUND
+    while low > done:
+        head = text[max(done, low - width) : low]
+        own = len(head) - len(head.rstrip(_KEY_CHARS))
+        if own < len(head) or low - width <= done:  # else a run longer than the window
+            low -= own
+            break
+        width *= 2
+    for m in _RUN.finditer(text, max(done, low), stop):
+        yield m.span()
+
+
+def runs_after(text: str, start: int, stop: int) -> Iterator[tuple[int, int]]:
+    """Runs that begin from ``start`` to before ``stop``, each to its end."""
+    while start < stop and (m := _RUN.search(text, start, stop + AROUND)) and m.start() < stop:
+        end = m.end()
+        if end == stop + AROUND:  # a run longer than the window: take all of it
+            end = _RUN.match(text, m.start()).end()
+        yield m.start(), end
+        start = end
+
+
 def novel_spans(text: str, base: list[Span], novelty: Novelty) -> list[Span]:
-    """Runs of 16 or more key characters within ``REACH`` after a sensitive word that no base span touches."""
+    """Runs of 16 or more key characters within ``REACH`` before or after a sensitive word that no base span touches.
+
+    What goes on from the word, or up to it, without a separator is its own name unless letters and digits are mixed in it.
+    """
     found, done = [], 0
     for word in _SENSITIVE.finditer(text):
-        start = max(word.end(), done)
-        stop = word.end() + REACH
-        while start < stop and (m := _RUN.search(text, start, stop + AROUND)) and m.start() < stop:
-            run_end = m.end()
-            if run_end == stop + AROUND:  # a run longer than the window: take all of it
-                run_end = _RUN.match(text, m.start()).end()
-            start = done = run_end
-            run = text[m.start() : run_end]
+        after = max(word.end(), done)
+        for start, end in chain(runs_before(text, done, word.start()), runs_after(text, after, word.end() + REACH)):
+            done = end
+            run = text[start:end]
+            named = end == word.start() or start == word.end() and "=" not in run.rstrip("=")
             mixed = any(c.isdigit() for c in run) and any(c.isalpha() for c in run)
-            if mixed and not any(s.start < run_end and m.start() < s.end for s in base):
-                around = text[max(0, m.start() - AROUND) : m.start()] + text[run_end : run_end + AROUND]
+            if (mixed or not named) and not any(s.start < end and start < s.end for s in base):
+                around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
                 if novelty.is_novel(around, run):
-                    found.append(Span("novel", m.start(), run_end))
+                    found.append(Span("novel", start, end))
     return found
 
 

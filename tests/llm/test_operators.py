@@ -126,6 +126,24 @@ def test_novel_strings_are_reported_and_names_are_not():
     assert sum(s.kind == "novel" for s in secrets.scan(long + " " + "".join(random.Random(1).choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdef23456789", k=900)), novelty)) <= 2
 
 
+@pytest.mark.parametrize("context", ["secretKey: ", "passwordHash ", "sessionId: ", "tokenValue ", "authorization: ", "access_key = ", "X-Api-Key: ", "encryption_key: ", "accessKey: ", "AWS access key "])
+@pytest.mark.parametrize("key", [KEY, "qvXzKwJhTgBnMpLcRdFsYxWk", "83920174650192837465"])
+def test_novel_strings_after_and_before_key_words(context, key):
+    novelty = secrets.Novelty()
+    for text in (f"x {context}'{key}' y", f"x '{key}' is the {context}"):
+        assert [text[s.start : s.end] for s in secrets.scan(text, novelty) if s.kind == "novel"] == [key], text
+
+
+def test_names_with_key_words_are_no_secrets():
+    novelty = secrets.Novelty()
+    for plain in ("tokenBucketRefillStrategyFactory(x)", "customer_subscription_access_token x", f"the keyboard of a monkey {KEY}", f"AUTHOR {KEY}", f"public_key {KEY}", f"tokenizer {KEY}",
+                  f"{KEY} " + "far away " * 8 + "token"):
+        assert not [s for s in secrets.scan(plain, novelty) if s.kind == "novel"], plain
+    long = KEY * 40 + "".join(random.Random(1).choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdef23456789", k=900))
+    assert [(s.start, s.end) for s in secrets.scan(f"a {long} token", novelty) if s.kind == "novel"] in ([], [(2, 2 + len(long))])
+    assert list(secrets.runs_before(f"a {long} token", 0, len(long) + 3)) == [(2, 2 + len(long))]
+
+
 def test_redaction_masks_overlapping_spans():
     spans = [secrets.Span("assign", 2, 8), secrets.Span("hex", 5, 10), secrets.Span("access", 12, 13)]
     assert secrets.masked("0123456789abcdef", spans, "<>") == "01<>ab<>def"
