@@ -4,6 +4,7 @@ Lines are normalised (letters A-Z lowered, white space as one blank, ends trimme
 document's host. A line that more than ``max_documents`` different texts of one host hold is boilerplate
 there and is removed; exact copies of a text count once, as a document isn't boilerplate for having been
 fetched often. A document that keeps less than ``least_left`` of its words is depleted and is rejected.
+``judge_quality`` counts what goes, ``without_frequent_lines`` returns the texts without it; both ask ``frequent_lines``.
 
 A document sends each of its different lines once, and tasks add up before anything is shuffled. A line is a
 64-bit key; two lines of one key would be counted together, which only matters at the limit.
@@ -13,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import checkpointed, lower_ascii, whole
+from .common import checkpointed, fresh, lower_ascii, whole
 
 MAX_DOCUMENTS = 200
 LEAST_LEFT = 0.2
@@ -21,6 +22,14 @@ _SPACE = r"[\x20\x09-\x0D]+"
 _SYMBOLS = "#*$%&|<>"
 
 
+def filled(line: Column) -> Column:
+    return F.length(F.translate(line, " \t\r\x0b\x0c", "")) > 0
+
+
+def plain(line: Column) -> Column:
+    return F.trim(lower_ascii(F.regexp_replace(line, _SPACE, " ")))
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, _SPACE), "")
 
@@ -58,9 +67,8 @@ def _covered(hashes: str) -> Column:
 def measured(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
     """Base counts of each row, and its different lines as keys with their words."""
     body = whole(text)
-    lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, " \t\r\x0b\x0c", "")) > 0)
+    lines = F.filter(F.split(body, "\n"), filled)
     first = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(host)).alias("host"), body.alias("text"), words_of(body).alias("words"), lines.alias("lines"))
-    plain = lambda x: F.trim(lower_ascii(F.regexp_replace(x, _SPACE, " ")))
     known = F.transform("lines", lambda x: F.named_struct(F.lit("line"), plain(x)))
     second = first.select(
         "key", "text", "words", "lines", repeated_window_words("words").alias("hashes"),
@@ -75,6 +83,32 @@ def measured(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
     )
 
 
+def frequent_lines(lines: DataFrame, max_documents: int) -> DataFrame:
+    """Each ``line`` that more than ``max_documents`` different ``body`` of ``lines`` hold. A key has its host in it."""
+    held = lines.groupBy("line", "body").agg(F.lit(1).alias("one")).groupBy("line").agg(F.count(F.lit(1)).alias("documents"))
+    return held.filter(F.col("documents") > max_documents).select("line")
+
+
+def without_frequent_lines(docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """``docs`` with every frequent line taken out of ``text``; other lines, rows and columns stay as they are.
+
+    Lines to go are found once for all copies of a text in a host, and reach the rows by host and SHA-256 of the text.
+    """
+    named, gone = fresh(docs, "named"), fresh(docs, "gone")
+    lines = F.split(F.col(text), "\n")
+    marked = docs.withColumn(named, F.sha2(F.concat_ws("|", F.xxhash64(F.col(host)).cast("string"), F.col(text)), 256))
+    first = marked.select(F.col(named).alias("named"), F.xxhash64(F.col(host)).alias("host"), F.xxhash64(F.col(text)).alias("body"), lines.alias("lines"))
+    known = F.transform("lines", lambda x: F.named_struct(F.lit("line"), plain(x), F.lit("filled"), filled(x)))
+    keyed = F.transform(known, lambda x: F.when(x["filled"], F.xxhash64(F.col("host"), x["line"])))
+    placed = first.select("named", "body", F.posexplode(keyed).alias("place", "line")).filter("line is not null")
+    removed = placed.join(frequent_lines(placed, max_documents), "line", "left_semi").groupBy("named").agg(F.collect_set("place").alias(gone))
+    told = marked.join(removed.withColumnRenamed("named", named), named, "left")
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    # split once: the array is an argument of the lambda
+    rebuilt = F.element_at(F.transform(F.array(lines), lambda own: F.array_join(F.transform(left, lambda i: F.get(own, i)), "\n")), 1)
+    return told.withColumn(text, F.when(F.col(gone).isNull(), F.col(text)).otherwise(rebuilt)).select(*docs.columns)
+
+
 def judge_quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
                   max_documents: int = MAX_DOCUMENTS, least_left: float = LEAST_LEFT) -> DataFrame:
     """``key``, ``n_words``, the base counts, ``base_failed``, ``n_removed_words``, ``kept`` for each row of ``docs``.
@@ -84,9 +118,7 @@ def judge_quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host
     """
     rows = checkpointed(measured(docs, key, text, host).withColumn("row", F.monotonically_increasing_id()))
     lines = rows.select("row", "body", F.explode("keyed").alias("x")).select("row", "body", F.col("x.line").alias("line"), F.col("x.n").alias("n"))
-    held = lines.groupBy("line", "body").agg(F.lit(1).alias("one")).groupBy("line").agg(F.count(F.lit(1)).alias("documents"))
-    frequent = held.filter(F.col("documents") > max_documents).select("line")
-    removed = lines.join(frequent, "line", "left_semi").groupBy("row").agg(F.sum("n").alias("removed"))
+    removed = lines.join(frequent_lines(lines, max_documents), "line", "left_semi").groupBy("row").agg(F.sum("n").alias("removed"))
     told = rows.drop("keyed", "body").join(removed, "row", "left").withColumn("n_removed_words", F.coalesce("removed", F.lit(0)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = F.col("n_words") - F.col("n_removed_words") < least_left * F.col("n_words")

@@ -363,6 +363,26 @@ def test_frequent_lines_go(spark):
     assert {k for _, k in want.values()} == {True, False}
 
 
+def test_frequent_lines_leave_the_text(spark):
+    rng = random.Random(8)
+    head, rows = "The  Same head line\tof this host", []
+    for i in range(40):
+        own = [" ".join(f"w{rng.randrange(9999)}" for _ in range(20)) for _ in range(3)]
+        rows.append((i, "\n".join([own[0], head.upper() if i % 2 else head, "", *own[1:], head, " "]), f"h{i % 2}" if i % 5 else None))
+    rows += [(100 + i, f"{head}\ntail {i}\n\n", "few") for i in range(10)] + [(200, rows[1][1], "h1"), (200, rows[1][1], "h1"), (201, None, "h0"), (202, "", None), (203, head, "h0")]
+    docs = spark.createDataFrame([(*r, "n", "g") for r in rows], "doc_id long, text string, source string, named string, Gone string")
+    got = line_quality.without_frequent_lines(docs, max_documents=10)
+    assert got.columns == docs.columns
+    want = []
+    for i, t, host in rows:
+        goes = host not in ("few", None)
+        want.append((i, "\n".join(x for x in t.split("\n") if not goes or " ".join(x.lower().split()) != "the same head line of this host") if t else t, host, "n", "g"))
+    assert Counter(map(tuple, got.collect())) == Counter(want) and Counter(want) != Counter((*r, "n", "g") for r in rows)
+    judged = line_quality.judge_quality(docs, max_documents=10).collect()
+    left = Counter((r["doc_id"], len(brute.WORDS.findall(r["text"] or ""))) for r in got.collect())
+    assert Counter((r["doc_id"], r["n_words"] - r["n_removed_words"]) for r in judged) == left
+
+
 def test_language_id_of_held_out_documents(spark):
     truth = dict(given(spark, "documents", "doc_id", "lang"))
     rows = queries.op9_language_id(spark, SF).collect()
