@@ -4,6 +4,8 @@ Lines are normalised (letters A-Z lowered, white space as one blank, ends trimme
 document's host. A line that more than ``max_documents`` different texts of one host hold is boilerplate
 there and is removed; exact copies of a text count once, as a document isn't boilerplate for having been
 fetched often. A document that keeps less than ``least_left`` of its words is depleted and is rejected.
+With a ``share`` the limit of a host is that share of its different texts, and ``max_documents`` the least limit.
+The registered query has none, as its SQL has the number alone: no line of a host of 200 texts or fewer goes there.
 ``judge_quality`` counts what goes, ``without_frequent_lines`` returns the texts without it; both ask ``frequent_lines``.
 
 A document sends each of its different lines once, and tasks add up before anything is shuffled. A line is a
@@ -71,11 +73,11 @@ def measured(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
     first = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(host)).alias("host"), body.alias("text"), words_of(body).alias("words"), lines.alias("lines"))
     known = F.transform("lines", lambda x: F.named_struct(F.lit("line"), plain(x)))
     second = first.select(
-        "key", "text", "words", "lines", repeated_window_words("words").alias("hashes"),
+        "key", "host", "text", "words", "lines", repeated_window_words("words").alias("hashes"),
         F.transform(known, lambda x: F.struct(F.xxhash64(F.col("host"), x["line"]).alias("line"), F.size(F.split(x["line"], " ")).cast("long").alias("n"))).alias("keyed"),
     )
     return second.select(
-        "key", F.xxhash64("text").alias("body"), F.size("words").cast("long").alias("n_words"),
+        "key", "host", F.xxhash64("text").alias("body"), F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", _SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -83,13 +85,18 @@ def measured(docs: DataFrame, key: str, text: str, host: str) -> DataFrame:
     )
 
 
-def frequent_lines(lines: DataFrame, max_documents: int) -> DataFrame:
-    """Each ``line`` that more than ``max_documents`` different ``body`` of ``lines`` hold. A key has its host in it."""
-    held = lines.groupBy("line", "body").agg(F.lit(1).alias("one")).groupBy("line").agg(F.count(F.lit(1)).alias("documents"))
-    return held.filter(F.col("documents") > max_documents).select("line")
+def frequent_lines(lines: DataFrame, max_documents: int, share: float | None = None) -> DataFrame:
+    """Each ``line`` that more different ``body`` of ``lines`` hold than the limit. A key has its ``host`` in it."""
+    if share is None:
+        return lines.groupBy("line", "body").agg(F.lit(1).alias("one")).groupBy("line").agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > max_documents).select("line")
+    once = lines.groupBy("line", "body").agg(F.first("host").alias("host"))
+    held = once.groupBy("line").agg(F.first("host").alias("host"), F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > max_documents)
+    texts = lines.groupBy("host", "body").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
+    return held.join(texts, "host").filter(F.col("documents") > share * F.col("texts")).select("line")
 
 
-def without_frequent_lines(docs: DataFrame, text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+def without_frequent_lines(docs: DataFrame, text: str = "text", host: str = "source",
+                           max_documents: int = MAX_DOCUMENTS, share: float | None = None) -> DataFrame:
     """``docs`` with every frequent line taken out of ``text``; other lines, rows and columns stay as they are.
 
     Lines to go are found once for all copies of a text in a host, and reach the rows by host and SHA-256 of the text.
@@ -100,8 +107,8 @@ def without_frequent_lines(docs: DataFrame, text: str = "text", host: str = "sou
     first = marked.select(F.col(named).alias("named"), F.xxhash64(F.col(host)).alias("host"), F.xxhash64(F.col(text)).alias("body"), lines.alias("lines"))
     known = F.transform("lines", lambda x: F.named_struct(F.lit("line"), plain(x), F.lit("filled"), filled(x)))
     keyed = F.transform(known, lambda x: F.when(x["filled"], F.xxhash64(F.col("host"), x["line"])))
-    placed = first.select("named", "body", F.posexplode(keyed).alias("place", "line")).filter("line is not null")
-    removed = placed.join(frequent_lines(placed, max_documents), "line", "left_semi").groupBy("named").agg(F.collect_set("place").alias(gone))
+    placed = first.select("named", "host", "body", F.posexplode(keyed).alias("place", "line")).filter("line is not null")
+    removed = placed.join(frequent_lines(placed, max_documents, share), "line", "left_semi").groupBy("named").agg(F.collect_set("place").alias(gone))
     told = marked.join(removed.withColumnRenamed("named", named), named, "left")
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     # split once: the array is an argument of the lambda
@@ -110,16 +117,16 @@ def without_frequent_lines(docs: DataFrame, text: str = "text", host: str = "sou
 
 
 def judge_quality(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str = "source",
-                  max_documents: int = MAX_DOCUMENTS, least_left: float = LEAST_LEFT) -> DataFrame:
+                  max_documents: int = MAX_DOCUMENTS, least_left: float = LEAST_LEFT, share: float | None = None) -> DataFrame:
     """``key``, ``n_words``, the base counts, ``base_failed``, ``n_removed_words``, ``kept`` for each row of ``docs``.
 
     A null text counts as empty: no word, so ``base_failed``. A null host is a host of its own. Repeated rows are
     judged alike and count once, as copies do. Other columns are not carried.
     """
     rows = checkpointed(measured(docs, key, text, host).withColumn("row", F.monotonically_increasing_id()))
-    lines = rows.select("row", "body", F.explode("keyed").alias("x")).select("row", "body", F.col("x.line").alias("line"), F.col("x.n").alias("n"))
-    removed = lines.join(frequent_lines(lines, max_documents), "line", "left_semi").groupBy("row").agg(F.sum("n").alias("removed"))
-    told = rows.drop("keyed", "body").join(removed, "row", "left").withColumn("n_removed_words", F.coalesce("removed", F.lit(0)))
+    lines = rows.select("row", "host", "body", F.explode("keyed").alias("x")).select("row", "host", "body", F.col("x.line").alias("line"), F.col("x.n").alias("n"))
+    removed = lines.join(frequent_lines(lines, max_documents, share), "line", "left_semi").groupBy("row").agg(F.sum("n").alias("removed"))
+    told = rows.drop("keyed", "host", "body").join(removed, "row", "left").withColumn("n_removed_words", F.coalesce("removed", F.lit(0)))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = F.col("n_words") - F.col("n_removed_words") < least_left * F.col("n_words")
     return told.select(F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), "n_removed_words", (~failed & ~depleted).alias("kept"))

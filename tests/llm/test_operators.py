@@ -383,6 +383,17 @@ def test_frequent_lines_leave_the_text(spark):
     assert Counter((r["doc_id"], r["n_words"] - r["n_removed_words"]) for r in judged) == left
 
 
+def test_line_limit_as_a_share_of_the_host(spark):
+    head = "The same line of a host"
+    rows = [(i, f"{head}\n" * 5 + f"own {i}", "small") for i in range(12)] + [(100 + i, (head if i < 12 else "other") + f"\nown {i}", "large") for i in range(150)]
+    rows += [(300 + i, f"{head}\nown", "copies") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    gone = {r["doc_id"]: r["n_removed_words"] for r in line_quality.judge_quality(docs, max_documents=5, share=0.5).collect()}
+    assert gone == {i: 30 if s == "small" else int(s == "large" and "other" in t) for i, t, s in rows}
+    left = {r["doc_id"]: r["text"] for r in line_quality.without_frequent_lines(docs, max_documents=5, share=0.5).collect()}
+    assert left[0] == "own 0" and left[100] == f"{head}\nown 0" and left[112] == "own 12" and left[300] == f"{head}\nown"
+
+
 def test_language_id_of_held_out_documents(spark):
     truth = dict(given(spark, "documents", "doc_id", "lang"))
     rows = queries.op9_language_id(spark, SF).collect()
