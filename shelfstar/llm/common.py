@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -34,6 +36,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder and read from there, by the columns that are asked for."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def fold(key: str, folds: int) -> Column:
     """Fold of a row: crc32 of the key's decimal text; null for a null key, which is in no fold."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % folds

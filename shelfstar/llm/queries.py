@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, line_quality, mixing, secrets, simhash, token_counts, toxicity, url_reputation, vector_dedup
+from . import bpe, language_id, line_quality, mixing, periodic, resampling, secrets, simhash, token_counts, toxicity, url_reputation, vector_dedup
 from .common import bounded_batches, checkpointed, fold
 from .oracles import ORACLES as ORACLES
 
@@ -106,8 +108,40 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def looped(text: Column, key: Column) -> Column:
+    """The text of every tenth key, by crc32, with its tail turned into a period of its own words; other texts, and those
+    of a null key, stay as they are."""
+
+    @F.arrow_udf("string")
+    def of(texts: pa.Array, keys: pa.Array) -> pa.Array:
+        out = []
+        for value, key in zip(texts, keys):
+            body, h = value.as_py() or b"", 1 if (key := key.as_py()) is None else zlib.crc32(str(key).encode())
+            if h % 10 == 0 and (words := body.split()):
+                n, g = len(words), h // 10
+                a = g % n
+                p = 1 + (n - a) // (3 + g % 8)
+                body = b" ".join(words[:a] + [words[a + (i - a) % p] for i in range(a, n)])
+            out.append(body)
+        return pa.array(out, pa.binary()).cast(pa.string())
+
+    return of(text.cast("binary"), key)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", looped(F.col("text"), F.col("doc_id")).alias("text"))
+    found = docs.select("doc_id", periodic.periodic(F.col("text")).alias("x")).select("doc_id", "x.runs", "x.collapsed")
+    top = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), periodic.longest(F.col("runs")).alias("top"),
+                       F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return top.select("doc_id", "n_runs", "top.start", "top.length", "top.period", F.expr("1000 * top.length div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_secret_scan, op2_token_counts, op3_url_filter, op4_toxicity, op5_source_mix, op6_byte_bpe,
-              op7_embedding_dedup, op8_quality_rules, op9_language_id, op10_simhash)
+              op7_embedding_dedup, op8_quality_rules, op9_language_id, op10_simhash, op11_periodic_runs, op13_importance_resampling)
 }

@@ -116,3 +116,23 @@ def near_vectors(rows, least=0.95):
     for (key, _), r in zip(rows, roots):
         named[r] = min((k for k in (named.get(r), key) if k is not None), default=None)
     return [(key, many[i], named[r], key == named[r]) for i, ((key, _), r) in enumerate(zip(rows, roots))]
+
+
+def runs(words, least):
+    """Every stretch of one smallest period that can't grow: (start, length, period), by start and then period."""
+    found = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j - i >= q and j - i + q >= least:
+                found.setdefault((i, j + q - i), q)  # periods rise, so the first is the smallest
+            i = j + 1
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def without_repeats(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return [w for i, w in enumerate(words) if i not in gone]

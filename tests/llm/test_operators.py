@@ -69,13 +69,14 @@ def folder(spark, odd_rows, tmp_path_factory):
     vectors += [(400 + i, vectors[0][1], 2) for i in range(300)] + [(700, None, 1), (701, [], 1), (702, [0.0] * 16, 1), (703, [1.0, None] + [0.0] * 14, 1), (704, [float("nan")] * 16, 1),
                 (705, [float("inf")] * 16, 1), (706, [1.0], 1), (707, [2.0], 1), (708, [-1.0], 1), (None, vectors[1][1], 1), (1, vectors[1][1], 1)]
     spark.createDataFrame([(*v, "clash") for v in vectors], "vec_id long, embedding array<float>, label int, cls string").repartition(4).write.parquet(f"{root}/embeddings.parquet")
+    spark.createDataFrame([(1, "the ing eit", "x"), (None, None, None)], "item_id long, text string, score string").write.parquet(f"{root}/benchmark.parquet")
     return root
 
 
 @pytest.fixture(scope="module")
 def empty(spark, folder, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels", "pages", "embeddings"):
+    for name in ("documents", "labels", "pages", "embeddings", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{root}/{name}.parquet")
     return root
 
