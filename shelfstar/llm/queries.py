@@ -9,13 +9,14 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, line_quality, mixing, periodic, resampling, secrets, simhash, token_counts, toxicity, url_reputation, vector_dedup
+from . import bit_mixing, bpe, language_id, line_quality, mixing, periodic, resampling, secrets, simhash, token_counts, toxicity, url_reputation, vector_dedup
 from .common import bounded_batches, checkpointed, fold
 from .oracles import ORACLES as ORACLES
 
 #: Folds kept for testing, and the rules of the url query.
 LANGUAGE_FOLDS, LANGUAGE_TEST = 4, 2
 TOXIC_FOLDS, TOXIC_TEST = 5, 0
+SCORE_FOLDS, SCORE_TEST = 7, 2
 RULES = [url_reputation.Rule("block", "net/"), url_reputation.Rule("allow", "example.net/en/"),
          url_reputation.Rule("block", "example.com/de/"), url_reputation.Rule("allow", "org/fr/")]
 LIMIT = 4096
@@ -136,6 +137,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("doc_id", "n_runs", "top.start", "top.length", "top.period", F.expr("1000 * top.length div top.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
 
 
+def op12_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(SCORE_FOLDS, SCORE_TEST).alias("held_out"))
+    model = bit_mixing.fit(docs.filter(fold("doc_id", SCORE_FOLDS) != SCORE_TEST))
+    return bit_mixing.score(docs, model, keep=["held_out"])
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -143,5 +150,5 @@ def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_secret_scan, op2_token_counts, op3_url_filter, op4_toxicity, op5_source_mix, op6_byte_bpe,
-              op7_embedding_dedup, op8_quality_rules, op9_language_id, op10_simhash, op11_periodic_runs, op13_importance_resampling)
+              op7_embedding_dedup, op8_quality_rules, op9_language_id, op10_simhash, op11_periodic_runs, op12_lm_scores, op13_importance_resampling)
 }
