@@ -25,11 +25,14 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from contextlib import contextmanager
+from dataclasses import dataclass, replace
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import estimated_bytes
 from .common import written
@@ -38,17 +41,17 @@ from .common import written
 WORD_CONTEXTS: tuple[tuple[int, ...], ...] = ((), (1,), (1, 2))
 BYTE_CONTEXTS: tuple[tuple[int, ...], ...] = ((), (1,), (1, 2), (1, 2, 3))
 #: Places of a context's table, and of a text's or a word's own counts.
-PLACES, WORD_OWN, BYTE_OWN = 1 << 22, 1 << 12, 1 << 6
+PLACES, WORD_OWN, BYTE_OWN = 1 << 21, 1 << 12, 1 << 6
 #: Bytes of the word table (a word weighs its bytes and ``ENTRY``), its longest word, and what a counting task holds.
 TABLE_BYTES, ENTRY, LONGEST, HELD, HELD_BYTES = 32 << 20, 64, 256, 400_000, 32 << 20
 #: Every which training text the weights are fitted on, in how many rounds, and the bytes a task counts places of.
-TUNE, ROUNDS, TASK_BYTES = 16, 3, 64 << 20
+TUNE, ROUNDS, TASK_BYTES = 16, 2, 32 << 20
 #: Texts and bytes that move on together; symbols of a text's first and longest block.
 TEXTS, TEXT_BYTES, FIRST_BLOCK, LONGEST_BLOCK = 256, 256 << 10, 16, 512
 #: Step of the weights, decisions that a map's start weighs, and weight of the last round in a Newton step.
 STEP, MAP_START, RIDGE = 0.5, 64.0, 200.0
 
-_DEPTHS = np.array([0, 1, 2, 2, 3, 3, 3, 3] + [4] * 8 + [5] * 240, np.int64)
+_DEPTHS = np.array([0, 1, 2, 2, 3, 3, 3, 3] + [4] * 8 + [5], np.uint32)
 _STEPS, _SCALE, _CHUNK, _FIXED = 33, 16.0, 1 << 16, 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _PIECE = 1 << 20
@@ -64,57 +67,83 @@ def words_in(text: bytes) -> Iterator[list[bytes]]:
         start = stop
 
 
-def huffman(counts: Sequence[int]) -> list[tuple[int, int]]:
-    """For each entry of a binary tree over ``counts`` its parent and its side; leaves come first, the root last.
+def huffman(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Parent and side of each entry of a binary tree over ``counts``; leaves come first, the root last, without a parent (-1).
 
     Equal counts are taken in their order, so the tree depends on the counts alone.
     """
-    leaves = sorted(range(len(counts)), key=lambda i: (counts[i], i))
-    up: list[tuple[int, int]] = [(-1, 0)] * (2 * len(counts) - 1)
-    weights = [0] * len(up)
-    for i in leaves:
-        weights[i] = counts[i]
-    first, inner, made = 0, len(counts), len(counts)
-    while made < len(up):
-        for side in (0, 1):
-            if inner >= made or first < len(leaves) and weights[leaves[first]] <= weights[inner]:
-                child, first = leaves[first], first + 1
+    many = len(counts)
+    order = np.argsort(counts, kind="stable")
+    leaves, weights = order.tolist(), counts[order].tolist()
+    parent, side, sums = [-1] * (2 * many - 1), bytearray(2 * many - 1), []
+    first, inner = 0, 0
+    for made in range(many, 2 * many - 1):
+        total = 0
+        for turn in (0, 1):
+            if inner >= len(sums) or first < many and weights[first] <= sums[inner]:
+                child, first, total = leaves[first], first + 1, total + weights[first]
             else:
-                child, inner = inner, inner + 1
-            up[child] = made, side
-            weights[made] += weights[child]
-        made += 1
-    return up
+                child, inner, total = many + inner, inner + 1, total + sums[inner]
+            parent[child], side[child] = made, turn
+        sums.append(total)
+    return np.array(parent, np.int64), np.frombuffer(bytes(side), np.uint8)
 
 
 class Codes:
     """Paths of symbols through a Huffman tree of their counts."""
 
-    def __init__(self, counts: Sequence[int], contexts: Sequence[Sequence[int]], own: int):
-        up, inner, paths = huffman(counts), len(counts), []
-        for leaf in range(inner):
-            path, at = [], leaf
-            while up[at][0] >= 0:
-                at, side = up[at]
-                path.append((at - inner, side))
-            paths.append(path[::-1])
+    def __init__(self, counts: np.ndarray, contexts: Sequence[Sequence[int]], own: int):
+        parent, side = huffman(np.asarray(counts, np.int64))
+        self._tree = parent.astype(np.int32), side
         self.contexts, self.own = [tuple(c) for c in contexts], own
         self.levels, self.gates, self.inputs = 2 * len(contexts), 12 * len(contexts), len(contexts) + 2
-        self.lengths = np.array([len(p) for p in paths], np.int64)
+        self._walk()
+
+    def _walk(self) -> None:
+        """Every symbol's steps from the root on, ``lengths[s]`` of them from ``starts[s]`` on: node, class of depth and bit in one number."""
+        parent, side = self._tree
+        many = (len(parent) + 1) // 2
+        self.lengths, at = np.zeros(many, np.int64), np.arange(many)
+        while (up := parent[at]).max(initial=-1) >= 0:
+            self.lengths += up >= 0
+            at = np.where(up >= 0, up, at)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.nodes = np.array([n for p in paths for n, _ in p], np.uint32)
-        self.bits = np.array([b for p in paths for _, b in p], np.uint8)
+        self.steps = np.empty(int(self.lengths.sum()), np.uint32)
+        at, place, starts = np.arange(many), self.starts + self.lengths - 1, self.starts
+        while len(at):
+            on = place >= starts
+            at, place, starts = at[on], place[on], starts[on]
+            depth = _DEPTHS.take(np.minimum(place - starts, len(_DEPTHS) - 1))
+            self.steps[place] = (parent[at] - many).astype(np.uint32) << np.uint32(4) | depth << np.uint32(1) | side[at]
+            at, place = parent[at], place - 1
+
+    def __getstate__(self) -> dict[str, Any]:
+        # tasks get the tree and walk it themselves, as all its paths are ten times its size
+        return {k: v for k, v in self.__dict__.items() if k not in ("lengths", "starts", "steps")}
+
+    def __setstate__(self, state: dict[str, Any]) -> None:
+        self.__dict__.update(state)
+        self._walk()
 
 
 class Words(Codes):
     """Symbols: the words of the table from 0, then the end of a text, then the escape."""
 
     def __init__(self, words: Sequence[bytes], counts: Sequence[int], ends: int, escapes: int):
-        super().__init__([*counts, ends, escapes + 1], WORD_CONTEXTS, WORD_OWN)
-        self.counts = np.array([*counts, ends], np.int64)
+        super().__init__(np.append(np.asarray(counts, np.int64), [ends, escapes + 1]), WORD_CONTEXTS, WORD_OWN)
+        self.counts = np.append(np.asarray(counts, np.int64), ends)
         self.table = dict(zip(words, range(len(words)))) | {b"": len(words)}
         self.escape = len(words) + 1
 
+    def __getstate__(self) -> dict[str, Any]:
+        words = zlib.compress(b"\n".join(list(self.table)[:-1]), 1)  # no word has a line feed
+        return super().__getstate__() | {"table": words}
+
+    def __setstate__(self, state: dict[str, Any]) -> None:
+        words = zlib.decompress(state["table"])
+        words = words.split(b"\n") if words else []
+        super().__setstate__(state | {"table": dict(zip(words, range(len(words)))) | {b"": len(words)}})
+
     def symbols(self, text: bytes) -> np.ndarray:
         escape, find = self.escape, self.table.get
         parts = [np.array([find(w, escape) for w in words], np.int32) for words in words_in(text)]
@@ -128,14 +157,15 @@ class Spelling(Codes):
     """Symbols: bytes, and the end of a word."""
 
     def __init__(self, counts: Sequence[int]):
-        super().__init__([n + 1 for n in counts], BYTE_CONTEXTS, BYTE_OWN)
+        super().__init__(np.asarray(counts, np.int64) + 1, BYTE_CONTEXTS, BYTE_OWN)
 
     def symbols(self, text: bytes) -> np.ndarray:
         return np.append(np.frombuffer(text, np.uint8), 256).astype(np.int32)
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint32(15))
+    """The numbers of an array of its own, mixed in place."""
+    x ^= x >> np.uint32(15)
     x *= np.uint32(0x85EBCA6B)
     x ^= x >> np.uint32(13)
     return x
@@ -143,9 +173,9 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Decisions:
-    """Bits of a row of symbols: the symbol each belongs to, its depth, its value and its place in every table."""
+    """Bits of a row of symbols: the text each belongs to, the class of its depth, its value and its place in every table."""
 
-    symbol: np.ndarray
+    doc: np.ndarray
     depth: np.ndarray
     bit: np.ndarray
     places: list[np.ndarray]
@@ -179,15 +209,21 @@ class Together:
 
     def decisions(self, start: int, stop: int) -> Decisions:
         codes, symbols = self._codes, self.symbols[start:stop]
-        lengths = codes.lengths[symbols]
-        symbol = np.repeat(np.arange(stop - start), lengths)
-        depth = np.arange(len(symbol)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        at = np.repeat(codes.starts[symbols], lengths) + depth
-        node, places = codes.nodes[at], []
+        lengths = codes.lengths.take(symbols)
+        first = np.cumsum(lengths)
+        first -= lengths
+        at = np.repeat(codes.starts.take(symbols) - first, lengths)
+        at += np.arange(len(at))
+        steps = codes.steps.take(at)
+        node, places = steps >> np.uint32(4), []
         turned = node * np.uint32(0x9E3779B1)
         for lags, context in zip(codes.contexts, self._contexts):
-            places.append((_scrambled(context[start:stop][symbol] + turned) >> np.uint32(33 - PLACES.bit_length()) if lags else node).astype(np.int64))
-        return Decisions(symbol, depth, codes.bits[at], places)
+            if lags:
+                node = np.repeat(context[start:stop], lengths)
+                node += turned
+                node = _scrambled(node) >> np.uint32(33 - PLACES.bit_length())
+            places.append(node.astype(np.int64))
+        return Decisions(np.repeat(self.doc[start:stop], lengths), ((steps >> np.uint32(1)) & np.uint32(7)).astype(np.int64), (steps & np.uint32(1)).astype(np.uint8), places)
 
 
 _OWN_ODDS = np.log((np.arange(16)[None, :] + 0.4) / (np.arange(16)[:, None] + 0.4)).astype(np.float32).ravel()
@@ -202,6 +238,12 @@ class Mixer:
     weights: np.ndarray  # input, gate
     map: np.ndarray  # level, step: probability
 
+    def __getstate__(self) -> dict[str, Any]:
+        return self.__dict__ | {"odds": [zlib.compress(t.tobytes(), 1) for t in self.odds]}
+
+    def __setstate__(self, state: dict[str, Any]) -> None:
+        self.__dict__.update(state | {"odds": [np.frombuffer(zlib.decompress(t), np.int8) for t in state["odds"]]})
+
     def run(self, texts: Sequence[np.ndarray], learned: Learned | None = None) -> np.ndarray:
         """Bits of each text. With ``learned`` nothing is updated, and it takes what the texts show."""
         codes, many, rows = self.codes, len(texts), Together(self.codes, texts)
@@ -211,7 +253,7 @@ class Mixer:
         bits = np.zeros(many)
         for start, stop in zip(rows.blocks, rows.blocks[1:]):
             d = rows.decisions(start, stop)
-            doc = rows.doc[start:stop][d.symbol]
+            doc = d.doc
             kept = (doc * codes.own + (d.places[1] & (codes.own - 1))) * 2
             zeros, ones = np.minimum(own.take(kept), 15), np.minimum(own.take(kept + 1), 15)
             known = zeros * np.uint16(16) + ones
@@ -221,7 +263,7 @@ class Mixer:
             for k in range(1, len(codes.contexts)):
                 order = np.where(inputs[k] != 0, 2 * k, order)
             level = order + (known > 0)
-            gate = level * 6 + _DEPTHS.take(np.minimum(d.depth, 255))
+            gate = level * 6 + d.depth
             own_gate = gate + doc * codes.gates
             mixed = sum(w.take(own_gate) * x for w, x in zip(weights, inputs))
             p = 1 / (1 + np.exp(-np.clip(mixed, -11.9, 11.9)))
@@ -233,7 +275,7 @@ class Mixer:
             least = refined.take(own_cell)
             told = 0.5 * (p + least + share * (refined.take(own_cell + 1) - least))
             one = d.bit.astype(np.float32)
-            bits -= np.bincount(doc, np.log2(1 - one + told * (2 * one - 1)), many)
+            bits -= np.bincount(doc, np.log2(np.where(d.bit, told, 1 - told)), many)
             np.add.at(own, kept + d.bit, np.uint16(1))
             near = share >= 0.5
             if learned is not None:
@@ -364,12 +406,11 @@ def frequent_words(counts: DataFrame, table_bytes: int = TABLE_BYTES) -> Column:
 
 
 def word_codes(counts: DataFrame, frequent: Column) -> Words:
-    table = counts.filter(frequent).select("word", "n").toArrow().to_pydict()
-    rows = sorted(zip(table["n"], table["word"]), key=lambda r: (-r[0], r[1]))
+    table = counts.filter(frequent).select("word", "n").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     rest = counts.filter(~frequent).agg(
         F.coalesce(F.sum(F.when(F.octet_length("word") == 0, F.col("n"))), F.lit(0)).alias("ends"),
         F.coalesce(F.sum(F.when(F.octet_length("word") > 0, F.col("n"))), F.lit(0)).alias("escapes")).first()
-    return Words([w for _, w in rows], [n for n, _ in rows], rest["ends"], rest["escapes"])
+    return Words(table["word"].to_pylist(), table["n"].to_numpy(), rest["ends"], rest["escapes"])
 
 
 def byte_codes(words: DataFrame) -> Spelling:
@@ -387,9 +428,9 @@ def byte_codes(words: DataFrame) -> Spelling:
     return Spelling([known.get(k, 0) for k in range(257)])
 
 
-def place_counts(docs: DataFrame, codes: Codes, text: str = "text") -> DataFrame:
+def place_counts(docs: DataFrame, held: Broadcast[Codes], text: str = "text") -> DataFrame:
     """``chunk``, ``data``: zeros and ones at each place of every table over all bits of all texts, in compressed pieces."""
-    held = docs.sparkSession.sparkContext.broadcast(codes)
+    codes = held.value
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, met = held.value, False
@@ -466,12 +507,12 @@ def odds_of(counts: DataFrame, codes: Codes) -> list[np.ndarray]:
     return list(tables.reshape(many, PLACES))
 
 
-def tuned(docs: DataFrame, mixer: Mixer, text: str = "text") -> Mixer:
-    """One round of weights and map. At most one row for each sum comes to the driver."""
-    held = docs.sparkSession.sparkContext.broadcast(mixer)
+def tuned(docs: DataFrame, held: Broadcast[Mixer], mixer: Mixer, text: str = "text") -> Mixer:
+    """One round of weights and map over what is ``held``. At most one row for each sum comes to the driver."""
+    weights, map_ = mixer.weights, mixer.map
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = held.value
+        known = replace(held.value, weights=weights, map=map_)
         learned = Learned(known.codes)
         for group in _groups(batches):
             known.run([known.codes.symbols(t) for t in group], learned)
@@ -485,14 +526,27 @@ def tuned(docs: DataFrame, mixer: Mixer, text: str = "text") -> Mixer:
     return learned.applied(values, mixer)
 
 
+@contextmanager
+def _sent(spark: SparkSession, value: Any) -> Iterator[Broadcast]:
+    """``value`` at every task of the jobs within; it is taken back from disks and memory after them."""
+    held = spark.sparkContext.broadcast(value)
+    try:
+        yield held
+    finally:
+        held.destroy()
+
+
 def mixer_of(docs: DataFrame, codes: Codes, text: str = "text") -> Mixer:
     turn = F.pmod(F.xxhash64(F.col(text)), F.lit(TUNE))
     first, apart = docs.filter(turn.isNull() | (turn != 0)), docs.filter(turn == 0)
-    most = written(place_counts(first, codes, text))
+    with _sent(docs.sparkSession, codes) as held:
+        most = written(place_counts(first, held, text))
+        rest = written(place_counts(apart, held, text))
     mixer = first_mixer(codes, odds_of(most, codes))
-    for _ in range(ROUNDS):
-        mixer = tuned(apart, mixer, text)
-    return Mixer(codes, odds_of(most.union(place_counts(apart, codes, text)), codes), mixer.weights, mixer.map)
+    with _sent(docs.sparkSession, mixer) as held:
+        for _ in range(ROUNDS):
+            mixer = tuned(apart, held, mixer, text)
+    return Mixer(codes, odds_of(most.union(rest), codes), mixer.weights, mixer.map)
 
 
 @dataclass
@@ -520,9 +574,7 @@ def _each_group(texts: pa.Array) -> Iterator[list[bytes]]:
     return _groups(iter([pa.RecordBatch.from_arrays([texts], ["text"])]))
 
 
-def spelled_bits(word: Column, model: Model) -> Column:
-    held = model.counts.sparkSession.sparkContext.broadcast(model.spelling)
-
+def spelled_bits(word: Column, held: Broadcast[Mixer]) -> Column:
     @F.arrow_udf("double")
     def of(words: pa.Array) -> pa.Array:
         mixer = held.value
@@ -531,10 +583,9 @@ def spelled_bits(word: Column, model: Model) -> Column:
     return of(word)
 
 
-def bits_and_words(text: Column, model: Model) -> Column:
+def bits_and_words(text: Column, held: Broadcast[Mixer]) -> Column:
     """Struct of ``bits`` (spelling apart), ``n_tokens``, ``known`` and ``base`` (table words met in training, and the sum of log10 of
     their counts and one), and ``others``: the words outside the table with how often they occur."""
-    held = model.counts.sparkSession.sparkContext.broadcast(model.words)
 
     @F.arrow_udf("struct<bits:double,n_tokens:bigint,known:bigint,base:double,others:array<struct<word:binary,times:bigint>>>")
     def of(texts: pa.Array) -> pa.Array:
@@ -569,12 +620,14 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     Words outside the table, seldom ones, are joined by a shuffle to their counts and to the bits of their spelling.
     """
     kept = {c: f"kept{k}" for k, c in enumerate(keep)}
-    told = docs.select(F.col(key).alias("key"), *(F.col(c).alias(n) for c, n in kept.items()), F.octet_length(F.col(text).cast("binary")).alias("bytes"),
-                       bits_and_words(F.col(text), model).alias("x"))
-    rows = written(told.select(F.monotonically_increasing_id().alias("row"), "key", *kept.values(), "bytes", "x.*"))
+    told = docs.select(F.col(key).alias("key"), *(F.col(c).alias(n) for c, n in kept.items()), F.octet_length(F.col(text).cast("binary")).alias("bytes"), F.col(text).alias("body"))
+    with _sent(docs.sparkSession, model.words) as held:
+        told = told.withColumn("x", bits_and_words(F.col("body"), held))
+        rows = written(told.select(F.monotonically_increasing_id().alias("row"), "key", *kept.values(), "bytes", "x.*"))
     others = rows.select("row", F.explode("others").alias("o")).select("row", "o.word", "o.times")
     each = others.select("word").distinct().join(model.counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    spelled = written(each.select("word", "n", spelled_bits(F.col("word"), model).alias("bits")))
+    with _sent(docs.sparkSession, model.spelling) as held:
+        spelled = written(each.select("word", "n", spelled_bits(F.col("word"), held).alias("bits")))
     sums = others.join(spelled, "word").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("more_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_base"),
         F.sum(F.col("times") * F.col("bits")).alias("more_bits"))

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -71,9 +72,9 @@ def test_codes_are_complete_and_shorter_for_frequent_symbols():
     counts = [50, 1, 7, 7, 0, 20]
     codes = lm.Codes(counts, ((), (1,)), 64)
     assert sum(2.0 ** -int(n) for n in codes.lengths) == 1
-    paths = {tuple(codes.bits[s : s + n]) for s, n in zip(codes.starts, codes.lengths)}
+    paths = {tuple(codes.steps[s : s + n] & 1) for s, n in zip(codes.starts, codes.lengths)}
     assert len(paths) == len(counts) and codes.lengths[0] == 1 and all(codes.lengths[0] <= n for n in codes.lengths)
-    assert set(codes.nodes) == set(range(len(counts) - 1))
+    assert set(codes.steps >> 4) == set(range(len(counts) - 1))
 
 
 def test_probabilities_of_all_continuations_add_up_to_one():
@@ -109,7 +110,7 @@ def plain_bits(mixer, symbols):
         for at in range(start, end):
             s, node_at = symbols[at], int(codes.starts[symbols[at]])
             for depth in range(int(codes.lengths[s])):
-                node, bit = int(codes.nodes[node_at + depth]), int(codes.bits[node_at + depth])
+                node, bit = int(codes.steps[node_at + depth]) >> 4, int(codes.steps[node_at + depth]) & 1
                 places = []
                 for lags in codes.contexts:
                     h = len(lags)
@@ -120,7 +121,7 @@ def plain_bits(mixer, symbols):
                 zeros, ones = min(own[key, 0], 15), min(own[key, 1], 15)
                 x = [table[p] / 16 for table, p in zip(mixer.odds, places)] + [math.log((ones + 0.4) / (zeros + 0.4)), 0.5]
                 level = 2 * max((k for k in range(1, len(places)) if x[k]), default=0) + (zeros + ones > 0)
-                gate = level * 6 + int(lm._DEPTHS[depth])
+                gate = level * 6 + (depth.bit_length() if depth < 16 else 5)
                 mixed = float(np.dot(weights[:, gate], x))
                 p = 1 / (1 + math.exp(-min(max(mixed, -11.9), 11.9)))
                 step = (min(max(mixed, -7.99), 7.99) + 8) * 2
@@ -165,7 +166,8 @@ def test_places_are_counted_over_all_texts(spark, small):
         d = together.decisions(0, len(together.symbols))
         for w, places in zip(want, d.places):
             w.update(zip(places.tolist(), d.bit.tolist()))
-    odds = lm.odds_of(lm.place_counts(docs, codes), codes)
+    with lm._sent(spark, codes) as held:
+        odds = lm.odds_of(lm.place_counts(docs, held), codes)
     for w, table in zip(want, odds):
         places = {p for p, _ in w}
         assert set(np.flatnonzero(table).tolist()) == places
@@ -177,13 +179,25 @@ def test_places_are_counted_over_all_texts(spark, small):
 def test_salted_sums_are_the_same(spark, small, monkeypatch):
     docs, model = small
     codes = model.words.codes
-    plain = lm.odds_of(lm.place_counts(docs, codes), codes)
+    with lm._sent(spark, codes) as held:
+        plain = lm.odds_of(lm.place_counts(docs, held), codes)
     monkeypatch.setattr(lm, "estimated_bytes", lambda df: 600 * lm.TASK_BYTES)
     monkeypatch.setattr(lm, "_chunk_tasks", lambda codes: 2)
-    salted = lm.odds_of(lm.place_counts(docs.repartition(6), codes), codes)
+    with lm._sent(spark, codes) as held:
+        salted = lm.odds_of(lm.place_counts(docs.repartition(6), held), codes)
     assert all((a == b).all() for a, b in zip(plain, salted))
 
 
+def test_what_tasks_get_is_small_and_the_same(small):
+    docs, model = small
+    again = pickle.loads(data := pickle.dumps(model.words))
+    assert len(data) < 1 << 18 and again.codes.table == model.words.codes.table
+    for name in ("lengths", "starts", "steps", "counts"):
+        assert (getattr(again.codes, name) == getattr(model.words.codes, name)).all()
+    assert all((a == b).all() for a, b in zip(again.odds, model.words.odds))
+    assert pickle.loads(pickle.dumps(lm.Words([], [], 0, 0))).table == {b"": 0}
+
+
 def test_word_pieces_keep_every_word():
     text = b"Ab\x0bc " + b"x" * 3_000_000 + b" \t" + b"de FG\n" * 400_000
     assert [w for words in lm.words_in(text) for w in words] == text.lower().split()
