@@ -4,21 +4,43 @@
 Above the limit it shuffles, and first takes the fact's most frequent keys out of the
 shuffle: the ``HOT_KEYS`` most frequent keys and their values are few rows by definition,
 so those are broadcast, and every key left for the shuffle holds less than
-1/``HOT_KEYS`` of the fact. Nothing is dropped either way.
+about 1/``HOT_KEYS`` of the fact. Nothing is dropped either way.
+
+Which keys are frequent comes from a mergeable summary (``frequent_keys``): one pass over the fact for all its lookup columns,
+of fixed size for each. It decides where a row is joined and never what it is joined to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..session import BROADCAST_BYTES, fits_broadcast, shuffle_partitions
 
 HOT_KEYS = 1000
+#: Items the summary follows for each key it is asked for; the more, the surer a key just above the share is among them.
+FOLLOWED = 16
 SENTINEL = -1
 #: Dimension, key column it shares with the fact, attributes to take.
 Grouping = tuple[DataFrame, str, Sequence[str]]
+#: Frequent values of each column, without NULL.
+Hot = Mapping[str, Sequence[Any]]
+
+
+def frequent_keys(fact: DataFrame, columns: Mapping[str, Column] | Sequence[str], most: int = HOT_KEYS) -> dict[str, list[Any]]:
+    """The ``most`` most frequent values of every column, NULL apart, in one pass over the fact.
+
+    Tasks keep a summary of ``FOLLOWED`` items a key and merge them, so neither a shuffle nor a sort of the keys is needed.
+    At most ``most`` values a column come to the driver.
+    """
+    wanted = columns if isinstance(columns, Mapping) else {c: F.col(c) for c in columns}
+    size = min(1_000_000, max(64, FOLLOWED * most))
+    keys = fact.select(*(value.alias(f"k{i}") for i, value in enumerate(wanted.values())))
+    # one item more, as NULL may be among them
+    told = keys.agg(*(F.expr(f"approx_top_k(k{i}, {most + 1}, {size})").alias(f"k{i}") for i in range(len(wanted)))).first()
+    return {name: [r["item"] for r in told[f"k{i}"] or [] if r["item"] is not None][:most] for i, name in enumerate(wanted)}
 
 
 def lookup(
@@ -28,34 +50,32 @@ def lookup(
     values: Sequence[str],
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_keys: int = HOT_KEYS,
-    counted_in: DataFrame | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Left outer join to a table unique on ``on``: every fact row comes out once.
 
-    ``counted_in`` is the table whose key frequencies stand for the fact's; give the fact as it was
-    before other joins, so that counting does not repeat them.
+    ``hot`` are frequent values as ``frequent_keys`` gives them; without them the fact is summed up here, if at all needed.
     """
     dim = dim.select(on, *values)
     if fits_broadcast(dim, broadcast_bytes):
         return fact.join(dim, on, "left")
-    return _spread_lookup(fact, dim, on, list(values), hot_keys, fact if counted_in is None else counted_in)
-
-
-def _spread_lookup(
-    fact: DataFrame, dim: DataFrame, on: str, values: list[str], hot_keys: int, counted_in: DataFrame
-) -> DataFrame:
-    counted = counted_in.groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counted.orderBy(F.desc("_n"), F.asc(on)).limit(hot_keys).select(on)
-    resolved = hot.join(dim.join(F.broadcast(hot), on, "left_semi"), on, "left").select(
-        F.col(on).alias("_hot_key"), F.lit(True).alias("_hot"), *(F.col(v).alias(f"_hot_{v}") for v in values)
-    )
-    # Hot rows are done after this join. They still pass the next one: without a key, so that they
-    # match nothing, and with a slot that sends each map task's share to another partition.
-    marked = fact.join(F.broadcast(resolved), F.col(on).eqNullSafe(F.col("_hot_key")), "left")
-    partitions = shuffle_partitions(fact.sparkSession)
+    known = (hot or {}).get(on)
+    return _spread_lookup(fact, dim, on, list(values), frequent_keys(fact, [on], hot_keys)[on] if known is None else known)
+
+
+def _spread_lookup(fact: DataFrame, dim: DataFrame, on: str, values: list[str], hot: Sequence[Any]) -> DataFrame:
+    spark = fact.sparkSession
+    listed = spark.createDataFrame([(v,) for v in hot], T.StructType([T.StructField(on, fact.schema[on].dataType)]))
+    resolved = listed.join(dim.join(F.broadcast(listed), on, "left_semi"), on, "left")
+    resolved = resolved.select(F.col(on).alias("_hot_key"), F.lit(True).alias("_hot"), *(F.col(v).alias(f"_hot_{v}") for v in values))
+    marked = fact.join(F.broadcast(resolved), F.col(on) == F.col("_hot_key"), "left")
+    # Hot rows are done after this join, and rows without a key match nothing. Both still pass the next one: without a
+    # key, and with a slot that sends each map task's share to another partition.
+    partitions = shuffle_partitions(spark)
+    done = F.col("_hot").isNotNull() | F.col(on).isNull()
     marked = marked.withColumns({
-        "_key": F.when(F.col("_hot").isNull(), F.col(on)),
-        "_slot": F.when(F.col("_hot"), F.spark_partition_id() % partitions).otherwise(F.lit(0)),
+        "_key": F.when(~done, F.col(on)),
+        "_slot": F.when(done, F.spark_partition_id() % partitions).otherwise(F.lit(0)),
     })
     # The slot of a dimension row is always 0; written so that it is not folded into the condition.
     cold = dim.select(
@@ -66,12 +86,21 @@ def _spread_lookup(
     return joined.select(on, *(c for c in fact.columns if c != on), *picked)
 
 
-def lookup_keys(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, Sequence[str]]], **limits: int) -> DataFrame:
-    """Several lookups in a row; each entry is ``(dimension, join column, columns to take)``."""
-    joined = fact
+def with_hot_keys(fact: DataFrame, dims: Sequence[Grouping], broadcast_bytes: int = BROADCAST_BYTES, hot_keys: int = HOT_KEYS,
+                  sentinel: Mapping[str, Any] | None = None) -> dict[str, list[Any]]:
+    """Frequent values of the columns whose dimension is not left to Spark, in one pass; none at all if all are."""
+    missing = sentinel or {}
+    wanted = {on: F.coalesce(F.col(on), F.lit(missing[on])) if on in missing else F.col(on)
+              for dim, on, values in dims if not fits_broadcast(dim.select(on, *values), broadcast_bytes)}
+    return frequent_keys(fact, wanted, hot_keys) if wanted else {}
+
+
+def lookup_keys(fact: DataFrame, dims: Sequence[Grouping], hot: Hot | None = None, **limits: int) -> DataFrame:
+    """Several lookups in a row; each entry is ``(dimension, join column, columns to take)``. The fact is summed up once for all."""
+    hot = with_hot_keys(fact, dims, **limits) if hot is None else hot
     for dim, on, values in dims:
-        joined = lookup(joined, dim, on, values, counted_in=fact, **limits)
-    return joined
+        fact = lookup(fact, dim, on, values, hot=hot, **limits)
+    return fact
 
 
 def lookup_with_sentinel(
@@ -80,18 +109,15 @@ def lookup_with_sentinel(
     on: str,
     values: Sequence[str],
     sentinel: int = SENTINEL,
-    counted_in: DataFrame | None = None,
+    hot: Hot | None = None,
     **limits: int,
 ) -> DataFrame:
-    """A missing id meets the dimension's sentinel member; an id the dimension lacks stays NULL."""
+    """A missing id meets the dimension's sentinel member; an id the dimension lacks stays NULL. ``hot`` values of ``on`` count
+    a missing id as the sentinel."""
     cross = f"_{on}"
-
-    def marked(df: DataFrame) -> DataFrame:
-        return df.withColumn(cross, F.coalesce(F.col(on), F.lit(sentinel)))
-
-    counted = marked(fact if counted_in is None else counted_in)
-    renamed = dim.withColumnRenamed(on, cross)
-    return lookup(marked(fact), renamed, cross, values, counted_in=counted, **limits).drop(cross)
+    marked = fact.withColumn(cross, F.coalesce(F.col(on), F.lit(sentinel)))
+    known = None if hot is None or on not in hot else {cross: hot[on]}
+    return lookup(marked, dim.withColumnRenamed(on, cross), cross, values, hot=known, **limits).drop(cross)
 
 
 def semi(fact: DataFrame, allowed: DataFrame, on: str, **limits: int) -> DataFrame:

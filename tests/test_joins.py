@@ -47,11 +47,26 @@ def test_semi(rows, skewed, dim, limits):
     assert rows(got, "id", "k") == rows(skewed.join(allowed, "k", "left_semi"), "id", "k")
 
 
-def test_lookup_in_chain_counts_the_base_table(rows, skewed, dim):
-    second = dim.select("k", F.col("w").alias("z"))
+def test_lookups_in_a_chain_read_the_fact_once_for_their_frequent_keys(rows, skewed, dim, monkeypatch):
+    second, calls, counted = dim.select("k", F.col("w").alias("z")), [], joins.frequent_keys
+    monkeypatch.setattr(joins, "frequent_keys", lambda *args: calls.append(args) or counted(*args))
     got = joins.lookup_keys(skewed, [(dim, "k", ["v"]), (second, "k", ["z"])], broadcast_bytes=0, hot_keys=2)
     want = skewed.join(dim.select("k", "v"), "k", "left").join(second, "k", "left")
-    assert rows(got, "id", "v", "z") == rows(want, "id", "v", "z")
+    assert rows(got, "id", "v", "z") == rows(want, "id", "v", "z") and len(calls) == 1
+
+
+def test_frequent_keys_of_several_columns(spark):
+    fact = spark.range(0, 40000, 1, 8).selectExpr(
+        "cast(if(id % 4 = 0, 7, id) as int) as a", "if(id % 3 = 0, null, concat('x', id % 3)) as b", "id % 2 as c", "cast(null as int) as d")
+    got = joins.frequent_keys(fact, ["a", "b", "c", "d"], 2)
+    assert got["a"][0] == 7 and sorted(got["b"]) == ["x1", "x2"] and sorted(got["c"]) == [0, 1] and got["d"] == []
+    assert joins.frequent_keys(fact.limit(0), ["a", "b"], 3) == {"a": [], "b": []}
+
+
+def test_every_key_above_its_share_is_among_the_frequent(spark):
+    fact = spark.range(0, 200000, 1, 16).selectExpr("cast(if(id % 10 < 3, id % 40, 1000 + id) as int) as k")
+    got = joins.frequent_keys(fact, ["k"], 100)["k"]
+    assert {r["k"] for r in fact.groupBy("k").count().filter("count > 2000").collect()} <= set(got)
 
 
 @pytest.mark.parametrize("limits", LIMITS[:2])
