@@ -31,8 +31,9 @@ def line_total_double(quantity: Column | str, price: Column | str, discount_pct:
 
 
 def cost_total(quantity: Column | str, unit_cost: Column | str) -> Column:
-    """NULL when the product, and so its cost, is unknown."""
-    return (as_column(quantity) * as_column(unit_cost)).try_cast("decimal(12,2)")
+    """NULL when the product, and so its cost, is unknown. Exact, in a type wide enough for any product: a table's
+    contract takes it to the published type and counts what doesn't fit."""
+    return as_column(quantity) * as_column(unit_cost)
 
 
 def divide(numerator: Column, denominator: Column) -> Column:
@@ -41,6 +42,9 @@ def divide(numerator: Column, denominator: Column) -> Column:
 
 
 def variation_pct(actual: Column | str, target: Column | str) -> Column:
-    """Signed distance from target in percent, two decimals."""
+    """Signed distance from target in percent, two decimals; in a wide type, as ``cost_total``.
+
+    The distance is taken at 22 digits, so that the quotient keeps 15 decimals whatever the type of a sum; the target has 12 at most.
+    """
     actual, target = as_column(actual), as_column(target)
-    return F.round(divide(actual - target, target) * F.lit(100), 2).try_cast("decimal(10,2)")
+    return F.round(divide((actual - target).cast("decimal(22,2)"), target) * F.lit(100), 2)

@@ -18,16 +18,14 @@ def fact_sales(sales: DataFrame, dims: Mapping[str, DataFrame], sentinel: int =
     A line without a customer gets the sentinel member. A line whose store, product, employee or
     customer id is unknown is marked for review, and an unknown customer id then becomes the sentinel.
     """
-    keyed = lookup_keys(
-        sales,
-        [
-            (dims["tienda"], "tienda_id", ["tienda_key"]),
-            (dims["producto"], "sku", ["producto_key", "costo_unitario"]),
-            (dims["empleado"], "empleado_id", ["empleado_key"]),
-        ],
-        **limits,
-    )
-    keyed = lookup_with_sentinel(keyed, dims["cliente"], "cliente_id", ["cliente_key"], sentinel, sales, **limits)
+    plain = [
+        (dims["tienda"], "tienda_id", ["tienda_key"]),
+        (dims["producto"], "sku", ["producto_key", "costo_unitario"]),
+        (dims["empleado"], "empleado_id", ["empleado_key"]),
+    ]
+    member = (dims["cliente"], "cliente_id", ["cliente_key"])
+    hot = joins.with_hot_keys(sales, [*plain, member], sentinel={"cliente_id": sentinel}, **limits)
+    keyed = lookup_with_sentinel(lookup_keys(sales, plain, hot, **limits), *member, sentinel, hot, **limits)
     return keyed.select(
         "transaccion_id",
         fecha_a_key("fecha_venta").alias("fecha_key"),
@@ -47,12 +45,9 @@ def fact_inventory(inventory: DataFrame, stores: DataFrame, **limits: int) -> Da
 
 
 def daily(fact: DataFrame) -> DataFrame:
-    """Store and day totals; lines without a store keep their own group."""
-    return fact.groupBy("tienda_key", "fecha_key").agg(
-        F.sum("venta_total").cast("decimal(14,2)").alias("venta_total"),
-        F.sum("cantidad").cast("int").alias("unidades"),
-        F.count(F.lit(1)).cast("int").alias("cantidad_transacciones"),
-    )
+    """Store and day totals, in the types that sums have; lines without a store keep their own group."""
+    sums = {"venta_total": F.sum("venta_total"), "unidades": F.sum("cantidad"), "cantidad_transacciones": F.count(F.lit(1))}
+    return fact.groupBy("tienda_key", "fecha_key").agg(*(total.alias(name) for name, total in sums.items()))
 
 
 def monthly(fact: DataFrame, calendar: DataFrame, stores: DataFrame) -> DataFrame:
@@ -61,9 +56,7 @@ def monthly(fact: DataFrame, calendar: DataFrame, stores: DataFrame) -> DataFram
     per_day = fact.groupBy("tienda_key", "fecha_key").agg(F.sum("venta_total").alias("venta_dia"))
     named = joins.inner_on(per_day, calendar.select("fecha_key", "anio_mes"), "fecha_key")
     named = joins.inner_on(named, stores.select("tienda_key", "tienda_id"), "tienda_key")
-    return named.groupBy("tienda_id", "anio_mes").agg(
-        F.sum("venta_dia").cast("decimal(14,2)").alias("venta_total_real")
-    )
+    return named.groupBy("tienda_id", "anio_mes").agg(F.sum("venta_dia").alias("venta_total_real"))
 
 
 def actual_vs_target(monthly_sales: DataFrame, budget: DataFrame) -> DataFrame:

@@ -1,18 +1,18 @@
 """Layer jobs: raw files to star schema. Run in this order; surrogate keys are renumbered by
-every dimension load, so facts are rebuilt in the same run."""
+every dimension load, so dimensions and facts are one load, which is published as a whole."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import convert, text
 from ..operators import clean, dedup, dimensions, facts, quality
 from ..operators.quality import require
 from ..sources.delimited import MANIFEST, Entry, ingest
-from ..sources.tables import escribir_gold, escribir_silver, leer_bronze, leer_gold, leer_silver, stage
+from ..sources.tables import GOLD, Load, escribir_gold, escribir_silver, leer_bronze, leer_gold, leer_silver, measured, new_load, staged
 from ..streaming.refine import event_checks, refine_events
 
 # Columns that may not be empty, text shapes, and the catalogs sales refer to.
@@ -32,6 +32,15 @@ REFERENCES = (
 Tables = Mapping[str, DataFrame]
 
 
+def row_count() -> dict[str, Column]:
+    """Observed while a table is written."""
+    return {"filas": F.count(F.lit(1))}
+
+
+def amount(col: str) -> dict[str, Column]:
+    return {"venta_total": F.sum(col)}
+
+
 def bronze(spark: SparkSession, folder: str, manifest: Sequence[Entry] = MANIFEST) -> Tables:
     return ingest(spark, folder, manifest)
 
@@ -71,9 +80,12 @@ def inventory_checks(stock: DataFrame) -> DataFrame:
     return quality.validar(stock, key, [*key, "cantidad_disponible"], negative)
 
 
+def sales_rules() -> quality.Rules:
+    return quality.null_rules(REQUIRED_SALES) | quality.domain_rules({"medio_pago": clean.PAYMENTS}) | quality.format_rules({"hora_venta": text.CLOCK})
+
+
 def sales_checks(sales: DataFrame) -> DataFrame:
-    shapes = quality.domain_rules({"medio_pago": clean.PAYMENTS}) | quality.format_rules({"hora_venta": text.CLOCK})
-    return quality.validar(sales, ["transaccion_id"], REQUIRED_SALES, shapes)
+    return quality.combine(quality.validar(sales, ["transaccion_id"], []), quality.rules(sales, sales_rules()))
 
 
 def sales_conversions(raw: DataFrame) -> DataFrame:
@@ -85,24 +97,25 @@ def sales_conversions(raw: DataFrame) -> DataFrame:
 def _silver_sales(spark: SparkSession) -> Tables:
     """The raw rows are grouped once; counts, valid and rejected rows all come from the grouped ones."""
     raw = leer_bronze(spark, "ventas_transacciones")
-    grouped = stage(dedup.count_copies(raw), "ventas_unicas")
-    counts = dedup.reconcile_copies(grouped)
-    read, kept = raw.agg(F.count(F.lit(1)).alias("izquierda")), counts.select(F.col("filas_origen").alias("derecha"))
-    sides = read.unionByName(kept, allowMissingColumns=True).agg(F.max("izquierda").alias("izquierda"), F.max("derecha").alias("derecha"))
-    require(quality.combine(
-        _as_control(sides.withColumn("cumple", F.col("izquierda") == F.col("derecha")), "filas_leidas"),
-        counts.select(F.lit("filas_origen").alias("control"), F.col("filas_origen").alias("valor"), F.col("cierra").alias("cumple")),
-    ))
-    require(quality.combine(
-        sales_conversions(grouped),
-        # an id names one row among all distinct ones, the rejected ones too
-        quality.validar(grouped, ["transaccion_id"], []),
-    ))
-    valid, rejected = dedup.split(grouped.drop("_copias"), text.is_blank("sku"))
-    return {
-        "ventas_enriquecidas": escribir_silver(clean.clean_sales(valid), "ventas_enriquecidas", sales_checks),
-        "rechazos_ventas": escribir_silver(clean.with_reason(rejected), "rechazos_ventas"),
-    }
+    with staged(dedup.count_copies(raw), "ventas_unicas") as grouped:
+        counts = dedup.reconcile_copies(grouped)
+        read, kept = raw.agg(F.count(F.lit(1)).alias("izquierda")), counts.select(F.col("filas_origen").alias("derecha"))
+        sides = read.unionByName(kept, allowMissingColumns=True).agg(F.max("izquierda").alias("izquierda"), F.max("derecha").alias("derecha"))
+        require(quality.combine(
+            _as_control(sides.withColumn("cumple", F.col("izquierda") == F.col("derecha")), "filas_leidas"),
+            counts.select(F.lit("filas_origen").alias("control"), F.col("filas_origen").alias("valor"), F.col("cierra").alias("cumple")),
+        ))
+        require(quality.combine(
+            sales_conversions(grouped),
+            # an id names one row among all distinct ones, the rejected ones too
+            quality.validar(grouped, ["transaccion_id"], []),
+        ))
+        valid, rejected = dedup.split(grouped.drop("_copias"), text.is_blank("sku"))
+        return {
+            "ventas_enriquecidas": escribir_silver(
+                clean.clean_sales(valid), "ventas_enriquecidas", forbidden=sales_rules(), measures=row_count() | amount("venta_total")),
+            "rechazos_ventas": escribir_silver(clean.with_reason(rejected), "rechazos_ventas", measures=row_count()),
+        }
 
 
 def _silver_budget(spark: SparkSession, months: int) -> DataFrame:
@@ -133,7 +146,7 @@ def _silver_inventory(spark: SparkSession, months: int) -> DataFrame:
             quality.orphan_key_check(stock, "tienda_id", stores, "tienda_id"),
         )
 
-    return escribir_silver(clean.clean_inventory(raw), "inventario", check)
+    return escribir_silver(clean.clean_inventory(raw), "inventario", check, measures=row_count())
 
 
 def silver_facts(spark: SparkSession, months: int = 12) -> Tables:
@@ -157,7 +170,7 @@ def stock_coverage(spark: SparkSession) -> DataFrame:
     return quality.coverage(leer_silver(spark, "dim_tienda"), leer_silver(spark, "inventario"), "tienda_id", shown)
 
 
-def gold_dims(spark: SparkSession) -> Tables:
+def gold_dims(spark: SparkSession, load: Load) -> Tables:
     sales = leer_silver(spark, "ventas_enriquecidas")
     uses = {
         "ventas_enriquecidas": (sales, "fecha_venta"),
@@ -176,7 +189,7 @@ def gold_dims(spark: SparkSession) -> Tables:
     }
     return {
         table: escribir_gold(
-            df, table,
+            df, table, load,
             partial(quality.validar_dimension, surrogate=surrogate, natural=natural),
             *checks,
         )
@@ -189,48 +202,42 @@ def _as_control(comparison: DataFrame, name: str) -> DataFrame:
     return comparison.select(F.lit(name).alias("control"), (right - left).cast("bigint").alias("valor"), "cumple")
 
 
-def gold_facts(spark: SparkSession, partition_sales: bool = False) -> Tables:
+def gold_facts(spark: SparkSession, load: Load, partition_sales: bool = False) -> Tables:
     """Facts and aggregates. ``partition_sales`` stores the sale lines by day, for tables large
-    enough that a report on some months should read only those days."""
-    sales = leer_silver(spark, "ventas_enriquecidas")
-    names = {"tienda": "DimTienda", "producto": "DimProducto", "empleado": "DimEmpleado", "cliente": "DimCliente"}
-    dims = {role: leer_gold(spark, table) for role, table in names.items()}
-
-    def fact_check(fact: DataFrame) -> DataFrame:
-        return quality.combine(
-            _as_control(quality.same_rows(sales, fact), "filas"),
-            _as_control(quality.reconcile_amount(sales, fact, "venta_total"), "venta_total"),
-            quality.validar(fact, ["transaccion_id"], ["fecha_key", "cliente_key"]),
-        )
-
-    by_day = "fecha_key" if partition_sales else None
-    fact = escribir_gold(facts.fact_sales(sales, dims), "FactVentas", fact_check, partition_by=by_day)
+    enough that a report on some months should read only those days.
 
-    def sums_to_fact(col: str):
-        def check(table: DataFrame) -> DataFrame:
-            renamed = table.select(F.col(col).alias("venta_total"))
-            return _as_control(quality.reconcile_amount(fact, renamed, "venta_total"), "venta_total")
-        return check
-
-    by_month = facts.monthly(fact, leer_gold(spark, "DimFecha"), dims["tienda"])
+    Rows and amounts are observed while a table is written and held against those of its source, observed in the same
+    way; only the key count of the sales fact reads what was written.
+    """
+    sales, inventory = leer_silver(spark, "ventas_enriquecidas"), leer_silver(spark, "inventario")
+    names = {"tienda": "DimTienda", "producto": "DimProducto", "empleado": "DimEmpleado", "cliente": "DimCliente"}
+    dims = {role: leer_gold(spark, table, load) for role, table in names.items()}
+    sold, stocked = measured(spark, "silver.ventas_enriquecidas"), measured(spark, "silver.inventario")
+    fact = escribir_gold(
+        facts.fact_sales(sales, dims), "FactVentas", load, partial(quality.validar, keys=["transaccion_id"], required=[]),
+        forbidden=quality.null_rules(["fecha_key"]), measures=row_count() | amount("venta_total"), expected={k: sold[k] for k in ("filas", "venta_total")},
+        partition_by="fecha_key" if partition_sales else None)
+    by_month = facts.monthly(fact, leer_gold(spark, "DimFecha", load), dims["tienda"])
     targets = facts.actual_vs_target(by_month, leer_silver(spark, "presupuesto"))
-    inventory = leer_silver(spark, "inventario")
-
-    def stock_check(stock: DataFrame) -> DataFrame:
-        return quality.combine(
-            _as_control(quality.same_rows(inventory, stock), "filas"),
-            quality.rules(stock, quality.null_rules(["tienda_key"])),
-        )
-
     return {
         "FactVentas": fact,
-        "real_vs_presupuesto": escribir_gold(targets, "real_vs_presupuesto", sums_to_fact("venta_total_real")),
+        "real_vs_presupuesto": escribir_gold(
+            targets, "real_vs_presupuesto", load, measures=amount("venta_total_real"), expected={"venta_total": sold["venta_total"]}),
         "ventas_diarias_por_tienda": escribir_gold(
-            facts.daily(fact), "ventas_diarias_por_tienda", sums_to_fact("venta_total")),
-        "FactInventario": escribir_gold(facts.fact_inventory(inventory, dims["tienda"]), "FactInventario", stock_check),
+            facts.daily(fact), "ventas_diarias_por_tienda", load, measures=amount("venta_total"), expected={"venta_total": sold["venta_total"]}),
+        "FactInventario": escribir_gold(
+            facts.fact_inventory(inventory, dims["tienda"]), "FactInventario", load, forbidden=quality.null_rules(["tienda_key"]),
+            measures=row_count(), expected={"filas": stocked["filas"]}),
     }
 
 
+def gold(spark: SparkSession, partition_sales: bool = False) -> Tables:
+    """The star, written as one load and published by one switch."""
+    with new_load(spark, GOLD) as load:
+        tables = [*gold_dims(spark, load), *gold_facts(spark, load, partition_sales)]
+    return {table: leer_gold(spark, table) for table in tables}
+
+
 def target_summary(targets: DataFrame) -> DataFrame:
     """Met and missed store months and the extremes; a month without a target is in neither count."""
     pct = F.col("variacion_pct")
@@ -264,4 +271,4 @@ def run_batch(spark: SparkSession, folder: str, months: int = 12, partition_sale
     bronze(spark, folder)
     silver_dims(spark)
     silver_facts(spark, months)
-    return {**gold_dims(spark), **gold_facts(spark, partition_sales)}
+    return gold(spark, partition_sales)
