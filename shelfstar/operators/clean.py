@@ -19,6 +19,8 @@ EVENT_COLUMNS = (
     "sku", "cantidad", "precio_unitario", "descuento_pct",
 )
 ARRIVAL_COLUMN = "EventEnqueuedUtcTime"
+#: Columns of a feed that carries records that are no events along: their text, and why.
+LETTER_COLUMNS = ("_registro", "_motivo")
 
 
 def clean_store(df: DataFrame) -> DataFrame:
@@ -116,7 +118,7 @@ def clean_events(df: DataFrame, match_double: bool = False, threshold: int = ANO
     ``match_double`` computes the line total in floating point, as the event feed's own rule does.
     """
     amount = money.line_total_double if match_double else money.line_total
-    typed = select_present(df, EVENT_COLUMNS, [ARRIVAL_COLUMN]).withColumns({
+    typed = select_present(df, EVENT_COLUMNS, [ARRIVAL_COLUMN, *LETTER_COLUMNS]).withColumns({
         "evento_id": F.trim("evento_id"),
         "timestamp_evento": convert.iso_moment("timestamp_evento"),
         "tienda_id": convert.to_int("tienda_id"),

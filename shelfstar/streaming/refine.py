@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators.clean import ANOMALY_PCT, ARRIVAL_COLUMN, EVENT_COLUMNS, clean_events, select_present
+from ..operators.clean import ANOMALY_PCT, ARRIVAL_COLUMN, EVENT_COLUMNS, LETTER_COLUMNS, clean_events, select_present
 from ..operators.filters import inconsistent
 from ..operators.quality import null_rules, rules
 
@@ -31,13 +31,14 @@ Sink = Callable[[DataFrame, int], None]
 def dedup_events(events: DataFrame, delay: str = DELAY, spread: int = 8) -> DataFrame:
     """Drop exact copies of the whole record. Never by ``evento_id``: ids collide.
 
-    An arrival time, where present, is part of the record, so a resend with a new one stays.
+    An arrival time, where present, is part of the record, so a resend with a new one stays. Letters (see ``parse_events``) are
+    records too.
 
     In a stream all copies of a record meet in one state partition. They do so in two steps: first
     per record and slot, where the slot comes from the input partition, then per record. So a record
     resent very often reaches the second step at most ``spread`` times within the delay.
     """
-    records = select_present(events, EVENT_COLUMNS, [ARRIVAL_COLUMN])
+    records = select_present(events, EVENT_COLUMNS, [ARRIVAL_COLUMN, *LETTER_COLUMNS])
     if not records.isStreaming:
         return records.dropDuplicates()
     timed = records.withColumn("_llegada", F.current_timestamp()).withWatermark("_llegada", delay)
@@ -77,14 +78,28 @@ def append_parquet(path: str) -> Sink:
     return write
 
 
-def fan_out(stream: DataFrame, sinks: Sequence[Sink], checkpoint: str) -> StreamingQuery:
-    """Write every micro-batch to all sinks, reading it once. Takes what is there, then stops."""
+def split_letters(events: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Events without the letter columns, and the letters alone."""
+    text, reason = LETTER_COLUMNS
+    return events.filter(F.col(reason).isNull()).drop(*LETTER_COLUMNS), events.filter(F.col(reason).isNotNull()).select(text, reason)
+
+
+def fan_out(stream: DataFrame, sinks: Sequence[Sink], checkpoint: str, letters: Sink | None = None) -> StreamingQuery:
+    """Write every micro-batch to all sinks, reading it once. Takes what is there, then stops.
+
+    With ``letters`` the stream has letter columns: sinks get the events, and it gets the records that are none.
+    """
 
     def write_all(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
+            # every task of the batch runs, and so leaves its state, even if the sinks have the batch already
+            kept.count()
+            events, broken = (kept, None) if letters is None else split_letters(kept)
             for sink in sinks:
-                sink(kept, batch_id)
+                sink(events, batch_id)
+            if letters is not None:
+                letters(broken, batch_id)
         finally:
             kept.unpersist()
 

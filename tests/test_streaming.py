@@ -2,9 +2,11 @@ import json
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
-from shelfstar.sources.events import event_schema, read_events, read_events_batch
-from shelfstar.streaming import refine
+from shelfstar.sources import tables
+from shelfstar.sources.events import event_schema, parse_events, read_event_lines, read_events, read_events_batch
+from shelfstar.streaming import incremental, refine
 
 
 def event(n, **changes):
@@ -108,3 +110,98 @@ def test_event_checks(spark, folder):
     bad = refined.withColumn("descuento_pct", refined["descuento_pct"] + 100)
     failed = {r["control"] for r in refine.event_checks(bad).collect() if not r["cumple"]}
     assert failed == {"descuento_fuera_de_rango", "anomalia_incoherente"}
+
+
+def lines(folder, name, texts):
+    folder.mkdir(exist_ok=True)
+    (folder / f"{name}.json").write_text("".join(t + "\n" for t in texts), encoding="utf-8")
+
+
+def test_records_that_are_no_events_are_letters(spark, tmp_path):
+    good = json.dumps(event(1, sku="SKU-é\u2028"))
+    broken = ['{"evento_id": "A", ', "[]", "null", "7", '{"evento_id": "B"}', json.dumps(event(2, cantidad="x")), json.dumps(event(3, descuento_pct=None)), "", "   "]
+    lines(tmp_path / "in", "a", [good, *broken])
+    told = parse_events(read_event_lines(spark, str(tmp_path / "in"), files_per_batch=None)).collect()
+    assert [r["evento_id"] for r in told if r["_motivo"] is None] == ["EVT-1"]
+    letters = {r["_registro"]: r["_motivo"] for r in told if r["_motivo"] is not None}
+    assert set(letters) == {b for b in broken if b.strip()}
+    assert letters['{"evento_id": "B"}'] == "falta timestamp_evento" and letters[broken[6]] == "falta descuento_pct" and letters[broken[0]] == "no se puede leer"
+    assert all(r["evento_id"] is None and r["sku"] is None for r in told if r["_motivo"] is not None)
+
+
+def test_letters_have_a_destination_of_their_own(spark, rows, folder):
+    lines(folder / "in", "c", ['{"evento_id": ', '{"evento_id": ', '{"evento_id": "B"}'])
+    stream = refine.refine_events(parse_events(read_event_lines(spark, str(folder / "in"), files_per_batch=1)))
+    sinks = [refine.append_parquet(str(folder / n)) for n in ("live", "table")]
+    refine.fan_out(stream, sinks, str(folder / "cp"), refine.append_parquet(str(folder / "letters"))).awaitTermination()
+    live, table, letters = (spark.read.parquet(str(folder / n)).drop("batch_id") for n in ("live", "table", "letters"))
+    assert live.count() == table.count() == 40 and "_registro" not in live.columns
+    assert dict(rows(letters)) == {'{"evento_id": ': "no se puede leer", '{"evento_id": "B"}': "falta timestamp_evento"} and letters.count() == 2
+
+
+@pytest.fixture
+def own(spark, tmp_path):
+    session = spark.newSession()
+    for setting in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        session.conf.set(setting, spark.conf.get(setting))
+    session.conf.set(tables.PREFIX, f"s{abs(hash(str(tmp_path)))}_")
+    session.conf.set(tables.ROOT, str(tmp_path / "tables"))
+    return session
+
+
+def publish(own, folder, *others):
+    stream = refine.refine_events(read_events(own, str(folder / "in"), files_per_batch=1))
+    return incremental.publish_stream(stream, str(folder / "cp"), *others)
+
+
+def test_stream_and_rebuild_agree_after_a_stop_in_a_batch(own, rows, folder):
+    write(folder / "in", "c", [event(n) for n in range(35, 60)])
+    calls = []
+
+    def stops(batch, batch_id):
+        calls.append(batch_id)
+        if calls == [0, 1]:
+            raise RuntimeError("stopped in the second batch")
+
+    with pytest.raises(StreamingQueryException):
+        publish(own, folder, stops).awaitTermination()
+    assert incremental.live_events(own).count() > 0
+    publish(own, folder, stops).awaitTermination()
+    assert calls[:3] == [0, 1, 1]
+    whole = refine.refine_events(read_events_batch(own, str(folder / "in")))
+    assert rows(incremental.live_events(own), *whole.columns) == rows(whole)
+    assert rows(incremental.anomalies_kept(own), "tienda_id", "anomalias") == rows(refine.anomalies_by_store(whole), "tienda_id", "count")
+
+
+@pytest.mark.parametrize("when", ["before", "after"])
+def test_a_stop_around_the_switch_shows_a_batch_once(own, rows, folder, monkeypatch, when):
+    add, tries = incremental._add_partition, []
+
+    def stops(rows_, table, batch):
+        tries.append(batch)
+        if len(tries) == 2 and when == "before":
+            rows_.write.parquet(f"{incremental._folder(own, table)}/{batch}-left")
+            raise RuntimeError("stopped")
+        add(rows_, table, batch)
+        if len(tries) == 2:
+            raise RuntimeError("stopped")
+
+    monkeypatch.setattr(incremental, "_add_partition", stops)
+    with pytest.raises(StreamingQueryException):
+        publish(own, folder).awaitTermination()
+    publish(own, folder).awaitTermination()
+    whole = refine.refine_events(read_events_batch(own, str(folder / "in")))
+    assert rows(incremental.live_events(own), *whole.columns) == rows(whole)
+    assert rows(incremental.anomalies_kept(own), "tienda_id", "anomalias") == rows(refine.anomalies_by_store(whole), "tienda_id", "count")
+    prefix = own.conf.get(tables.PREFIX)
+    left = [p.name for p in (folder / "tables" / f"{prefix}silver" / incremental.LIVE).iterdir() if p.is_dir()]
+    assert len(left) == len(incremental._batches(own, f"{prefix}silver.{incremental.LIVE}")) and not any(n.endswith("-left") for n in left)
+
+
+def test_a_batch_that_fails_a_control_is_set_aside(own, folder):
+    write(folder / "in", "c", [event(70, descuento_pct=120), event(71)])
+    publish(own, folder).awaitTermination()
+    assert incremental.live_events(own).count() == 40
+    aside = incremental.batches_aside(own).collect()
+    assert len(aside) == 2 and {r["controles"] for r in aside} == {"total_negativo, descuento_fuera_de_rango"}
+    assert sum(r["anomalias"] for r in incremental.anomalies_kept(own).collect()) == 4
