@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfstar.plans import jobs
 from shelfstar.session import ensure_checkpoint_dir
-from shelfstar.sources.events import read_events_batch
-from shelfstar.sources.tables import PREFIX, ROOT, write_bronze
+from shelfstar.sources.delimited import Entry, ingest, invalid_lines
+from shelfstar.sources.events import parse_events, read_event_lines, read_events_batch
+from shelfstar.sources.tables import PREFIX, ROOT, measured, write_bronze
+from shelfstar.streaming import incremental, refine
 
 from . import roles
 
-#: Targets and stock are given for the months of this year, which the sales cover.
-YEAR = 1997
 _INHERITED = ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions", "spark.sql.ansi.enabled")
 _LOADS: dict[tuple[str, str], str] = {}
 
@@ -29,31 +29,31 @@ def stores(spark: SparkSession, sf: str) -> DataFrame:
     return roles.raw_stores(spark, sf).withColumn("fecha_apertura", F.when(day == "2021/02/30", "2021/02/28").otherwise(day))
 
 
-def _monthly(df: DataFrame) -> DataFrame:
-    months = df.withColumn("m", F.explode(F.sequence(F.lit(1), F.lit(12))))
-    return months.withColumn("anio_mes", F.format_string(f"{YEAR}/%02d", "m"))
+def months(spark: SparkSession, sf: str) -> DataFrame:
+    """Months with sales."""
+    return roles.table(spark, sf, "lineitem").select(F.date_format("l_shipdate", "yyyy/MM").alias("anio_mes")).distinct()
+
+
+def _every_month(keys: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    """Each key with every month; the months are one array, as there are some twelve a year."""
+    listed = [r["anio_mes"] for r in months(spark, sf).collect()]
+    return keys.withColumn("anio_mes", F.explode(F.array(*map(F.lit, sorted(listed)))))
 
 
 def budget(spark: SparkSession, sf: str) -> DataFrame:
-    return _monthly(roles.table(spark, sf, "supplier").select("s_suppkey")).selectExpr(
-        "cast(s_suppkey as string) as tienda_id",
-        "concat(anio_mes, ' ') as anio_mes",
-        "concat(1000 + s_suppkey % 97 + 100 * m, '.50') as meta_venta",
-        "concat(100 + s_suppkey % 97, '.25') as meta_margen",
-    )
+    """The targets of every store and month with sales, from what the store shipped a year before; a small one where it shipped nothing."""
+    stores_ = roles.table(spark, sf, "supplier").selectExpr("cast(s_suppkey as string) as tienda_id")
+    known = roles.raw_budget(spark, sf).select("tienda_id", F.trim("anio_mes").alias("anio_mes"), "meta_venta", "meta_margen")
+    return _every_month(stores_, spark, sf).join(known, ["tienda_id", "anio_mes"], "left").selectExpr(
+        "tienda_id", "concat(anio_mes, ' ') as anio_mes", "coalesce(meta_venta, '1000.50') as meta_venta", "coalesce(meta_margen, '230.12') as meta_margen")
 
 
 def inventory(spark: SparkSession, sf: str) -> DataFrame:
-    """Stock of every category that a store with shelves has ever sold."""
-    shops = roles.table(spark, sf, "supplier").filter("s_nationkey < 20").select(F.col("s_suppkey").alias("l_suppkey"))
-    sold = roles.table(spark, sf, "lineitem").select("l_suppkey", F.col("l_partkey").alias("p_partkey")).join(shops, "l_suppkey", "left_semi")
-    kinds = sold.join(roles.table(spark, sf, "part").select("p_partkey", "p_type"), "p_partkey").select("l_suppkey", "p_type").distinct()
-    return _monthly(kinds).selectExpr(
-        "cast(l_suppkey as string) as tienda_id",
-        "if(l_suppkey % 2 = 0, lower(p_type), concat(p_type, ' ')) as categoria",
-        "anio_mes",
-        "cast((l_suppkey * m + length(p_type)) % 41 as string) as cantidad_disponible",
-    )
+    """Stock of every category that a store with shelves has ever sold, in every month with sales; nothing where it sold nothing."""
+    known = roles.raw_inventory(spark, sf)
+    kinds = known.select("tienda_id", "categoria").distinct()
+    return _every_month(kinds, spark, sf).join(known, ["tienda_id", "categoria", "anio_mes"], "left").selectExpr(
+        "tienda_id", "categoria", "anio_mes", "coalesce(cantidad_disponible, '0') as cantidad_disponible")
 
 
 SOURCES = {
@@ -83,7 +83,7 @@ def load(spark: SparkSession, sf: str) -> str:
         for name, build in SOURCES.items():
             writer = build(spark, sf).write.option("sep", "|").option("header", True).option("quoteAll", True)
             writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/raw/{name}.csv")
-        jobs.run_batch(own, f"{folder}/raw")
+        jobs.run_batch(own, f"{folder}/raw", months(spark, sf).count())
         _LOADS[key] = prefix
     return _LOADS[key]
 
@@ -101,3 +101,55 @@ def rebuilt_events(spark: SparkSession, sf: str) -> DataFrame:
     jobs.rebuild_events(own)
     jobs.rebuild_events(own)
     return spark.table(f"{prefix}silver.ventas_tiempo_real")
+
+
+_STREAMS: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def streamed_events(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """Events in four groups of files, one micro-batch each, published batch by batch, once per application and folder. The last
+    group has discounts that no control lets pass, so its batch is set aside."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _STREAMS:
+        own, prefix, folder = _session(spark)
+        events = roles.raw_events(spark, sf)
+        for group in range(3):
+            events.filter(F.col("tienda_id") % 3 == group).coalesce(1).write.mode("append").json(f"{folder}/in")
+        wrong = events.filter("descuento_pct = 90").withColumn("descuento_pct", F.col("descuento_pct") + 60)
+        wrong.coalesce(1).write.mode("append").json(f"{folder}/in")
+        refined = refine.refine_events(parse_events(read_event_lines(own, f"{folder}/in", files_per_batch=1)))
+        incremental.publish_stream(refined, f"{folder}/checkpoint", letters=refine.append_parquet(f"{folder}/cartas")).awaitTermination()
+        _STREAMS[key] = {
+            "eventos": spark.table(f"{prefix}silver.{incremental.LIVE}").drop(incremental.BATCH),
+            "apartados": spark.table(f"{prefix}silver.{incremental.ASIDE}").drop(incremental.BATCH),
+            "anomalias": spark.table(f"{prefix}silver.{incremental.BY_STORE}"),
+        }
+    return _STREAMS[key]
+
+
+_LINES: dict[tuple[str, str], tuple[SparkSession, list[Entry]]] = {}
+
+
+def _ingested(spark: SparkSession, sf: str) -> tuple[SparkSession, list[Entry]]:
+    """Sales files with lines that don't fit, ingested once per application and folder."""
+    key = spark.sparkContext.applicationId, sf
+    if key not in _LINES:
+        own, _, folder = _session(spark)
+        roles.sale_files(spark, sf, f"{folder}/ventas.csv")
+        entries = [Entry("ventas.csv", "ventas", columnas=tuple(roles.raw_sales(spark, sf).columns))]
+        ingest(own, folder, entries)
+        _LINES[key] = own, entries
+    return _LINES[key]
+
+
+def ingested_lines(spark: SparkSession, sf: str) -> DataFrame:
+    own, entries = _ingested(spark, sf)
+    return invalid_lines(own, entries).withColumn("archivo", F.regexp_extract("archivo", "([^/]+/[^/]+)/[^/]+$", 1))
+
+
+def line_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What was observed against what readers of the table see."""
+    own, _ = _ingested(spark, sf)
+    told = measured(own, "bronze.ventas")
+    seen = own.table(f"{own.conf.get(PREFIX)}bronze.ventas").agg(F.count(F.lit(1)).alias("visibles"))
+    return seen.select(F.lit(int(told["lineas"])).cast("bigint").alias("lineas"), F.lit(int(told["lineas_invalidas"])).cast("bigint").alias("invalidas"), "visibles")

@@ -87,6 +87,9 @@ CTES = {
         value AS precio_unitario, CASE WHEN (props->>'$.k')::int >= 95 THEN 90 ELSE ((props->>'$.k')::int % 5) * 5 END AS descuento_pct,
         ts + to_seconds((props->>'$.k')::int + envio) AS llegada
         FROM events JOIN envios ON envio = 1 OR event_type = 'error'""",
+    "cartas": """SELECT CASE event_id % 50 WHEN 3 THEN '{"evento_id": "EVT-' || event_id || '", "cantidad": ' WHEN 7 THEN '{"evento_id": "EVT-' || event_id || '"}'
+        ELSE '{"evento_id": "EVT-' || event_id || '", "cantidad": "muchas"}' END AS registro,
+        CASE event_id % 50 WHEN 7 THEN 'falta timestamp_evento' ELSE 'no se puede leer' END AS motivo FROM events WHERE event_id % 50 IN (3, 7, 11)""",
     "mapa": "SELECT DISTINCT 'gerente' || (tienda_id::int // 2) || '@example.com' AS usuario_email, region FROM tiendas_raw",
     # typed tables
     "tiendas": f"""SELECT tienda_id::int AS tienda_id, nombre_tienda, ciudad, pais, region, formato_tienda,
@@ -113,13 +116,18 @@ CTES = {
         empleado_id::int AS empleado_id, sku, cantidad::int AS cantidad, precio_unitario::decimal(10,2) AS precio_unitario,
         descuento_pct::int AS descuento_pct FROM eventos_raw""",
     "eventos": f"SELECT *, {_cents()} AS venta_total, descuento_pct >= 50 AS es_anomalia FROM eventos_unicos",
-    # what the load is given: targets and stock of one year, opening days that exist
-    "meses": "SELECT unnest(range(1, 13))::int AS m",
-    "metas_carga": """SELECT s_suppkey::int AS tienda_id, make_date(1997, m, 1) AS anio_mes, (1000.5 + s_suppkey % 97 + 100 * m)::decimal(12,2) AS meta_venta,
-        (100.25 + s_suppkey % 97)::decimal(12,2) AS meta_margen FROM supplier, meses""",
-    "stock_carga": f"""SELECT DISTINCT l_suppkey::int AS tienda_id, {INITCAP.format('p_type')} AS categoria, 19970001 + 100 * m AS fecha_key,
-        ((l_suppkey * m + length(p_type)) % 41)::int AS cantidad_disponible, (l_suppkey * m + length(p_type)) % 41 = 0 AS sin_stock
-        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey, meses WHERE s_nationkey < 20""",
+    # what the load is given: targets and stock of every month with sales, opening days that exist
+    "meses": "SELECT DISTINCT strftime(l_shipdate, '%Y/%m') AS anio_mes FROM lineitem",
+    "un_anio_antes": """SELECT l_suppkey AS tienda, strftime(l_shipdate + INTERVAL 1 YEAR, '%Y/%m') AS anio_mes, sum(l_extendedprice::decimal(12,2)) * 36 AS meta
+        FROM lineitem GROUP BY ALL""",
+    "metas_carga": """SELECT s_suppkey::int AS tienda_id, (replace(anio_mes, '/', '-') || '-01')::date AS anio_mes, coalesce(meta, 1000.5)::decimal(14,2)::decimal(12,2) AS meta_venta,
+        coalesce((meta * 0.23)::decimal(14,2), 230.12)::decimal(12,2) AS meta_margen
+        FROM supplier CROSS JOIN meses LEFT JOIN (SELECT tienda AS s_suppkey, anio_mes, meta FROM un_anio_antes) USING (s_suppkey, anio_mes)""",
+    "vendido": """SELECT l_suppkey, p_type, strftime(l_shipdate, '%Y/%m') AS anio_mes, sum(l_quantity::bigint) AS q
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey < 20 GROUP BY ALL""",
+    "stock_carga": f"""SELECT l_suppkey::int AS tienda_id, {INITCAP.format('p_type')} AS categoria, (replace(anio_mes, '/', '') || '01')::int AS fecha_key,
+        (coalesce(q, 0) % 41)::int AS cantidad_disponible, coalesce(q, 0) % 41 = 0 AS sin_stock
+        FROM (SELECT DISTINCT l_suppkey, p_type FROM vendido) CROSS JOIN meses LEFT JOIN vendido USING (l_suppkey, p_type, anio_mes)""",
     # star schema
     "dim_fecha": f"""SELECT {_key('fecha')} AS fecha_key, fecha, year(fecha)::int AS anio, month(fecha)::int AS mes, quarter(fecha)::int AS trimestre,
         ({MONTHS})[month(fecha)] AS nombre_mes, strftime(fecha, '%Y/%m') AS anio_mes, ({DAYS})[isodow(fecha)] AS dia_semana,
@@ -215,6 +223,7 @@ _SALES_REQUIRED = (
     "transaccion_id", "fecha_venta", "hora_venta", "fecha_hora_venta", "tienda_id", "empleado_id", "sku",
     "cantidad", "precio_unitario", "descuento_pct", "medio_pago", "venta_total",
 )
+_RAW_CELLS = ("transaccion_id", "fecha", "hora", "tienda_id", "empleado_id", "cliente_id", "sku", "cantidad", "precio_unitario", "descuento_pct")
 _CLOCK = "^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 _LAST_STOCK = "max_by(s, fecha_key)::bigint"
 
@@ -313,6 +322,18 @@ STATEMENTS = {
         FROM (SELECT (SELECT sum(venta_total) FROM ventas) AS a, (SELECT sum(venta_total) FROM fact_ventas) AS b)""",
     "same_rows": """SELECT *, izquierda = derecha AS cumple
         FROM (SELECT (SELECT count(*) FROM ventas) AS izquierda, (SELECT count(*) FROM fact_ventas) AS derecha)""",
+    "contract_breaks": _union(
+        _zero("nulos_cliente_key", "count(*) FILTER (cliente_key IS NULL OR cantidad = 23)", "fact_ventas"), *_nulls("fact_ventas", "requiere_revision"),
+        *(_zero(f"no_convierte_{c}", "0", "(SELECT 1)") for c in (
+            "transaccion_id", "fecha_key", "tienda_key", "producto_key", "empleado_key", "cliente_key", "cantidad", "precio_unitario", "descuento_pct", "venta_total")),
+        _zero("no_convierte_costo_total", "count(*) FILTER (cantidad = 17 AND costo_total * 1000000000 >= 9999999999.995)", "fact_ventas"),
+        _zero("no_convierte_requiere_revision", "0", "(SELECT 1)")),
+    "reconcile_amount_breaks": f"""SELECT {_v('a', 'izquierda')}, {_v('b', 'derecha')}, a = b AS cumple
+        FROM (SELECT (SELECT sum(venta_total) FROM ventas) AS a, (SELECT sum(venta_total) FROM fact_ventas WHERE cantidad <> 17) AS b)""",
+    "same_rows_breaks": """SELECT *, izquierda = derecha AS cumple
+        FROM (SELECT (SELECT count(*) FROM ventas) AS izquierda, (SELECT count(*) FROM fact_ventas WHERE cantidad <> 17) AS derecha)""",
+    "sales_references_fatal": "SELECT control, valor, valor = 0 AS cumple FROM (" + _union(
+        _orphan("ventas", "sku", "productos"), _orphan("ventas", "cliente_id", "clientes"), _orphan("ventas", "tienda_id", "tiendas")) + ")",
     "verify_rows": _union(
         _control("ventas_transacciones", "count(*)", "true", "ventas_raw"), _control("ventas_enriquecidas", "count(*)", "true", "ventas"),
         _control("DimTienda", "count(*)", "true", "tiendas_raw"), _control("DimCliente", "count(*) + 1", "true", "clientes_raw")),
@@ -417,7 +438,13 @@ STATEMENTS = {
     # events
     "dedup_events": """SELECT DISTINCT trim(evento_id, ' ') AS evento_id, strftime(momento, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp_evento, tienda_id,
         empleado_id, sku, cantidad::bigint AS cantidad, precio_unitario, descuento_pct::bigint AS descuento_pct FROM eventos_raw""",
-    "events_stream": f"SELECT {_EVENT_COLUMNS}, es_anomalia, unnest(['vivo', 'tabla']) AS destino FROM eventos",
+    "events_stream": f"""SELECT {_EVENT_COLUMNS}, es_anomalia, unnest(['vivo', 'tabla']) AS destino, NULL AS registro, NULL AS motivo FROM eventos
+        UNION ALL BY NAME SELECT 'cartas' AS destino, registro, motivo FROM cartas""",
+    "events_incremental": f"SELECT {_EVENT_COLUMNS}, es_anomalia FROM eventos",
+    "events_set_aside": f"""SELECT {_EVENT_COLUMNS}, es_anomalia, 'total_negativo, descuento_fuera_de_rango' AS controles FROM (SELECT * REPLACE (-{_cents(pct='(200 - descuento_pct)')} AS venta_total)
+        FROM (SELECT * REPLACE (descuento_pct + 60 AS descuento_pct) FROM eventos WHERE descuento_pct = 90))""",
+    "anomalies_by_store_live": "SELECT tienda_id, count(*) AS anomalias FROM eventos WHERE es_anomalia GROUP BY tienda_id",
+    "letters_rebuilt": "SELECT motivo, count(*) AS registros FROM cartas GROUP BY motivo",
     "events_appended": """SELECT evento_id, strftime(momento, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS timestamp_evento, tienda_id, empleado_id, sku,
         cantidad, precio_unitario, descuento_pct FROM eventos_raw""",
     "events_rebuilt": f"SELECT {_EVENT_COLUMNS}, es_anomalia FROM eventos",
@@ -448,6 +475,12 @@ STATEMENTS = {
     "arrival_latency": """SELECT DISTINCT trim(evento_id, ' ') AS evento_id, strftime(momento, '%Y-%m-%d %H:%M:%S.%f') AS timestamp_evento, sku,
         strftime(llegada, '%Y-%m-%d %H:%M:%S.%f') AS _fecha_ingesta, date_diff('microsecond', momento, llegada) / 1e6 AS latencia_seg FROM eventos_raw""",
     # files
+    "malformed_lines": _union(*(
+        f"""SELECT 'ventas' AS tabla, 'ventas.csv/{where}' AS archivo, concat_ws('|', {', '.join(f"chr(34) || {c} || chr(34)" for c in cells)}) AS linea,
+        '{why}' AS motivo FROM (SELECT *, 'a|b' AS nota FROM ventas_raw) WHERE cantidad = '{units}'"""
+        for where, why, units, cells in (("sobra", "sobran columnas", 17, (*_RAW_CELLS, "medio_pago", "nota")), ("falta", "faltan columnas", 23, _RAW_CELLS)))),
+    "line_control": """SELECT count(*) AS lineas, count(*) FILTER (cantidad IN ('17', '23')) AS invalidas,
+        count(*) FILTER (cantidad NOT IN ('17', '23')) AS visibles FROM ventas_raw""",
     "delimited_round_trip": "SELECT * REPLACE (nullif(cliente_id, '') AS cliente_id, nullif(sku, '') AS sku) FROM ventas_raw",
 }
 

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfstar.functions import convert, text
 from shelfstar.operators import aggregates, clean, dedup, dimensions, facts, filters, joins, keys, quality, security
-from shelfstar.operators.contracts import contract_check
+from shelfstar.operators.contracts import conform, contract_check
 from shelfstar.operators.periods import last_period
 from shelfstar.plans import jobs, reports
 from shelfstar.session import ensure_checkpoint_dir
 from shelfstar.sources.delimited import TABLE_NAMES, read_delimited
-from shelfstar.sources.events import read_events
+from shelfstar.sources.events import LETTER, REASON, parse_events, read_event_lines, read_events
 from shelfstar.sources.tables import LOAD_AUDIT
 from shelfstar.streaming import refine
 
@@ -270,6 +270,38 @@ def same_rows(spark, sf):
     return quality.same_rows(roles.typed_sales(spark, sf), roles.full_fact(spark, sf))
 
 
+@query
+def contract_breaks(spark, sf):
+    """The contract's control on a fact with costs beyond their type and lines without a customer member."""
+    broken = roles.full_fact(spark, sf).withColumns({
+        "costo_total": F.when(F.col("cantidad") == 17, F.col("costo_total") * 1_000_000_000).otherwise(F.col("costo_total")),
+        "cliente_key": F.when(F.col("cantidad") != 23, F.col("cliente_key")),
+    })
+    return contract_check(broken, "FactVentas")
+
+
+def _without_some(spark, sf):
+    return roles.full_fact(spark, sf).filter("cantidad <> 17")
+
+
+@query
+def reconcile_amount_breaks(spark, sf):
+    """A fact that lost its lines of 17 units, against the sales."""
+    return quality.reconcile_amount(roles.typed_sales(spark, sf), _without_some(spark, sf), "venta_total")
+
+
+@query
+def same_rows_breaks(spark, sf):
+    return quality.same_rows(roles.typed_sales(spark, sf), _without_some(spark, sf))
+
+
+@query
+def sales_references_fatal(spark, sf):
+    """References as a control that stops a job."""
+    dims = [("sku", roles.products(spark, sf)), ("cliente_id", roles.customers(spark, sf)), ("tienda_id", roles.stores(spark, sf))]
+    return quality.references(roles.typed_sales(spark, sf, with_customer=True), [(col, dim, col) for col, dim in dims], fatal=True)
+
+
 @query
 def verify_rows(spark, sf):
     """Rows of the published tables against those that their sources should give."""
@@ -354,13 +386,13 @@ def dim_customer(spark, sf):
 def surrogate_key_pieces(spark, sf):
     """Numbering in integer pieces, the way a table too large for one task is numbered."""
     orders = roles.table(spark, sf, "orders").selectExpr("cast(o_orderkey as int) as pedido_id")
-    return keys.surrogate_key(orders, "pedido_key", "pedido_id", one_task_bytes=0)
+    return keys.surrogate_key(orders, "pedido_key", "pedido_id")
 
 
 @query
 def surrogate_key_ranges(spark, sf):
     """Numbering in range partitions, the way a large table with a text key is numbered."""
-    return keys.surrogate_key(roles.products(spark, sf).select("sku"), "producto_key", "sku", one_task_bytes=0)
+    return keys.surrogate_key(roles.products(spark, sf).select("sku"), "producto_key", "sku")
 
 
 @query
@@ -386,9 +418,13 @@ def fact_inventory(spark, sf):
     return roles.stock_star(spark, sf)["FactInventario"]
 
 
+def _daily(fact):
+    return conform(facts.daily(fact), "ventas_diarias_por_tienda")
+
+
 @query
 def daily_store(spark, sf):
-    return facts.daily(roles.sales_star(spark, sf)["FactVentas"])
+    return _daily(roles.sales_star(spark, sf)["FactVentas"])
 
 
 @query
@@ -576,7 +612,7 @@ def masked_employees(spark, sf):
 def rls_static(spark, sf):
     star = roles.sales_star(spark, sf)
     # the lines are restricted before they are summed
-    return facts.daily(security.row_filter(star, "Perú")["FactVentas"])
+    return _daily(security.row_filter(star, "Perú")["FactVentas"])
 
 
 @query
@@ -613,14 +649,40 @@ def dedup_events(spark, sf):
 
 @query
 def events_stream(spark, sf):
-    """Events as JSON files through the stream: two sinks for one read, deduplicated and typed."""
+    """Events as lines through the stream: two sinks for one read, deduplicated and typed, and what is no event in a third."""
     folder = _folder(spark, "events")
-    roles.raw_events(spark, sf).write.json(f"{folder}/in")
-    refined = refine.refine_events(read_events(spark, f"{folder}/in"))
+    roles.event_lines(spark, sf).write.text(f"{folder}/in")
+    refined = refine.refine_events(parse_events(read_event_lines(spark, f"{folder}/in")))
     sinks = [refine.append_parquet(f"{folder}/{name}") for name in ("vivo", "tabla")]
-    refine.fan_out(refined, sinks, f"{folder}/checkpoint").awaitTermination()
+    refine.fan_out(refined, sinks, f"{folder}/checkpoint", refine.append_parquet(f"{folder}/cartas")).awaitTermination()
     read = lambda name: spark.read.parquet(f"{folder}/{name}").drop("batch_id").withColumn("destino", F.lit(name))
-    return read("vivo").unionByName(read("tabla"))
+    letters = read("cartas").withColumnsRenamed({LETTER: "registro", REASON: "motivo"})
+    return read("vivo").unionByName(read("tabla")).unionByName(letters, allowMissingColumns=True)
+
+
+@query
+def events_incremental(spark, sf):
+    """Refined events as the stream publishes them, batch by batch and each checked."""
+    return load.streamed_events(spark, sf)["eventos"]
+
+
+@query
+def events_set_aside(spark, sf):
+    """Batches that fail a control: their events with the controls."""
+    return load.streamed_events(spark, sf)["apartados"]
+
+
+@query
+def anomalies_by_store_live(spark, sf):
+    """The anomaly report by store as the stream keeps it up."""
+    return load.streamed_events(spark, sf)["anomalias"]
+
+
+@query
+def letters_rebuilt(spark, sf):
+    """Records of the raw event table that are no events, by reason."""
+    lines = parse_events(roles.event_lines(spark, sf))
+    return refine.split_letters(lines)[1].groupBy(F.col(REASON).alias("motivo")).agg(F.count(F.lit(1)).alias("registros"))
 
 
 @query
@@ -695,6 +757,18 @@ for _name, _table in LOADED.items():
 
 # ---- files ------------------------------------------------------------------------------------
 
+@query
+def malformed_lines(spark, sf):
+    """Lines with more or fewer cells than their header, with file and reason, as the ingest keeps them."""
+    return load.ingested_lines(spark, sf)
+
+
+@query
+def line_control(spark, sf):
+    """Lines of the raw sales that don't fit, and lines in all, as observed while they were written."""
+    return load.line_counts(spark, sf)
+
+
 @query
 def delimited_round_trip(spark, sf):
     """Raw sales written as delimited files and read back as text. Outer spaces survive; empty text comes back as NULL."""

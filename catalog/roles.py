@@ -157,6 +157,29 @@ def raw_events(spark: SparkSession, sf: str, with_arrival: bool = False) -> Data
     return sends.selectExpr(*columns)
 
 
+def event_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON lines, and among them lines that are none: cut off, of another type, without most columns."""
+    good = raw_events(spark, sf).select(F.to_json(F.struct("*")).alias("value"))
+    ids = table(spark, sf, "events").select("event_id")
+    broken = ids.filter("event_id % 50 in (3, 7, 11)").selectExpr(
+        """case event_id % 50 when 3 then concat('{"evento_id": "EVT-', event_id, '", "cantidad": ')
+           when 7 then concat('{"evento_id": "EVT-', event_id, '"}')
+           else concat('{"evento_id": "EVT-', event_id, '", "cantidad": "muchas"}') end as value""")
+    return good.unionByName(broken)
+
+
+def sale_files(spark: SparkSession, sf: str, folder: str) -> None:
+    """Raw sales as delimited files; lines of 17 units have a cell too many, lines of 23 units one too few."""
+    sales = raw_sales(spark, sf)
+    parts = {
+        "bien": sales.filter("cantidad not in ('17', '23')"), "sobra": sales.filter("cantidad = '17'").withColumn("nota", F.lit("a|b")),
+        "falta": sales.filter("cantidad = '23'").drop("medio_pago"),
+    }
+    for name, rows in parts.items():
+        writer = rows.write.option("sep", "|").option("header", True).option("quoteAll", True)
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
+
+
 def security_map(spark: SparkSession, sf: str) -> DataFrame:
     """Each user manages two stores and may see their regions."""
     return raw_stores(spark, sf).selectExpr(
