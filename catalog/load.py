@@ -107,18 +107,18 @@ _STREAMS: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
 def streamed_events(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Events in four groups of files, one micro-batch each, published batch by batch, once per application and folder. The last
-    group has discounts that no control lets pass, so its batch is set aside."""
+    """Events in four groups that arrive one after the other, published batch by batch, once per application and folder. The last
+    group has discounts that no control lets pass, so its batches are set aside."""
     key = spark.sparkContext.applicationId, sf
     if key not in _STREAMS:
         own, prefix, folder = _session(spark)
         events = roles.raw_events(spark, sf)
-        for group in range(3):
-            events.filter(F.col("tienda_id") % 3 == group).coalesce(1).write.mode("append").json(f"{folder}/in")
         wrong = events.filter("descuento_pct = 90").withColumn("descuento_pct", F.col("descuento_pct") + 60)
-        wrong.coalesce(1).write.mode("append").json(f"{folder}/in")
-        refined = refine.refine_events(parse_events(read_event_lines(own, f"{folder}/in", files_per_batch=1)))
-        incremental.publish_stream(refined, f"{folder}/checkpoint", letters=refine.append_parquet(f"{folder}/cartas")).awaitTermination()
+        for group in (*(events.filter(F.col("tienda_id") % 3 == k) for k in range(3)), wrong):
+            group.write.mode("append").json(f"{folder}/in")
+            refined = refine.refine_events(parse_events(read_event_lines(own, f"{folder}/in")))
+            letters = refine.append_parquet(f"{folder}/cartas")
+            incremental.publish_stream(refined, f"{folder}/checkpoint", letters=letters).awaitTermination()
         _STREAMS[key] = {
             "eventos": spark.table(f"{prefix}silver.{incremental.LIVE}").drop(incremental.BATCH),
             "apartados": spark.table(f"{prefix}silver.{incremental.ASIDE}").drop(incremental.BATCH),

@@ -360,6 +360,7 @@ STATEMENTS = {
     "surrogate_key_pieces": "SELECT o_orderkey::int AS pedido_id, row_number() OVER (ORDER BY o_orderkey)::int AS pedido_key FROM orders",
     "surrogate_key_ranges": "SELECT sku, row_number() OVER (ORDER BY sku)::int AS producto_key FROM productos",
     "fact_sales": f"SELECT {_FACT_COLUMNS} FROM fact_ventas",
+    "preview_fact": f"SELECT {_FACT_COLUMNS} FROM (SELECT * FROM fact_ventas ORDER BY fecha_key, transaccion_id LIMIT 10)",
     "fact_sales_spread": f"SELECT {_FACT_COLUMNS} FROM fact_ventas",
     "fact_sales_from_raw": f"SELECT {_FACT_COLUMNS} FROM fact_ventas",
     "fact_inventory": "SELECT * FROM fact_inventario",

@@ -400,6 +400,11 @@ def fact_sales(spark, sf):
     return roles.full_fact(spark, sf)
 
 
+@query
+def preview_fact(spark, sf):
+    return filters.preview(roles.full_fact(spark, sf), ["fecha_key", "transaccion_id"])
+
+
 @query
 def fact_sales_spread(spark, sf):
     """The same fact when no dimension may be broadcast."""

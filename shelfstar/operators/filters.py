@@ -38,5 +38,6 @@ def top_n(df: DataFrame, keys: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*keys).limit(n)
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    return df.limit(n)
+def preview(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
+    """A look at ``n`` rows: the first by ``order``, so that it shows the same rows each time. Each task keeps ``n`` of its own."""
+    return top_n(df, [F.asc(c) for c in order], n)
