@@ -16,8 +16,8 @@ from .test_jobs import SALES, write_files
 def own(spark, tmp_path):
     """A session with schemas and a folder of its own."""
     session = spark.newSession()
-    for setting in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
-        session.conf.set(setting, spark.conf.get(setting))
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    session.conf.set("spark.sql.shuffle.partitions", "2")  # tables of a few rows
     session.conf.set(tables.PREFIX, f"t{abs(hash(str(tmp_path)))}_")
     session.conf.set(tables.ROOT, str(tmp_path / "tables"))
     return session
