@@ -16,18 +16,22 @@ from __future__ import annotations
 import base64
 from array import array
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
+from operator import getitem
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, functions as F
 
-#: Kept states, borders of two tokens, pieces of text with their ids, and the longest such piece; tables start anew when full.
-STATES, PAIRS, KEPT, LONGEST_KEPT = 160_000, 300_000, 160_000, 48
+#: Kept states, borders of two tokens, pieces of text with their ids, and the longest such piece. A full table becomes the
+#: old one, from which what is met again comes back, so there are up to twice as many.
+STATES, PAIRS, KEPT, LONGEST_KEPT = 160_000, 150_000, 240_000, 48
 #: Bytes after which a long match starts to give out tokens.
 PENDING = 4096
 _BITS = 20
 _NONE = (1 << _BITS) - 1
+_START = (_NONE,)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -75,11 +79,24 @@ class Merges:
                 least, right = right + 1, b[0]
 
 
+class State(dict):
+    """Places, and by byte the next state, made when first asked for. The last place is the token that ends here."""
+
+    __slots__ = ("places", "_make")
+
+    def __init__(self, places: tuple, make):
+        self.places, self._make = places, make
+
+    def __missing__(self, byte: int) -> "State":
+        state = self[byte] = self._make(self.places, byte)
+        return state
+
+
 class Transducer:
     """Encodes the bytes of one match of the splitting pattern.
 
     A place is a trie node and the token before it, packed in one integer; a state is a tuple of places, the one
-    that reaches back furthest first. A transition tells the next state and the token that ends here.
+    that reaches back furthest first, and the one after the token that ends here last.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -89,6 +106,10 @@ class Transducer:
         self._inner: list[bool] = [True]
         self._depth: list[int] = [0]
         self._width = {rank: len(octets) for octets, rank in ranks.items()}
+        self._states: dict[tuple, State] = {}
+        self._old: dict[tuple, State] = {}
+        self._apart: dict[int, bool] = {}
+        self._old_apart: dict[int, bool] = {}
         if max(ranks.values()) >= _NONE:
             raise ValueError("token ids must be below 2 to the 20th")
         for octets, rank in ranks.items():
@@ -103,90 +124,80 @@ class Transducer:
                     self._depth.append(self._depth[node] + 1)
                 node = self._child[edge]
             self._token[node] = rank
-        self._apart: dict[int, bool] = {}
-        self._forget()
-
-    def _forget(self) -> None:
-        self._states = [(_NONE,)]
-        self._number = {self._states[0]: 0}
-        self._moves: dict[int, int] = {}
-        if len(self._apart) > PAIRS:
-            self._apart.clear()
-
-    def _move(self, state: int, byte: int) -> int:
-        ended, ahead, find, tokens, inner, apart = None, [], self._child.get, self._token, self._inner, self._apart
-        for place in self._states[state]:
+        self._root = self._state(_START)
+
+    def _state(self, places: tuple) -> State:
+        state = self._states.get(places)
+        if state is None:
+            if len(self._states) >= STATES:
+                for old in self._old.values():
+                    old.clear()  # states refer to each other in circles
+                self._old, self._states = self._states, {}
+                self._root = self._states[_START] = State(_START, self._step)
+            state = self._states[places] = State(places, self._step)
+        return state
+
+    def _fits(self, left: int, right: int) -> bool:
+        pair = left << _BITS | right
+        fits = self._apart.get(pair)
+        if fits is None:
+            if len(self._apart) >= PAIRS:
+                self._old_apart, self._apart = self._apart, {}
+            fits = self._old_apart.get(pair)
+            fits = self._apart[pair] = self.merges.apart(left, right) if fits is None else fits
+        return fits
+
+    def _step(self, places: tuple, byte: int) -> State:
+        old = self._old.get(places)
+        if old is not None and byte in old:
+            return self._state(old[byte].places)
+        ended, ahead, find, tokens, inner = None, [], self._child.get, self._token, self._inner
+        for place in places:
             child = find(place >> _BITS << 8 | byte)
             if child is None:
                 continue
             last = place & _NONE
-            if ended is None and (token := tokens[child]) is not None:
-                if last == _NONE:
-                    ended = token
-                else:
-                    pair = last << _BITS | token
-                    fits = apart.get(pair)
-                    if fits is None:
-                        fits = apart[pair] = self.merges.apart(last, token)
-                    if fits:
-                        ended = token
+            if ended is None and (token := tokens[child]) is not None and (last == _NONE or self._fits(last, token)):
+                ended = token
             if inner[child]:
                 ahead.append(child << _BITS | last)
         ahead.append(ended)
-        to = tuple(ahead)
-        number = self._number.get(to)
-        if number is None:
-            number = self._number[to] = len(self._states)
-            self._states.append(to)
-        step = self._moves[state << 8 | byte] = number << _BITS | ended
-        return step
-
-    def _agreed(self, state: int, ended: list[int]) -> int:
-        """How many of the bytes read all places of a state share the tokens of."""
-        at = {len(ended) - self._depth[place >> _BITS] for place in self._states[state]}
+        return self._state(tuple(ahead))
+
+    def _agreed(self, met: list[State]) -> int:
+        """How many of the bytes read all places of the last state share the tokens of."""
+        at = {len(met) - self._depth[place >> _BITS] for place in met[-1].places}
         while len(at) > 1:
             last = max(at)
-            at = at - {last} | {last - self._width[ended[last - 1]]}
+            at = at - {last} | {last - self._width[met[last - 1].places[-1]]}
         return at.pop()
 
-    def _tokens(self, ended: list[int], at: int) -> list[int]:
-        out = []
+    def _tokens(self, met: list[State], at: int) -> list[int]:
+        out, width = [], self._width
         while at:
-            token = ended[at - 1]
+            token = met[at - 1].places[-1]
             out.append(token)
-            at -= self._width[token]
+            at -= width[token]
         out.reverse()
         return out
 
     def stream(self, octets: bytes, pending: int = PENDING) -> Iterator[list[int]]:
         """Tokens of one match. Beyond ``pending`` bytes, those that all places agree on go out before the end."""
-        if len(self._states) > STATES:
-            self._forget()
-        state, ended = 0, []
+        state, met = self._root, []
         for at in range(0, len(octets), pending):
-            state = self._read(state, octets[at : at + pending], ended)
-            if at + pending < len(octets) and (sure := self._agreed(state, ended)):
-                yield self._tokens(ended, sure)
-                del ended[:sure]
-        yield self._tokens(ended, len(ended))
-
-    def _read(self, state: int, octets: bytes, ended: list[int]) -> int:
-        moves = self._moves
-        for byte in octets:
-            step = moves.get(state << 8 | byte)
-            if step is None:
-                step = self._move(state, byte)
-            state = step >> _BITS
-            ended.append(step & _NONE)
-        return state
+            read = accumulate(octets[at : at + pending], getitem, initial=state)
+            next(read)  # the state before
+            met.extend(read)
+            state = met[-1]
+            if at + pending < len(octets) and (sure := self._agreed(met)):
+                yield self._tokens(met, sure)
+                del met[:sure]
+        yield self._tokens(met, len(met))
 
     def encode(self, octets: bytes) -> list[int]:
         if len(octets) <= PENDING:
-            if len(self._states) > STATES:
-                self._forget()
-            ended: list[int] = []
-            self._read(0, octets, ended)
-            return self._tokens(ended, len(ended))
+            _, *met = accumulate(octets, getitem, initial=self._root)
+            return self._tokens(met, len(met))
         return [token for part in self.stream(octets) for token in part]
 
 
@@ -313,10 +324,15 @@ class Decoder:
         yield machine.finish()
 
     def decode(self, ids: list[int]) -> str:
-        try:
-            return "".join(map(self._text.__getitem__, ids))
-        except TypeError:  # a token that holds part of a character
-            return "".join(self.stream(ids))
+        pieces = list(map(self._text.__getitem__, ids))
+        machine, at, parts = Utf8Machine(), 0, pieces.count(None)  # tokens that hold part of a character
+        while parts:
+            at = pieces.index(None, at)
+            while at < len(ids) and (pieces[at] is None or machine.held):
+                parts -= pieces[at] is None
+                pieces[at] = machine.feed(self._octets[ids[at]])
+                at += 1
+        return "".join(pieces) + machine.finish()
 
 
 _TABLES: dict[tuple, Encoder | Decoder] = {}

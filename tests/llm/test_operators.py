@@ -320,6 +320,23 @@ def test_transducer_and_utf8_machine():
     assert len(parts) > 50 and [t for p in parts for t in p] == encode("hello" * 4000)
 
 
+def test_transducer_tables_are_bounded_in_one_match(monkeypatch):
+    monkeypatch.setattr(bpe, "STATES", 500)
+    monkeypatch.setattr(bpe, "PAIRS", 300)
+    path, rng = public_tokenizers.path("byte_bpe_50k.tiktoken"), random.Random(7)
+    transducer, encode = bpe.Transducer(bpe.read_ranks(path)), brute.bpe_encoder()
+    text = "".join(rng.choice("abcdeghilmnoprstu") for _ in range(30_000))
+    parts = []
+    for part in transducer.stream(text.encode(), 500):
+        parts.append(part)
+        tables = transducer._states, transducer._old, transducer._apart, transducer._old_apart
+        assert all(len(t) <= most for t, most in zip(tables, (501, 501, 300, 300)))
+    assert len(parts) > 30 and [t for p in parts for t in p] == encode(text)
+    # what was met before is the same after tables were full
+    again = transducer.encode(text.encode())
+    assert again == encode(text)
+
+
 @pytest.mark.parametrize("block", [vector_dedup.BLOCK, 16])
 def test_embedding_dedup(spark, folder, block, monkeypatch):
     monkeypatch.setattr(vector_dedup, "BLOCK", block)  # small blocks cut the buckets of this table
