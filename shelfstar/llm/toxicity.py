@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -204,12 +205,12 @@ class Model:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-def learned_weights(labelled: DataFrame) -> dict[str, float]:
-    """Log odds of the words of ``text`` by ``label`` (0 or 1), over all rows; each row counts a word once."""
+def learned_weights(labelled: DataFrame, bad: int, every: int) -> dict[str, float]:
+    """Log odds of the words of ``text`` by ``label`` (0 or 1), over all ``every`` rows; each row counts a word once.
+    Words of a share of the ``bad`` rows are ordered, so their number is bounded by the length of these texts."""
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}'’]+"))
     each = labelled.select("label", F.explode(words).alias("word")).filter((F.col("word") != "") & (F.length("word") <= LONGEST_WORD))
     counts = each.groupBy("word").agg(F.sum("label").alias("bad"), F.count(F.lit(1)).alias("all"))
-    bad, every = labelled.agg(F.sum("label"), F.count(F.lit(1))).first()
     if not bad or bad == every:
         return {}
     support = max(LEAST_SUPPORT, LEAST_SHARE * bad)
@@ -240,23 +241,41 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1.0)
         used[1:] &= w[1:] >= 0
 
 
+def sample(labelled: DataFrame, features: Callable[[str], Column], every: int) -> list:
+    """The ``SAMPLE`` rows of least hash: label, features ``x`` and number ``n`` of equal rows, the last ones cut.
+
+    A bound on the hash, worked out from the number of rows, goes before features and order, so that what tasks send is
+    about twice the sample however many they are; it is raised where many rows are equal and too few are below it.
+    """
+    placed, share, least = labelled.withColumn("place", F.xxhash64("text", "label")), 2 * SAMPLE / max(every, 1), -(1 << 63)
+    while True:
+        below = placed.filter(F.col("place") < int(least + share * (1 << 64))) if share < 1 else placed
+        # texts are made numbers before they are grouped: no task holds a sample of texts
+        each = below.select("place", "label", features("text").alias("x"))
+        each = each.groupBy("place", "label").agg(F.first("x").alias("x"), F.count(F.lit(1)).alias("n"))
+        seen = each.orderBy("place", "label").limit(SAMPLE).collect()
+        if share >= 1 or sum(r["n"] for r in seen) >= SAMPLE:
+            return seen
+        share *= 4
+
+
 def fit(rows: DataFrame, text: str = "text", label: str = "label") -> Model:
     """Model of the rows with a label of 0 or 1; a null text counts as empty. With one class only, its share is every score."""
     labelled = rows.select(whole(text).alias("text"), F.col(label).cast("int").alias("label")).filter("label in (0, 1)")
-    grammar = Grammar(learned_weights(labelled))
+    bad, every = labelled.agg(F.sum("label"), F.count(F.lit(1))).first()
+    grammar = Grammar(learned_weights(labelled, bad, every))
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
         return pd.Series([grammar.features(t) for t in texts], dtype=object)
 
-    # texts are made three numbers before they are ordered: no task holds a sample of texts
-    measured = labelled.select("label", F.xxhash64("text", "label").alias("place"), features("text").alias("x"))
-    seen = measured.orderBy("place", "label").limit(SAMPLE).collect()
-    y = np.array([r["label"] for r in seen], float)
+    seen = sample(labelled, features, every)
+    at = np.repeat(np.arange(len(seen)), [r["n"] for r in seen])[:SAMPLE]
+    y = np.array([r["label"] for r in seen], float)[at]
     share = (y.sum() + 0.5) / (len(y) + 1)
     if len(set(y)) < 2:
         return Model(grammar, math.log(share / (1 - share)), np.zeros(FEATURES))
-    return Model(grammar, *logistic(np.array([r["x"] for r in seen], float), y))
+    return Model(grammar, *logistic(np.array([r["x"] for r in seen], float)[at], y))
 
 
 def toxicity(text: Column, model: Model) -> Column:

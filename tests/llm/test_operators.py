@@ -216,6 +216,17 @@ def test_toxicity_of_held_out_documents(spark):
     assert sum(a == b for a, b in tested) > 0.85 * len(tested)
 
 
+def test_toxicity_sample_is_that_of_least_hashes(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 50)
+    rows = [(f"text {i} " + "x" * (i % 7), i % 2) for i in range(900)] + [("one text again", 1)] * 500
+    features = lambda text: F.array(F.length(text).cast("double"))
+    for some in (rows, rows[-400:], rows[:30], rows[:900]):
+        labelled = spark.createDataFrame(some, "text string, label int")
+        got = [(r["label"], r["x"]) for r in toxicity.sample(labelled, features, len(some)) for _ in range(r["n"])][:50]
+        want = labelled.select("label", features("text"), F.xxhash64("text", "label").alias("place")).collect()
+        assert got == [tuple(r)[:2] for r in sorted(want, key=lambda r: r["place"])][:50]
+
+
 def test_toxicity_of_odd_rows(spark, folder, odd_rows):
     assert sum(result(spark, "op4_toxicity", folder, "doc_id", "held_out", "score", "predicted").values()) == len(odd_rows)
 
