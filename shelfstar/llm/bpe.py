@@ -124,6 +124,7 @@ class Transducer:
                     self._depth.append(self._depth[node] + 1)
                 node = self._child[edge]
             self._token[node] = rank
+        self._make = self._step  # one bound method for all states
         self._root = self._state(_START)
 
     def _state(self, places: tuple) -> State:
@@ -133,8 +134,8 @@ class Transducer:
                 for old in self._old.values():
                     old.clear()  # states refer to each other in circles
                 self._old, self._states = self._states, {}
-                self._root = self._states[_START] = State(_START, self._step)
-            state = self._states[places] = State(places, self._step)
+                self._root = self._states[_START] = State(_START, self._make)
+            state = self._states[places] = State(places, self._make)
         return state
 
     def _fits(self, left: int, right: int) -> bool:
