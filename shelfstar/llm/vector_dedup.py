@@ -5,10 +5,10 @@ of width ``WIDTH``; ``HASHES`` cells together are a bucket of one table, and the
 Cosine 0.95 is a distance of 0.32 between unit vectors, which share a bucket of some table with
 probability 0.93, those of cosine 0.98 with 0.997; unrelated vectors share one in 1 of 24,000 cases a table.
 
-Equal vectors are one class from the start. A bucket is cut into blocks by a hash of the class, and every
-pair of its blocks is compared as a small matrix product, so a bucket with a large share of the rows is many
-small tasks. Blocks return link counts and a spanning set of links per block, never all pairs. A pair that meets
-in several tables counts in the first.
+Equal vectors are one class from the start. A bucket is cut into blocks by a hash of the class, and every pair of its blocks is compared by matrix products of
+``STRIPE`` rows at a time, so a bucket with a large share of the rows is many tasks; a vector goes to each block of its
+bucket, one for ``BLOCK`` classes. Blocks return link counts and a spanning set of links per block, never all pairs. A
+pair that meets in several tables counts in the first.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from .common import checkpointed
 from .components import components
 
 TABLES, HASHES, WIDTH, SEED = 16, 14, 2.0, 11
-BLOCK = 256
+BLOCK, STRIPE = 2048, 128
 
 
 def usable(vector: str) -> Column:
@@ -63,11 +63,14 @@ def _codes(vector: Column) -> Column:
     return of(vector)
 
 
-def _block_links(a: np.ndarray, b: np.ndarray, same: bool, codes_a: np.ndarray, codes_b: np.ndarray, table: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+def _close_pairs(a: np.ndarray, b: np.ndarray, start: int, same: bool, codes_a: np.ndarray, codes_b: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows that are close and share no code; within one block, each once. ``a`` begins at row ``start`` of its block."""
     close = a @ b.T >= least
-    x, y = np.nonzero(np.triu(close, 1) if same else close)
-    if table and len(x):
-        first = ~(codes_a[x, :table] == codes_b[y, :table]).any(axis=1)
+    x, y = np.nonzero(np.triu(close, start + 1) if same else close)
+    for mine, other in zip(codes_a.T, codes_b.T):
+        if not len(x):
+            break
+        first = mine[x] != other[y]
         x, y = x[first], y[first]
     return x, y
 
@@ -85,6 +88,21 @@ def _roots(count: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
             return root
 
 
+def _block_links(units: np.ndarray, many: np.ndarray, codes: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row its links, and the first row that it is linked to over any number of them."""
+    count = len(units)
+    links, root, rows = np.zeros(count), np.arange(count), np.arange(count)
+    b, codes_b = units[right], codes[right]
+    for start in range(0, len(left), STRIPE):
+        at = left[start : start + STRIPE]
+        x, y = _close_pairs(units[at], b, start, same, codes[at], codes_b, least)
+        if len(x):
+            x, y = at[x], right[y]
+            links += np.bincount(x, many[y], count) + np.bincount(y, many[x], count)
+            root = _roots(count, np.concatenate([x, rows]), np.concatenate([y, root]))
+    return links, root
+
+
 _OUT = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
 
@@ -117,12 +135,7 @@ def _compare(least: float):
                 continue
             units = unit(values[starts[lo] : starts[hi]].reshape(hi - lo, -1))
             left, right = np.flatnonzero(mine[lo:hi] == i[lo]), np.flatnonzero(mine[lo:hi] == j[lo])
-            x, y = _block_links(units[left], units[right], i[lo] == j[lo], codes[lo:hi][left], codes[lo:hi][right], int(table[lo]), least)
-            if not len(x):
-                continue
-            x, y = left[x], right[y]
-            links = np.bincount(x, many[lo:hi][y], hi - lo) + np.bincount(y, many[lo:hi][x], hi - lo)
-            root = _roots(hi - lo, x, y)
+            links, root = _block_links(units, many[lo:hi], codes[lo:hi, : int(table[lo])], left, right, i[lo] == j[lo], least)
             at = np.flatnonzero(links)
             found.append((cls[lo:hi][at], links[at].astype(np.int64), cls[lo:hi][root[at]]))
         if found:
@@ -131,6 +144,16 @@ def _compare(least: float):
     return of
 
 
+def placed(hashed: DataFrame) -> DataFrame:
+    """Each class with every pair of blocks, ``i`` and ``j``, in which it is compared; ``mine`` is its own block."""
+    thin = hashed.select("cls", F.posexplode("codes").alias("table", "code"))
+    full = thin.groupBy("table", "code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    cut = F.ceil(F.col("n") / BLOCK).cast("int")
+    rows = thin.join(full, ["table", "code"]).select("cls", "table", "code", cut.alias("cut"), F.pmod(F.xxhash64("cls"), cut).cast("int").alias("mine"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
+    return rows.select("cls", "table", "code", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
+
+
 def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", least: float = 0.95) -> DataFrame:
     """``key``, ``n_links``, ``component_id``, ``kept`` for each row.
 
@@ -142,13 +165,7 @@ def near_vectors(rows: DataFrame, key: str = "vec_id", vector: str = "embedding"
     classes = known.filter(usable("vector")).groupBy("vector").agg(F.min("key").alias("least"), F.count(F.lit(1)).alias("many"))
     classes = checkpointed(classes.withColumn("cls", F.monotonically_increasing_id()))
     hashed = checkpointed(classes.select("cls", "many", "vector", _codes(F.col("vector")).alias("codes")))
-    thin = hashed.select("cls", F.posexplode("codes").alias("table", "code"))
-    full = thin.groupBy("table", "code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    cut = F.ceil(F.col("n") / BLOCK).cast("int")
-    placed = thin.join(full, ["table", "code"]).select("cls", "table", "code", cut.alias("cut"), F.pmod(F.xxhash64("cls"), cut).cast("int").alias("mine"))
-    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-    placed = placed.select("cls", "table", "code", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    dealt = placed.join(hashed, "cls").repartition("table", "code", "i", "j").sortWithinPartitions("table", "code", "i", "j")
+    dealt = placed(hashed).join(hashed, "cls").repartition("table", "code", "i", "j").sortWithinPartitions("table", "code", "i", "j")
     dealt = dealt.select("code", "table", "i", "j", "mine", "cls", "many", "vector", "codes")
     met = checkpointed(dealt.mapInArrow(_compare(least), "cls long, links long, root long").groupBy("cls", "root").agg(F.sum("links").alias("links")))
     links = met.groupBy("cls").agg(F.sum("links").alias("links"))

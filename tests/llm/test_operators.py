@@ -355,6 +355,17 @@ def test_embedding_dedup(spark, folder, block, monkeypatch):
     assert result(spark, "op7_embedding_dedup", folder, "vec_id", "n_links", "component_id", "kept") == Counter(brute.near_vectors(rows))
 
 
+def test_vectors_are_dealt_by_block(spark, monkeypatch):
+    rows = [(c, [c, 7]) for c in range(40)] + [(c, [c, 9]) for c in range(40, 43)] + [(50, [1, 2])]
+    hashed = spark.createDataFrame(rows, "cls long, codes array<long>")
+    # classes 1 and 50 meet in the first table, the others in the second
+    got = Counter(tuple(r) for r in vector_dedup.placed(hashed).select("cls", "table", "code", "mine", "i", "j").collect())
+    assert got == Counter([(c, 1, 7, 0, 0, 0) for c in range(40)] + [(c, 1, 9, 0, 0, 0) for c in range(40, 43)] + [(c, 0, 1, 0, 0, 0) for c in (1, 50)])
+    monkeypatch.setattr(vector_dedup, "BLOCK", 10)
+    dealt = vector_dedup.placed(hashed).collect()
+    assert len(dealt) == 4 * 40 + 3 + 2 and all(r["mine"] in (r["i"], r["j"]) for r in dealt)
+
+
 def test_embedding_dedup_of_given_table(spark):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     assert result(spark, "op7_embedding_dedup", SF, "vec_id", "n_links", "component_id", "kept") == Counter(brute.near_vectors(rows))
