@@ -27,6 +27,7 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
+from itertools import repeat
 from typing import Any
 
 import numpy as np
@@ -47,12 +48,13 @@ TABLE_BYTES, ENTRY, LONGEST, HELD, HELD_BYTES = 32 << 20, 64, 256, 400_000, 32 <
 #: Every which training text the weights are fitted on, in how many rounds, and the bytes a task counts places of.
 TUNE, ROUNDS, TASK_BYTES = 16, 2, 32 << 20
 #: Texts and bytes that move on together; symbols of a text's first and longest block.
-TEXTS, TEXT_BYTES, FIRST_BLOCK, LONGEST_BLOCK = 256, 256 << 10, 16, 512
+TEXTS, TEXT_BYTES, FIRST_BLOCK, LONGEST_BLOCK = 4096, 1 << 20, 16, 512
 #: Step of the weights, decisions that a map's start weighs, and weight of the last round in a Newton step.
 STEP, MAP_START, RIDGE = 0.5, 64.0, 200.0
 
 _DEPTHS = np.array([0, 1, 2, 2, 3, 3, 3, 3] + [4] * 8 + [5], np.uint32)
-_STEPS, _SCALE, _CHUNK, _FIXED = 33, 16.0, 1 << 16, 1 << 20
+_STEPS, _SCALE, _CHUNK, _FIXED, _ROWS, _SORTED = 33, 16.0, 1 << 16, 1 << 20, 1 << 13, 1 << 20
+_TURN = np.uint32(0x9E3779B1)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _PIECE = 1 << 20
 
@@ -97,7 +99,11 @@ class Codes:
         self._tree = parent.astype(np.int32), side
         self.contexts, self.own = [tuple(c) for c in contexts], own
         self.levels, self.gates, self.inputs = 2 * len(contexts), 12 * len(contexts), len(contexts) + 2
+        self.cells = self.levels * _STEPS
+        self.scales = [1 / _SCALE] * len(contexts) + [1.0, 0.5]  # of the inputs: places, own counts, constant
         self._walk()
+        #: Blocks in which no place of a text's own counts can be met more often than 16 bits tell.
+        self.rest = max(1, 65_000 // (LONGEST_BLOCK * int(self.lengths.max(initial=1))))
 
     def _walk(self) -> None:
         """Every symbol's steps from the root on, ``lengths[s]`` of them from ``starts[s]`` on: node, class of depth and bit in one number."""
@@ -117,6 +123,15 @@ class Codes:
             self.steps[place] = (parent[at] - many).astype(np.uint32) << np.uint32(4) | depth << np.uint32(1) | side[at]
             at, place = parent[at], place - 1
 
+    def path(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many bits each of ``symbols`` has and which is its first one, and the steps of all bits."""
+        lengths = _at(self.lengths, symbols)
+        first = np.cumsum(lengths)
+        first -= lengths
+        at = np.repeat(_at(self.starts, symbols) - first, lengths)
+        at += np.arange(len(at))
+        return lengths, first, _at(self.steps, at)
+
     def __getstate__(self) -> dict[str, Any]:
         # tasks get the tree and walk it themselves, as all its paths are ten times its size
         return {k: v for k, v in self.__dict__.items() if k not in ("lengths", "starts", "steps")}
@@ -145,12 +160,21 @@ class Words(Codes):
         super().__setstate__(state | {"table": dict(zip(words, range(len(words)))) | {b"": len(words)}})
 
     def symbols(self, text: bytes) -> np.ndarray:
-        escape, find = self.escape, self.table.get
-        parts = [np.array([find(w, escape) for w in words], np.int32) for words in words_in(text)]
-        return np.concatenate([*parts, np.array([escape - 1], np.int32)])
+        parts = [np.fromiter(map(self.table.get, words, repeat(self.escape)), np.int32, len(words)) for words in words_in(text)]
+        return np.concatenate([*parts, np.array([self.escape - 1], np.int32)])
+
+    def each(self, texts: Sequence[bytes]) -> list[np.ndarray]:
+        return [self.symbols(t) for t in texts]
 
-    def others(self, text: bytes) -> Counter[bytes]:
-        return Counter(w for words in words_in(text) for w in words if w not in self.table)
+    def others(self, text: bytes, symbols: np.ndarray | None = None) -> Counter[bytes]:
+        """Words outside the table, found by the symbols of the text."""
+        found: Counter[bytes] = Counter()
+        places, start = np.flatnonzero((self.symbols(text) if symbols is None else symbols) == self.escape), 0
+        for words in words_in(text):
+            first, stop = np.searchsorted(places, [start, start + len(words)])
+            found.update(words[k] for k in (places[first:stop] - start).tolist())
+            start += len(words)
+        return found
 
 
 class Spelling(Codes):
@@ -160,7 +184,18 @@ class Spelling(Codes):
         super().__init__(np.asarray(counts, np.int64) + 1, BYTE_CONTEXTS, BYTE_OWN)
 
     def symbols(self, text: bytes) -> np.ndarray:
-        return np.append(np.frombuffer(text, np.uint8), 256).astype(np.int32)
+        return self.each([text])[0]
+
+    def each(self, texts: Sequence[bytes]) -> list[np.ndarray]:
+        stops = np.cumsum([len(t) + 1 for t in texts])
+        row = np.frombuffer(b"\0".join([*texts, b""]), np.uint8).astype(np.int32)
+        row[stops - 1] = 256
+        return [row[a:b] for a, b in zip([0, *stops.tolist()], stops.tolist())]
+
+
+def _at(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """What ``table`` has at ``places``, all within it: with "clip" numpy doesn't check them first, which takes longer than the look-up."""
+    return table.take(places, mode="clip")
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -171,11 +206,19 @@ def _scrambled(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _places(context: np.ndarray, lengths: np.ndarray, turned: np.ndarray) -> np.ndarray:
+    """Places of bits, from their symbols' contexts and their nodes times ``_TURN``."""
+    place = np.repeat(context, lengths)
+    place += turned
+    return _scrambled(place) >> np.uint32(33 - PLACES.bit_length())
+
+
 @dataclass
 class Decisions:
-    """Bits of a row of symbols: the text each belongs to, the class of its depth, its value and its place in every table."""
+    """Bits of a row of symbols: how many each symbol has and its first one; the class of a bit's depth, its value and its place in every table."""
 
-    doc: np.ndarray
+    lengths: np.ndarray
+    first: np.ndarray
     depth: np.ndarray
     bit: np.ndarray
     places: list[np.ndarray]
@@ -193,10 +236,12 @@ class Together:
         doubled = np.frexp((place // FIRST_BLOCK).astype(np.float64))[1]
         most = LONGEST_BLOCK // FIRST_BLOCK
         block = np.where(place < LONGEST_BLOCK, doubled, most.bit_length() - 1 + place // LONGEST_BLOCK).astype(np.int32)
+        if block.max(initial=0) < 1 << 16:
+            block = block.astype(np.uint16)  # sorted by digits
         order = np.argsort(block, kind="stable")
         self.symbols, self.doc = symbols[order], doc[order]
-        self._contexts = [self._hashed(symbols, place, lags)[order] for lags in codes.contexts]
-        self.blocks = np.flatnonzero(np.diff(block[order], prepend=-1, append=-1)) if len(symbols) else np.zeros(1, np.int64)
+        self.contexts = [self._hashed(symbols, place, lags)[order] for lags in codes.contexts]
+        self.blocks = np.flatnonzero(np.diff(block[order].astype(np.int64), prepend=-1, append=-1)) if len(symbols) else np.zeros(1, np.int64)
 
     @staticmethod
     def _hashed(symbols: np.ndarray, place: np.ndarray, lags: Sequence[int]) -> np.ndarray:
@@ -204,26 +249,23 @@ class Together:
         for lag in lags:
             before = np.zeros(len(symbols), np.uint32)
             before[lag:] = np.where(place[lag:] >= lag, symbols[:-lag] + 1, 0)[: len(symbols[lag:])]
-            total = _scrambled(total * np.uint32(0x9E3779B1) + before)
+            total = _scrambled(total * _TURN + before)
         return total
 
     def decisions(self, start: int, stop: int) -> Decisions:
-        codes, symbols = self._codes, self.symbols[start:stop]
-        lengths = codes.lengths.take(symbols)
-        first = np.cumsum(lengths)
-        first -= lengths
-        at = np.repeat(codes.starts.take(symbols) - first, lengths)
-        at += np.arange(len(at))
-        steps = codes.steps.take(at)
-        node, places = steps >> np.uint32(4), []
-        turned = node * np.uint32(0x9E3779B1)
-        for lags, context in zip(codes.contexts, self._contexts):
-            if lags:
-                node = np.repeat(context[start:stop], lengths)
-                node += turned
-                node = _scrambled(node) >> np.uint32(33 - PLACES.bit_length())
-            places.append(node.astype(np.int64))
-        return Decisions(np.repeat(self.doc[start:stop], lengths), ((steps >> np.uint32(1)) & np.uint32(7)).astype(np.int64), (steps & np.uint32(1)).astype(np.uint8), places)
+        lengths, first, steps = self._codes.path(self.symbols[start:stop])
+        node = steps >> np.uint32(4)
+        turned, places = node * _TURN, []
+        for lags, context in zip(self._codes.contexts, self.contexts):
+            places.append((_places(context[start:stop], lengths, turned) if lags else node).astype(np.int64))
+        low = steps.astype(np.uint8)
+        return Decisions(lengths, first, low >> np.uint8(1) & np.uint8(7), low & np.uint8(1), places)
+
+    def pieces(self, start: int, stop: int) -> Iterator[tuple[int, int]]:
+        """A block cut between texts into parts of some ``_ROWS`` symbols, as arrays that fit in a cache are faster."""
+        firsts = np.flatnonzero(np.diff(self.doc[start:stop], prepend=-1))
+        cuts = start + firsts[np.diff(firsts // _ROWS, prepend=-1) > 0]
+        return zip(cuts.tolist(), [*cuts[1:].tolist(), stop])
 
 
 _OWN_ODDS = np.log((np.arange(16)[None, :] + 0.4) / (np.arange(16)[:, None] + 0.4)).astype(np.float32).ravel()
@@ -245,51 +287,128 @@ class Mixer:
         self.__dict__.update(state | {"odds": [np.frombuffer(zlib.decompress(t), np.int8) for t in state["odds"]]})
 
     def run(self, texts: Sequence[np.ndarray], learned: Learned | None = None) -> np.ndarray:
-        """Bits of each text. With ``learned`` nothing is updated, and it takes what the texts show."""
-        codes, many, rows = self.codes, len(texts), Together(self.codes, texts)
-        weights = [np.tile(w.astype(np.float32), many) for w in self.weights]
-        refined = np.tile(self.map.ravel().astype(np.float32), many)
-        own = np.zeros(many * codes.own * 2, np.uint16)
-        bits = np.zeros(many)
-        for start, stop in zip(rows.blocks, rows.blocks[1:]):
-            d = rows.decisions(start, stop)
-            doc = d.doc
-            kept = (doc * codes.own + (d.places[1] & (codes.own - 1))) * 2
-            zeros, ones = np.minimum(own.take(kept), 15), np.minimum(own.take(kept + 1), 15)
-            known = zeros * np.uint16(16) + ones
-            inputs = [table.take(place).astype(np.float32) * np.float32(1 / _SCALE) for table, place in zip(self.odds, d.places)]
-            inputs += [_OWN_ODDS.take(known), np.full(len(doc), 0.5, np.float32)]
-            order = np.zeros(len(doc), np.int64)
-            for k in range(1, len(codes.contexts)):
-                order = np.where(inputs[k] != 0, 2 * k, order)
-            level = order + (known > 0)
-            gate = level * 6 + d.depth
-            own_gate = gate + doc * codes.gates
-            mixed = sum(w.take(own_gate) * x for w, x in zip(weights, inputs))
-            p = 1 / (1 + np.exp(-np.clip(mixed, -11.9, 11.9)))
-            step = (np.clip(mixed, -7.99, 7.99) + 8) * 2
-            low = step.astype(np.int64)
-            share = step - low
-            cell = level * _STEPS + low
-            own_cell = cell + doc * (codes.levels * _STEPS)
-            least = refined.take(own_cell)
-            told = 0.5 * (p + least + share * (refined.take(own_cell + 1) - least))
-            one = d.bit.astype(np.float32)
-            bits -= np.bincount(doc, np.log2(np.where(d.bit, told, 1 - told)), many)
-            np.add.at(own, kept + d.bit, np.uint16(1))
-            near = share >= 0.5
-            if learned is not None:
-                learned.takes(gate, cell + near, inputs, p, one)
-                continue
-            # what the block has shown is known from the next block on
-            error = one - p
-            pace = (STEP / (np.bincount(own_gate, minlength=many * codes.gates) + 16.0)).astype(np.float32)
-            for w, x in zip(weights, inputs):
-                w += pace * np.bincount(own_gate, error * x, len(w)).astype(np.float32)
-            own_cell += near
-            hits, total = np.bincount(own_cell, one, len(refined)), np.bincount(own_cell, minlength=len(refined))
-            refined += ((hits - total * refined) / (total + MAP_START)).astype(np.float32)
-        return bits
+        """Bits of each text. With ``learned`` nothing is updated, and it takes what the texts show.
+
+        Texts stand longest first, so those that go on after a block are the first ones in it; they alone have weights, a map and counts of
+        their own, which start after their first block.
+        """
+        longest = np.argsort([-len(t) for t in texts], kind="stable")
+        rows = Together(self.codes, [texts[k] for k in longest])
+        ends = rows.blocks.tolist()
+        present = [int(rows.doc[stop - 1]) + 1 for stop in ends[1:]] + [0, 0]
+        first = Shown.of(self, 1, 0)
+        shown = Shown.of(self, 1 if learned else present[1], present[1])
+        bits = np.zeros(len(texts))
+        for turn, (start, stop) in enumerate(zip(ends, ends[1:])):
+            for low, high in rows.pieces(start, stop):
+                self._move(rows, low, high, present[turn + 1], first if turn == 0 or learned else shown, shown, turn > 0, bits, learned)
+            if (turn + 1) % self.codes.rest == 0:
+                np.minimum(shown.own, 15, out=shown.own)  # before any count can pass its 16 bits
+        back = np.empty(len(texts))
+        back[longest] = bits
+        return back
+
+    def _move(self, rows: Together, start: int, stop: int, going: int, now: Shown, then: Shown, later: bool, bits: np.ndarray, learned: Learned | None) -> None:
+        """Bits of some texts' next block by what is known ``now``; texts before ``going`` leave what it shows for ``then``."""
+        codes, doc = self.codes, rows.doc[start:stop]
+        from_, to = int(doc[0]), int(doc[-1]) + 1
+        going = min(max(going - from_, 0), to - from_)
+        d = rows.decisions(start, stop)
+        inputs = [_at(table, place) for table, place in zip(self.odds, d.places)]
+        level = np.zeros(len(d.bit), np.uint8)
+        for k in range(1, len(codes.contexts)):
+            np.maximum(level, (inputs[k] != 0).view(np.uint8) * np.uint8(2 * k), out=level)
+        inputs = [x.astype(np.float32) for x in inputs]
+        if going or later:
+            each = np.repeat(doc - from_, d.lengths)
+            kept = d.places[1] & (codes.own - 1)
+            kept += each * codes.own
+        if later:
+            pair = then.own[from_ * codes.own * 2 : to * codes.own * 2].view(np.uint32)
+            pair = _at(pair, kept)
+            known = np.minimum(pair & np.uint32(0xFFFF), 15) << np.uint32(4) | np.minimum(pair >> np.uint32(16), 15)
+            level += known != 0
+            inputs.append(_at(_OWN_ODDS, known))
+        gate = level * np.uint8(6) + d.depth
+        weights, refined, at = now.weights, now.map, gate.astype(np.int64)
+        if later and learned is None:
+            at += each * codes.gates
+            weights, refined = [w[from_ * codes.gates :] for w in weights], refined[from_ * codes.cells :]
+        mixed = _at(weights[0], at)
+        mixed *= inputs[0]
+        for w, x in zip(weights[1:], inputs[1:]):
+            x = _at(w, at) * x
+            mixed += x
+        mixed += _at(weights[-1], at)
+        p = np.clip(mixed, -11.9, 11.9)
+        np.negative(p, out=p)
+        np.exp(p, out=p)
+        p += 1
+        np.reciprocal(p, out=p)
+        share = np.clip(mixed, -7.99, 7.99, out=mixed)
+        share += 8
+        share *= 2
+        low = share.astype(np.uint8)
+        share -= low
+        cell = level * np.uint16(_STEPS) + low
+        own_cell = cell.astype(np.int64)
+        if later and learned is None:
+            own_cell += each * codes.cells
+        least, told = _at(refined, own_cell), _at(refined[1:], own_cell)
+        told -= least
+        told *= share
+        told += least
+        told += p
+        told *= 0.5
+        one = d.bit.astype(np.float32)
+        told += one
+        told -= 1
+        np.abs(told, out=told)
+        bits[from_:to] -= np.add.reduceat(np.log2(told, out=told), d.first.take(np.flatnonzero(np.diff(doc, prepend=-1))), dtype=np.float64)
+        near = share >= 0.5
+        if learned is not None:
+            learned.takes(gate, cell + near, inputs if later else [*inputs, np.float32(0)], p, one)
+        if not going:
+            return
+        # what the block has shown is known from the next block on
+        size = int(np.searchsorted(each, going))
+        bit = d.bit[:size]
+        kept = kept[:size] * 2
+        kept += bit
+        np.add.at(then.own[from_ * codes.own * 2 :], kept, np.uint16(1))
+        if learned is not None:
+            return
+        at, own_cell = at[:size], own_cell[:size] + near[:size]
+        if not later:
+            at += each[:size] * codes.gates
+            own_cell += each[:size] * codes.cells
+        error = one[:size]
+        error -= p[:size]
+        gates, cells = slice(from_ * codes.gates, (from_ + going) * codes.gates), slice(from_ * codes.cells, (from_ + going) * codes.cells)
+        pace = STEP / (np.bincount(at, minlength=going * codes.gates) + 16.0)
+        for w, x, scale in zip(then.weights, inputs, codes.scales):
+            w[gates] += pace * (scale * scale) * np.bincount(at, error * x[:size], len(pace))
+        then.weights[-1][gates] += pace * codes.scales[-1] ** 2 * np.bincount(at, error, len(pace))
+        own_cell *= 2
+        own_cell += bit
+        zeros, hits = np.bincount(own_cell, minlength=going * codes.cells * 2).reshape(-1, 2).T
+        total = zeros + hits
+        then.map[cells] += (hits - total * then.map[cells]) / (total + MAP_START)
+
+
+@dataclass
+class Shown:
+    """Weights, map and own counts of some texts, one after the other. Weights are held times the scales of their inputs, powers of two."""
+
+    weights: list[np.ndarray]
+    map: np.ndarray
+    own: np.ndarray
+
+    @classmethod
+    def of(cls, mixer: Mixer, many: int, counting: int) -> Shown:
+        codes = mixer.codes
+        weights = [np.tile((w * s).astype(np.float32), many) for w, s in zip(mixer.weights, codes.scales)]
+        return cls(weights, np.tile(mixer.map.ravel().astype(np.float32), many), np.zeros(counting * codes.own * 2, np.uint16))
 
 
 class Learned:
@@ -300,19 +419,28 @@ class Learned:
 
     def __init__(self, codes: Codes):
         n, gates = codes.inputs, codes.gates
-        self._pairs = [(i, j) for i in range(n) for j in range(i, n)]
+        self._pairs, self._upper, self._scales = [(i, j) for i in range(n) for j in range(i, n)], np.triu_indices(n), codes.scales
         self.slopes, self.curves = np.zeros((n, gates)), np.zeros((len(self._pairs), gates))
         self.map = np.zeros((2, codes.levels * _STEPS))
 
     def takes(self, gate: np.ndarray, cell: np.ndarray, inputs: Sequence[np.ndarray], p: np.ndarray, one: np.ndarray) -> None:
-        error, spread = one - p, p * (1 - p)
-        gates, cells = self.slopes.shape[1], self.map.shape[1]
-        for k, x in enumerate(inputs):
-            self.slopes[k] += np.bincount(gate, error * x, gates)
-        for k, (i, j) in enumerate(self._pairs):
-            self.curves[k] += np.bincount(gate, spread * inputs[i] * inputs[j], gates)
-        self.map[0] += np.bincount(cell, minlength=cells)
-        self.map[1] += np.bincount(cell, one, cells)
+        """Inputs are still to be scaled. Bits of one gate are brought together, so that its sums are matrix products."""
+        order = np.argsort(gate, kind="stable")
+        ends = np.cumsum(np.bincount(gate, minlength=self.slopes.shape[1])).tolist()
+        x = np.empty((len(inputs) + 1, len(gate)))
+        for row, told, scale in zip(x, [*inputs, np.float32(1)], self._scales):
+            row[:] = _at(told, order) if told.ndim else told
+            row *= scale
+        p = _at(p, order).astype(np.float64)
+        error, spread = _at(one, order) - p, p * (1 - p)
+        for at, (start, stop) in enumerate(zip([0, *ends], ends)):
+            if start < stop:
+                part = x[:, start:stop]
+                self.slopes[:, at] += part @ error[start:stop]
+                self.curves[:, at] += ((part * spread[start:stop]) @ part.T)[self._upper]
+        cells = self.map.shape[1]
+        zeros, ones = np.bincount(cell.astype(np.int64) * 2 + (one > 0), minlength=cells * 2).reshape(-1, 2).T
+        self.map += [zeros + ones, ones]
 
     def values(self) -> np.ndarray:
         return np.rint(np.concatenate([self.slopes.ravel(), self.curves.ravel(), self.map.ravel()]) * _FIXED).astype(np.int64)
@@ -433,19 +561,24 @@ def place_counts(docs: DataFrame, held: Broadcast[Codes], text: str = "text") ->
     codes = held.value
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, met = held.value, False
+        known, size = held.value, 0
         tables = np.zeros((len(known.contexts), PLACES * 2), np.int32)
+        met = np.zeros(len(known.lengths), np.int64)
+        rest: list[Together] = []
         for group in _groups(batches):
-            met = True
-            rows = Together(known, [known.symbols(t) for t in group])
-            for start in range(0, len(rows.symbols), 1 << 15):
-                d = rows.decisions(start, min(start + (1 << 15), len(rows.symbols)))
-                for table, place in zip(tables, d.places):
-                    np.add.at(table, place * 2 + d.bit, np.int32(1))
-        if met:
-            for chunk, part in enumerate(tables.reshape(-1, _CHUNK)):
-                if part.any():
-                    yield _packed([chunk], [part])
+            rest.append(Together(known, known.each(group)))
+            met += np.bincount(rest[-1].symbols, minlength=len(met))
+            size += len(rest[-1].symbols)
+            if size >= _SORTED:
+                _add_places(tables, known, rest)
+                rest, size = [], 0
+        _add_places(tables, known, rest)
+        for lags, table in zip(known.contexts, tables):
+            if not lags:
+                _add_nodes(table, known, met)
+        for chunk, part in enumerate(tables.reshape(-1, _CHUNK)):
+            if part.any():
+                yield _packed([chunk], [part])
 
     size = estimated_bytes(docs)  # only says how many tasks count; what Spark can't estimate is 8 EB
     tasks = max(1, size // TASK_BYTES if size < 1 << 60 else 0, docs.sparkSession.sparkContext.defaultParallelism)
@@ -457,6 +590,28 @@ def place_counts(docs: DataFrame, held: Broadcast[Codes], text: str = "text") ->
     return counted.repartition(_chunk_tasks(codes), "chunk").mapInArrow(_added, "chunk long, data binary")
 
 
+def _add_places(tables: np.ndarray, codes: Codes, rows: Sequence[Together]) -> None:
+    """Bits of ``rows`` at their places. A symbol that comes several times after one context has the same places each time, so it is done once."""
+    for k, lags in enumerate(codes.contexts):
+        if not lags or not rows:
+            continue
+        pairs = np.sort(np.concatenate([r.contexts[k].astype(np.uint64) << np.uint64(32) | r.symbols.astype(np.uint64) for r in rows]))
+        first = np.flatnonzero(np.diff(pairs, prepend=~pairs[:1]))
+        times, pairs = np.diff(first, append=len(pairs)).astype(np.int32), pairs[first]
+        for start in range(0, len(pairs), _ROWS):
+            some = pairs[start : start + _ROWS]
+            lengths, _, steps = codes.path((some & np.uint64(0xFFFFFFFF)).astype(np.int64))
+            at = _places((some >> np.uint64(32)).astype(np.uint32), lengths, (steps >> np.uint32(4)) * _TURN).astype(np.int64) * 2
+            at += steps & np.uint32(1)
+            np.add.at(tables[k], at, np.repeat(times[start : start + _ROWS], lengths))
+
+
+def _add_nodes(table: np.ndarray, codes: Codes, met: np.ndarray) -> None:
+    """Without a context a place is a node, met as often as the symbols below it."""
+    at = (codes.steps >> np.uint32(4)) * np.uint32(2) + (codes.steps & np.uint32(1))
+    table += np.bincount(at, np.repeat(met, codes.lengths), len(table)).astype(np.int32)
+
+
 def _chunk_tasks(codes: Codes) -> int:
     return max(1, len(codes.contexts) * PLACES * 2 // _CHUNK // 16)
 
@@ -515,7 +670,7 @@ def tuned(docs: DataFrame, held: Broadcast[Mixer], mixer: Mixer, text: str = "te
         known = replace(held.value, weights=weights, map=map_)
         learned = Learned(known.codes)
         for group in _groups(batches):
-            known.run([known.codes.symbols(t) for t in group], learned)
+            known.run(known.codes.each(group), learned)
         values = learned.values()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], ["cell", "n"])
 
@@ -578,7 +733,7 @@ def spelled_bits(word: Column, held: Broadcast[Mixer]) -> Column:
     @F.arrow_udf("double")
     def of(words: pa.Array) -> pa.Array:
         mixer = held.value
-        return pa.array(np.concatenate([mixer.run([mixer.codes.symbols(w) for w in group]) for group in _each_group(words)] or [np.zeros(0)]))
+        return pa.array(np.concatenate([mixer.run(mixer.codes.each(group)) for group in _each_group(words)] or [np.zeros(0)]))
 
     return of(word)
 
@@ -594,13 +749,13 @@ def bits_and_words(text: Column, held: Broadcast[Mixer]) -> Column:
         seen, logs = np.append(codes.counts > 0, False), np.append(np.log10(codes.counts + 1.0), 0.0)  # the escape last
         bits, sizes, known, base, words, times, ends = [], [], [], [], [], [], [0]
         for group in _each_group(texts):
-            rows = [codes.symbols(t) for t in group]
+            rows = codes.each(group)
             for value, symbols in zip(group, rows):
                 sizes.append(len(symbols))
                 known.append(int(seen[symbols].sum()))
                 base.append(float(logs[symbols].sum()))
                 if (symbols == codes.escape).any():
-                    others = codes.others(value)
+                    others = codes.others(value, symbols)
                     words += others.keys()
                     times += others.values()
                 ends.append(len(words))

@@ -217,3 +217,28 @@ def test_repeated_texts_cost_less_the_second_time(small):
     line = b" ".join(sorted(w for w in model.words.codes.table if w)) + b" "
     once, often = (model.words.run([model.words.codes.symbols(line * k)])[0] for k in (1, 12))
     assert often < 0.9 * 12 * once
+
+
+def even_mixer(codes):
+    return lm.first_mixer(codes, [np.zeros(lm.PLACES, np.int8) for _ in codes.contexts])
+
+
+def test_own_counts_of_a_long_text_stay_full():
+    mixer = even_mixer(lm.Codes([5, 3, 2, 1, 1], ((), (1,)), 64))
+    before, full, more = (mixer.run([np.zeros(n, np.int32)])[0] for n in ((1 << 16) - 512, 1 << 16, (1 << 16) + 512))
+    assert more - full < 1.01 * (full - before)
+
+
+def test_only_texts_that_go_on_have_weights_of_their_own(monkeypatch):
+    asked, of = [], lm.Shown.of
+    monkeypatch.setattr(lm.Shown, "of", lambda mixer, many, counting: asked.append((many, counting)) or of(mixer, many, counting))
+    even_mixer(lm.Codes([5, 3, 2], ((), (1,)), 64)).run([np.zeros(n, np.int32) for n in (10, 17, 16, 40, 1)])
+    assert asked == [(1, 0), (2, 2)]
+
+
+def test_symbols_of_one_context_are_counted_together(monkeypatch):
+    codes, done, path = lm.Codes([5, 3, 2], ((), (1,)), 64), [], lm.Codes.path
+    monkeypatch.setattr(lm.Codes, "path", lambda self, symbols: done.append(len(symbols)) or path(self, symbols))
+    tables = np.zeros((2, lm.PLACES * 2), np.int32)
+    lm._add_places(tables, codes, [lm.Together(codes, [np.array([0, 1, 2, 0, 1], np.int32)] * 100)])
+    assert sum(done) == 4 and tables[1].sum() == 100 * codes.lengths[[0, 1, 2, 0, 1]].sum()
