@@ -159,6 +159,15 @@ class Words(Codes):
         words = words.split(b"\n") if words else []
         super().__setstate__(state | {"table": dict(zip(words, range(len(words)))) | {b"": len(words)}})
 
+    def read(self, text: bytes) -> tuple[np.ndarray, Counter[bytes]]:
+        """The symbols of a text and its words outside the table."""
+        parts: list[np.ndarray] = []
+        others: Counter[bytes] = Counter()
+        for words in words_in(text):
+            parts.append(np.fromiter(map(self.table.get, words, repeat(self.escape)), np.int32, len(words)))
+            others.update(words[k] for k in np.flatnonzero(parts[-1] == self.escape).tolist())
+        return np.concatenate([*parts, np.array([self.escape - 1], np.int32)]), others
+
     def symbols(self, text: bytes) -> np.ndarray:
         parts = [np.fromiter(map(self.table.get, words, repeat(self.escape)), np.int32, len(words)) for words in words_in(text)]
         return np.concatenate([*parts, np.array([self.escape - 1], np.int32)])
@@ -166,15 +175,8 @@ class Words(Codes):
     def each(self, texts: Sequence[bytes]) -> list[np.ndarray]:
         return [self.symbols(t) for t in texts]
 
-    def others(self, text: bytes, symbols: np.ndarray | None = None) -> Counter[bytes]:
-        """Words outside the table, found by the symbols of the text."""
-        found: Counter[bytes] = Counter()
-        places, start = np.flatnonzero((self.symbols(text) if symbols is None else symbols) == self.escape), 0
-        for words in words_in(text):
-            first, stop = np.searchsorted(places, [start, start + len(words)])
-            found.update(words[k] for k in (places[first:stop] - start).tolist())
-            start += len(words)
-        return found
+    def others(self, text: bytes) -> Counter[bytes]:
+        return self.read(text)[1]
 
 
 class Spelling(Codes):
@@ -608,8 +610,11 @@ def _add_places(tables: np.ndarray, codes: Codes, rows: Sequence[Together]) -> N
 
 def _add_nodes(table: np.ndarray, codes: Codes, met: np.ndarray) -> None:
     """Without a context a place is a node, met as often as the symbols below it."""
-    at = (codes.steps >> np.uint32(4)) * np.uint32(2) + (codes.steps & np.uint32(1))
-    table += np.bincount(at, np.repeat(met, codes.lengths), len(table)).astype(np.int32)
+    symbols = np.flatnonzero(met)
+    for start in range(0, len(symbols), _ROWS):
+        some = symbols[start : start + _ROWS]
+        lengths, _, steps = codes.path(some)
+        np.add.at(table, (steps >> np.uint32(4)).astype(np.int64) * 2 + (steps & np.uint32(1)), np.repeat(met[some].astype(np.int32), lengths))
 
 
 def _chunk_tasks(codes: Codes) -> int:
@@ -749,15 +754,15 @@ def bits_and_words(text: Column, held: Broadcast[Mixer]) -> Column:
         seen, logs = np.append(codes.counts > 0, False), np.append(np.log10(codes.counts + 1.0), 0.0)  # the escape last
         bits, sizes, known, base, words, times, ends = [], [], [], [], [], [], [0]
         for group in _each_group(texts):
-            rows = codes.each(group)
-            for value, symbols in zip(group, rows):
+            rows = []
+            for value in group:
+                symbols, others = codes.read(value)
+                rows.append(symbols)
                 sizes.append(len(symbols))
                 known.append(int(seen[symbols].sum()))
                 base.append(float(logs[symbols].sum()))
-                if (symbols == codes.escape).any():
-                    others = codes.others(value, symbols)
-                    words += others.keys()
-                    times += others.values()
+                words += others.keys()
+                times += others.values()
                 ends.append(len(words))
             bits += mixer.run(rows).tolist()
         pairs = pa.StructArray.from_arrays([pa.array(words, pa.binary()), pa.array(times, pa.int64())], ["word", "times"])
