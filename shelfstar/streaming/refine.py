@@ -16,6 +16,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from ..operators.clean import ANOMALY_PCT, ARRIVAL_COLUMN, EVENT_COLUMNS, LETTER_COLUMNS, clean_events, select_present
 from ..operators.filters import inconsistent
 from ..operators.quality import null_rules, rules
+from ..session import ensure_disk_state
 
 DELAY = "1 hour"
 # Columns that may not be empty, and the columns of the anomaly report.
@@ -103,6 +104,7 @@ def fan_out(stream: DataFrame, sinks: Sequence[Sink], checkpoint: str, letters:
         finally:
             kept.unpersist()
 
+    ensure_disk_state(stream.sparkSession)
     return (
         stream.writeStream.foreachBatch(write_all)
         .option("checkpointLocation", checkpoint)
@@ -113,6 +115,7 @@ def fan_out(stream: DataFrame, sinks: Sequence[Sink], checkpoint: str, letters:
 
 def stream_to_table(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet folder, exactly once. Takes what is there, then stops."""
+    ensure_disk_state(events.sparkSession)
     return (
         events.writeStream.format("parquet")
         .outputMode("append")

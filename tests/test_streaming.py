@@ -205,3 +205,29 @@ def test_a_batch_that_fails_a_control_is_set_aside(own, folder):
     aside = incremental.batches_aside(own).collect()
     assert len(aside) == 2 and {r["controles"] for r in aside} == {"total_negativo, descuento_fuera_de_rango"}
     assert sum(r["anomalias"] for r in incremental.anomalies_kept(own).collect()) == 4
+
+
+def test_state_of_a_stream_is_kept_on_disk(spark, rows, folder):
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+    refined = refine.refine_events(read_events(own, str(folder / "in"), files_per_batch=1))
+    refine.fan_out(refined, [refine.append_parquet(str(folder / "live"))], str(folder / "cp")).awaitTermination()
+    assert spark.read.parquet(str(folder / "live")).count() == 40
+    names = {p.suffix for p in (folder / "cp" / "state").rglob("*") if p.is_file()}
+    assert ".changelog" in names and ".delta" not in names
+
+
+def test_a_stream_goes_on_with_the_store_it_began_with(spark, folder, monkeypatch):
+    own = spark.newSession()
+    own.conf.set("spark.sql.shuffle.partitions", "2")
+
+    def run():
+        stream = refine.refine_events(read_events(own, str(folder / "in")))
+        refine.stream_to_table(stream, str(folder / "out"), str(folder / "cp")).awaitTermination()
+        return spark.read.parquet(str(folder / "out")).count()
+
+    with monkeypatch.context() as heap:
+        heap.setattr(refine, "ensure_disk_state", lambda session: None)
+        assert run() == 40
+    write(folder / "in", "c", [event(n) for n in range(35, 45)])
+    assert run() == 45
