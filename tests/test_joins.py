@@ -91,3 +91,30 @@ def test_orphans_of_a_clean_fact(skewed, dim):
 def test_uncovered(spark, rows, dim):
     used = spark.createDataFrame([(i,) for i in range(445)] + [(None,)], "k int")
     assert rows(joins.uncovered(dim, used, "k"), "k") == [(445,), (446,), (447,), (448,), (449,)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 5000])
+def test_a_fact_with_large_dimensions_is_keyed_in_slices(spark, rows, tmp_path, monkeypatch, n):
+    from shelfstar.operators import facts
+
+    sales = spark.range(0, n, 1, 5).selectExpr(
+        "concat('T', id) as transaccion_id", "date'2025-01-01' as fecha_venta", "cast(id % 40 as int) as tienda_id", "cast(id % 7 as int) as empleado_id",
+        "if(id % 11 = 0, null, concat('S', id % 90)) as sku", "cast(if(id % 3 = 0, null, id % 300) as int) as cliente_id", "cast(1 + id % 4 as int) as cantidad",
+        "cast(id as decimal(10,2)) as precio_unitario", "0 as descuento_pct", "cast(id as decimal(12,2)) as venta_total")
+    dims = {
+        "tienda": spark.range(38).selectExpr("cast(id as int) as tienda_id", "cast(id + 1 as int) as tienda_key"),
+        # a repeated product and a missing one
+        "producto": spark.range(90).selectExpr("if(id = 89, null, concat('S', if(id = 88, 7, id))) as sku", "cast(id + 1 as int) as producto_key", "cast(id as decimal(10,2)) as costo_unitario"),
+        "empleado": spark.range(7).selectExpr("cast(id as int) as empleado_id", "cast(id + 1 as int) as empleado_key"),
+        "cliente": spark.range(-1, 280).selectExpr("cast(id as int) as cliente_id", "cast(id as int) as cliente_key"),
+    }
+    plain = facts.fact_sales(sales, dims)
+    monkeypatch.setattr(joins, "SLICE_BYTES", 1)
+    release = spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    folder = tmp_path / "slices"
+    sliced = facts.fact_sales(sales, dims, folder=str(folder), broadcast_bytes=0, hot_keys=3)
+    assert sliced.dtypes == plain.dtypes and rows(sliced) == rows(plain)
+    left = sorted(p.name for p in folder.iterdir() if not p.name.startswith("."))
+    assert all(name.startswith("done") for name in left) and (len(left) > 3 or n < 2)
+    assert "Join" not in sliced._jdf.queryExecution().executedPlan().toString()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == release
