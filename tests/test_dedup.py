@@ -33,3 +33,11 @@ def test_reconcile(spark):
 def test_null_counts_as_a_key(spark):
     df = spark.createDataFrame([(1, None), (1, None), (1, "x"), (None, None)], "a int, b string")
     assert tuple(dedup.key_counts(df, ["a", "b"]).first()) == (4, 3, 1)
+
+
+def test_copies_counted_in_pieces(spark, rows):
+    df = spark.range(0, 900, 1, 6).selectExpr("if(id % 7 = 0, null, concat('a', id % 50)) as id", "if(id % 5 = 0, null, cast(id % 3 as string)) as sku")
+    whole = rows(dedup.count_copies(df))
+    pieces = [rows(p) for p in dedup.copies_in_pieces(df, 4)]
+    assert sorted((r for p in pieces for r in p), key=repr) == whole and sum(map(bool, pieces)) > 1
+    assert [rows(p) for p in dedup.copies_in_pieces(df, 1)] == [whole]

@@ -1,6 +1,7 @@
 """Versions, views, the pointer of a load, and what is left behind."""
 
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -181,3 +182,40 @@ def test_variation_that_does_not_fit_stops_the_load(own, tmp_path):
                          ventas_transacciones=[*SALES, "T9|2025/01/02|11:00:00|101|5001||SKU-1|100000|90000.00|0|efectivo"])
     with pytest.raises(QualityError, match="no_convierte_variacion_pct = 1"):
         jobs.run_batch(own, folder)
+
+
+def test_a_version_in_pieces_has_the_controls_of_the_whole(own, tmp_path):
+    tables.ensure_schema(own, tables.named(own, "gold"))
+    with tables.new_load(own) as load:
+        parts = (own.range(n, n + 5) for n in (0, 5, 10))
+        load.write(parts, "P", measures=jobs.row_count() | jobs.amount("id"), expected={"filas": Decimal(15), "venta_total": Decimal(105)})
+    assert [r["id"] for r in own.table(tables.named(own, "gold.P")).orderBy("id").collect()] == list(range(15))
+    with pytest.raises(QualityError, match="impares = 7"), tables.new_load(own) as load:
+        load.write((own.range(n, n + 5) for n in (0, 5, 10)), "P", forbidden={"impares": F.col("id") % 2 == 1})
+    files = [f.name for f in (tmp_path / "tables").rglob("part-*") if f.name.endswith("parquet")]
+    assert len(files) >= 3 and all(".zstd." in name for name in files)
+
+
+def test_the_load_keeps_no_files_beside_its_tables(spark):
+    from catalog import load
+
+    fact = load.loaded(spark, "/root/testdata/sf0.001", "gold.FactVentas")
+    assert fact.count() > 5000
+    top = fact.inputFiles()[0].removeprefix("file://").split("/tables/")[0]
+    assert not list(Path(top, "raw").glob("*")) and not list(Path(top, "tables").rglob("staging/*/*"))
+    bronze = [f.name for f in Path(top, "tables").rglob("*bronze/*/*/part-*")]
+    assert bronze and all(".zstd." in name for name in bronze)
+
+
+def test_a_large_fact_is_keyed_in_slices_of_its_table(own, rows, tmp_path, monkeypatch):
+    from shelfstar.operators import joins
+
+    plain = jobs.run_batch(own, write_files(tmp_path / "a"))
+    want = rows(plain["FactVentas"])
+    monkeypatch.setattr(joins, "SLICE_BYTES", 1)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(jobs.facts, "keyed_pieces", lambda *args, **limits: joins.keyed_pieces(*args, broadcast_bytes=0, **limits))
+    monkeypatch.setattr(jobs, "PIECE_BYTES", 1)
+    again = jobs.run_batch(own, write_files(tmp_path / "b"))
+    assert rows(again["FactVentas"]) == want
+    assert folders(tmp_path / "tables" / f"{own.conf.get(tables.PREFIX)}staging", "claves_ventas") == []
