@@ -216,6 +216,12 @@ def test_a_large_fact_is_keyed_in_slices_of_its_table(own, rows, tmp_path, monke
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     monkeypatch.setattr(jobs.facts, "keyed_pieces", lambda *args, **limits: joins.keyed_pieces(*args, broadcast_bytes=0, **limits))
     monkeypatch.setattr(jobs, "PIECE_BYTES", 1)
+    totals = {t: rows(plain[t]) for t in ("ventas_diarias_por_tienda", "real_vs_presupuesto")}
+    checked, one = [], jobs._one_row_per_id
+    monkeypatch.setattr(jobs, "_one_row_per_id", lambda *args, **piece: checked.append(piece) or one(*args, **piece))
     again = jobs.run_batch(own, write_files(tmp_path / "b"))
-    assert rows(again["FactVentas"]) == want
+    assert rows(again["FactVentas"]) == want and {t: rows(again[t]) for t in totals} == totals
+    assert [c["piece"] for c in checked] == list(range(jobs.PIECES))
+    with pytest.raises(QualityError, match="duplicados"):
+        jobs.run_batch(own, write_files(tmp_path / "c", ventas_transacciones=[*SALES, SALES[2].replace("100.00", "101.00")]))
     assert folders(tmp_path / "tables" / f"{own.conf.get(tables.PREFIX)}staging", "claves_ventas") == []
